@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.functions.columns import ColumnLike, blank_to_null, col
 
@@ -85,7 +86,7 @@ def _overlay(base, override):
     return {**base, **override, **joint}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _merge_json_text(base: pd.Series, override: pd.Series) -> pd.Series:
     return pd.Series(
         [

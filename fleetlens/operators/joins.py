@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import blank_to_null
@@ -307,9 +307,3 @@ def effective_namespaces(
 ) -> DataFrame:
     """Rows with the namespace they resolve to: first non-empty of call, settings and context."""
     return df.withColumn("namespace", resolve_namespace(override, config, context))
-
-
-def ordered_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Give rows of a keyed list their position, for tables that carry none."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("pos", F.row_number().over(window) - 1)
