@@ -187,10 +187,15 @@ def cpu_text(cpus: ColumnLike) -> Column:
 
 def resource_map(cpus: Column, memory: Column, gpus: Column, gpu_type: Column) -> Column:
     """Requested resources of a container; the GPU entry only for a count other than 0."""
-    base = F.create_map(F.lit("cpu"), cpu_text(cpus), F.lit("memory"), memory)
+    count = F.coalesce(gpus, F.lit(0))
     gpu_name = F.coalesce(blank_to_null(gpu_type), F.lit(DEFAULT_GPU_RESOURCE))
-    gpu = F.when(F.coalesce(gpus, F.lit(0)) != 0, F.create_map(gpu_name, gpus.cast("string")))
-    return merge_env(base, gpu)
+    base = [F.lit("cpu"), cpu_text(cpus), F.lit("memory"), memory]
+    gpu = [gpu_name, count.cast("string")]
+    return (
+        F.when(count == 0, F.create_map(*base))
+        .when(gpu_name.isin("cpu", "memory"), merge_env(F.create_map(*base), F.create_map(*gpu)))
+        .otherwise(F.create_map(*base, *gpu))
+    )
 
 
 def _optional(df: DataFrame, name: str, kind: str) -> Column:
@@ -236,8 +241,7 @@ def cluster_spec(requests: DataFrame) -> Column:
     selector = _non_empty(_optional(requests, "node_selector", "map<string,string>"))
     tolerations = _non_empty(_optional(requests, "tolerations", "array<map<string,string>>"))
 
-    def pod(container: str, cpus: Column, memory: Column, gpus: Column, gpu_type: Column) -> Column:
-        resources = resource_map(cpus, memory, gpus, gpu_type)
+    def pod(container: str, resources: Column) -> Column:
         return F.struct(
             F.struct(
                 F.array(
@@ -262,22 +266,29 @@ def cluster_spec(requests: DataFrame) -> Column:
         F.create_map(*[F.lit(part) for pair in HEAD_DEFAULT_PARAMS.items() for part in pair]),
         head["ray_start_params"],
     )
-    head_pod = pod(
-        HEAD_CONTAINER,
+    head_resources = resource_map(
         F.coalesce(head["cpus"], F.lit(DEFAULT_CPUS)),
         F.coalesce(head["memory"], F.lit(DEFAULT_MEMORY)),
         F.coalesce(head["gpus"], F.lit(DEFAULT_GPUS)),
         F.lit(None).cast("string"),
     )
-    groups = F.transform(
+    head_pod = pod(HEAD_CONTAINER, head_resources)
+    # Two steps, so that the resources of a group are built once and used twice.
+    sized = F.transform(
         _effective_groups(requests),
         lambda g: F.struct(
-            g["name"].alias("groupName"),
-            g["replicas"].alias("replicas"),
-            g["min_replicas"].alias("minReplicas"),
-            g["max_replicas"].alias("maxReplicas"),
-            map_or_empty(g["ray_start_params"]).alias("rayStartParams"),
-            pod(WORKER_CONTAINER, g["cpus"], g["memory"], g["gpus"], g["gpu_type"]).alias("template"),
+            g.alias("group"), resource_map(g["cpus"], g["memory"], g["gpus"], g["gpu_type"]).alias("resources")
+        ),
+    )
+    groups = F.transform(
+        sized,
+        lambda s: F.struct(
+            s["group"]["name"].alias("groupName"),
+            s["group"]["replicas"].alias("replicas"),
+            s["group"]["min_replicas"].alias("minReplicas"),
+            s["group"]["max_replicas"].alias("maxReplicas"),
+            map_or_empty(s["group"]["ray_start_params"]).alias("rayStartParams"),
+            pod(WORKER_CONTAINER, s["resources"]).alias("template"),
         ),
     )
     autoscaling = _optional(requests, "enable_autoscaling", "boolean")

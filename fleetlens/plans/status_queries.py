@@ -95,10 +95,11 @@ AGE_LABEL = """CASE WHEN {0} // 1000000 < 60 THEN {0} // 1000000 || 's'
   WHEN {0} // 1000000 < 86400 THEN {0} // 3600000000 || 'h' ELSE {0} // 86400000000 || 'd' END"""
 
 
-@query(
-    "list_view_clusters",
-    f"SELECT name, state, workers_ready AS workers, {AGE_LABEL.format('age_us')} AS age FROM ({CLUSTER_STATUS_SQL})",
-)
+CLUSTER_LIST_SQL = f"""SELECT name, state, workers_ready AS workers, {AGE_LABEL.format('age_us')} AS age
+FROM ({CLUSTER_STATUS_SQL})"""
+
+
+@query("list_view_clusters", CLUSTER_LIST_SQL)
 def list_view_clusters(spark, sf_dir):
     return status.list_view(status.cluster_status(_cluster_documents(spark, sf_dir), AS_OF), "cluster")
 

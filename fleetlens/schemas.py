@@ -49,14 +49,22 @@ _SPEC_AND_STATUS = {
 
 RESOURCE_KINDS = tuple(_SPEC_AND_STATUS)
 
+# The part of a specification that status rows read; parsing skips the pod templates.
+_STATUS_CLUSTER_SPEC = "struct<rayVersion: string>"
 
-def resource_schema(kind: str) -> str:
-    """DDL of one resource document of the given kind."""
+
+def resource_schema(kind: str, status_only: bool = False) -> str:
+    """DDL of one resource document of the given kind.
+
+    ``status_only`` leaves out what no status row reads, so that the parser
+    skips it instead of building it.
+    """
     if kind not in _SPEC_AND_STATUS:
         raise ValueError(f"unknown resource kind {kind!r}; expected one of {RESOURCE_KINDS}")
-    return f"apiVersion string, kind string, metadata {METADATA}, " + _SPEC_AND_STATUS[kind].replace(
-        "spec: ", "spec ", 1
-    ).replace("status: struct", "status struct", 1)
+    parts = _SPEC_AND_STATUS[kind]
+    if status_only:
+        parts = parts.replace(CLUSTER_SPEC, _STATUS_CLUSTER_SPEC)
+    return f"struct<apiVersion: string, kind: string, metadata: {METADATA}, {parts}>"
 
 
 SUBMISSION = """job_id string, submission_id string, status string, entrypoint string,

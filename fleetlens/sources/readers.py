@@ -9,25 +9,33 @@ from fleetlens import schemas
 from fleetlens.functions.columns import blank_to_null
 
 
-def parse_resources(dump: DataFrame, kind: str, text: str = "value") -> DataFrame:
+def parse_resources(
+    dump: DataFrame, kind: str, text: str = "value", status_only: bool = False
+) -> DataFrame:
     """Resource documents from a column of JSON text.
 
     Each text is one document or a list wrapper ``{"items": [...]}``. The raw text
-    of a document is kept in ``raw``, so unknown fields survive.
+    of a document is kept in ``raw``, so unknown fields survive. ``status_only``
+    parses no more than status rows need.
     """
-    items = F.from_json(F.col(text), "items array<string>")["items"]
+    # Only a text that mentions items can be a wrapper; the others are parsed once.
+    items = F.when(
+        F.col(text).contains('"items"'), F.from_json(F.col(text), "items array<string>")["items"]
+    )
     documents = dump.select(F.explode(F.coalesce(items, F.array(F.col(text)))).alias("raw"))
-    parsed = documents.select("raw", F.from_json("raw", schemas.resource_schema(kind)).alias("doc"))
-    return parsed.select("doc.*", "raw")
+    schema = schemas.resource_schema(kind, status_only)
+    return documents.select("raw", F.from_json("raw", schema).alias("doc")).select("doc.*", "raw")
 
 
-def read_resources(spark: SparkSession, path: str, kind: str, whole_file: bool = False) -> DataFrame:
+def read_resources(
+    spark: SparkSession, path: str, kind: str, whole_file: bool = False, status_only: bool = False
+) -> DataFrame:
     """Resource documents of a dump, one row each.
 
     ``whole_file`` reads a pretty-printed list as one text; such a file cannot be
     split, so large dumps should hold one document or list per line.
     """
-    return parse_resources(spark.read.text(path, wholetext=whole_file), kind)
+    return parse_resources(spark.read.text(path, wholetext=whole_file), kind, status_only=status_only)
 
 
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:

@@ -21,7 +21,8 @@ from fleetlens.operators.series import DEFAULT_POLLS, Polls, micros
 STATE_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-POLL_COLUMNS = ["_at", "_seq", "_state", "_ready", "_done"]
+# Python sees columns whose names start with an underscore under other names, so these do not.
+POLL_COLUMNS = ["poll_us", "poll_seq", "poll_state", "poll_ready", "poll_done"]
 WAIT_STATE = "start bigint, seen boolean, state string, ready boolean, closed boolean"
 EDGE_STATE = "at bigint, seq bigint, state string, entered bigint"
 
@@ -67,26 +68,26 @@ class WaitProcessor(StatefulProcessor):
         kept = []
         for chunk in rows:
             if moving:
-                first = int(chunk["_at"].min())
+                first = int(chunk["poll_us"].min())
                 start = first if start is None else min(start, first)
-            kept.append(chunk.loc[chunk["_at"] < start + self.timeout_us, POLL_COLUMNS])
+            kept.append(chunk.loc[chunk["poll_us"] < start + self.timeout_us, POLL_COLUMNS])
         polls = pd.concat(kept, ignore_index=True)
-        inside = (polls["_at"] >= start) & (polls["_at"] < start + self.timeout_us)
-        return start, polls[inside].sort_values(["_at", "_seq"])
+        inside = (polls["poll_us"] >= start) & (polls["poll_us"] < start + self.timeout_us)
+        return start, polls[inside].sort_values(["poll_us", "poll_seq"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         stored = self.wait.get() if self.wait.exists() else None
         if stored is not None and stored[4]:
             return
         start, polls = self._below_timeout(rows, stored[0] if stored else None)
-        done = polls[polls["_done"].astype(bool)]
+        done = polls[polls["poll_done"].astype(bool)]
         if len(done):
             first = done.iloc[0]
-            self.wait.update((start, True, first["_state"], bool(first["_ready"]), True))
+            self.wait.update((start, True, first["poll_state"], bool(first["poll_ready"]), True))
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             yield self._verdict(
-                key, self.outcome, int(first["_at"]) - start, first["_state"], first["_ready"]
+                key, self.outcome, int(first["poll_us"]) - start, first["poll_state"], first["poll_ready"]
             )
             return
         if stored is None:
@@ -94,7 +95,7 @@ class WaitProcessor(StatefulProcessor):
             self.handle.registerTimer(-(-(start + self.timeout_us) // 1000))
         last = polls.iloc[-1] if len(polls) else None
         if last is not None:
-            self.wait.update((start, True, last["_state"], bool(last["_ready"]), False))
+            self.wait.update((start, True, last["poll_state"], bool(last["poll_ready"]), False))
         elif stored is None:
             self.wait.update((start, False, None, None, False))
 
@@ -119,32 +120,32 @@ class EdgeProcessor(StatefulProcessor):
         self.last = handle.getValueState("last", EDGE_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        polls = pd.concat([chunk[["_at", "_seq", "_state"]] for chunk in rows], ignore_index=True)
-        polls = polls.sort_values(["_at", "_seq"], ignore_index=True)
+        polls = pd.concat([chunk[["poll_us", "poll_seq", "poll_state"]] for chunk in rows], ignore_index=True)
+        polls = polls.sort_values(["poll_us", "poll_seq"], ignore_index=True)
         stored = self.last.get() if self.last.exists() else None
         if stored is not None:
             at, seq, state, entered = stored
-            newer = (polls["_at"] > at) | ((polls["_at"] == at) & (polls["_seq"] > seq))
+            newer = (polls["poll_us"] > at) | ((polls["poll_us"] == at) & (polls["poll_seq"] > seq))
             polls = polls[newer].reset_index(drop=True)
             if polls.empty:
                 return
-            before = polls["_state"].shift(1, fill_value=state)
+            before = polls["poll_state"].shift(1, fill_value=state)
         else:
-            entered = int(polls["_at"].iloc[0])
-            before = polls["_state"].shift(1).where(polls.index > 0, polls["_state"])
-        edges = polls.assign(_before=before)[polls["_state"] != before]
-        times = [entered, *edges["_at"].astype(int)]
+            entered = int(polls["poll_us"].iloc[0])
+            before = polls["poll_state"].shift(1).where(polls.index > 0, polls["poll_state"])
+        edges = polls.assign(poll_before=before)[polls["poll_state"] != before]
+        times = [entered, *edges["poll_us"].astype(int)]
         final = polls.iloc[-1]
-        self.last.update((int(final["_at"]), int(final["_seq"]), final["_state"], times[-1]))
+        self.last.update((int(final["poll_us"]), int(final["poll_seq"]), final["poll_state"], times[-1]))
         if len(edges):
             yield _frame(
                 self.keys,
                 key,
                 {
                     "at_us": times[1:],
-                    "seq": edges["_seq"].astype(int).tolist(),
-                    "from_state": edges["_before"].tolist(),
-                    "to_state": edges["_state"].tolist(),
+                    "seq": edges["poll_seq"].astype(int).tolist(),
+                    "from_state": edges["poll_before"].tolist(),
+                    "to_state": edges["poll_state"].tolist(),
                     "dwell_us": [after - start for start, after in zip(times, times[1:])],
                 },
             )
@@ -163,13 +164,13 @@ def _wait_stream(snaps: DataFrame, polls: Polls, done, outcome: str, timeout_us:
     )
     slim = snaps.select(
         *keys,
-        F.col(polls.ts).cast("timestamp").alias("_ts"),
-        micros(polls.ts).alias("_at"),
-        F.col(polls.seq).cast("bigint").alias("_seq"),
-        F.col(polls.state).alias("_state"),
-        ready.alias("_ready"),
-        done.alias("_done"),
-    ).withWatermark("_ts", delay)
+        F.col(polls.ts).cast("timestamp").alias("poll_time"),
+        micros(polls.ts).alias("poll_us"),
+        F.col(polls.seq).cast("bigint").alias("poll_seq"),
+        F.col(polls.state).alias("poll_state"),
+        ready.alias("poll_ready"),
+        done.alias("poll_done"),
+    ).withWatermark("poll_time", delay)
     return slim.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=WaitProcessor(keys, outcome, timeout_us),
         outputStructType=_key_schema(snaps, keys)
@@ -211,9 +212,9 @@ def transitions_stream(snaps: DataFrame, kind: str, polls: Polls = DEFAULT_POLLS
     keys = polls.keys
     slim = snaps.select(
         *keys,
-        micros(polls.ts).alias("_at"),
-        F.col(polls.seq).cast("bigint").alias("_seq"),
-        F.col(polls.state).alias("_state"),
+        micros(polls.ts).alias("poll_us"),
+        F.col(polls.seq).cast("bigint").alias("poll_seq"),
+        F.col(polls.state).alias("poll_state"),
     )
     edges = slim.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=EdgeProcessor(keys),
