@@ -1,0 +1,197 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from fleetlens.functions import clock, documents, states
+from fleetlens.functions.serving import declared_replicas
+from fleetlens.operators import status
+from fleetlens.sources.readers import parse_resources
+
+AS_OF = "2024-01-02T00:00:00Z"
+DAY_US = 86_400_000_000
+
+
+def parsed(spark, kind, *docs):
+    return parse_resources(spark.createDataFrame([(json.dumps(d),) for d in docs], "value string"), kind)
+
+
+@pytest.mark.parametrize(
+    "kind, word, state",
+    [
+        ("cluster", "ready", "RUNNING"), ("cluster", "ReAdY", "RUNNING"), ("cluster", "pending", "UNKNOWN"),
+        ("cluster", "unhealthy", "UNKNOWN"), ("cluster", None, "UNKNOWN"), ("cluster", "", "UNKNOWN"),
+        ("job", "STOPPED", "STOPPED"), ("job", "ready", "UNKNOWN"), ("job", "suspended", "SUSPENDED"),
+        ("service", "WaitForFailOver", "DEPLOYING"), ("service", "waitForServerApplication", "DEPLOYING"),
+        ("service", "unhealthy", "UNHEALTHY"), ("service", "odd", "UNKNOWN"),
+    ],
+)
+def test_map_state(one, kind, word, state):
+    assert one(states.map_state("a", kind), values=[word]) == state
+
+
+@pytest.mark.parametrize(
+    "text, age",
+    [
+        ("2024-01-01T00:00:00Z", DAY_US), ("2024-01-01T00:00:00+02:00", DAY_US + 7_200_000_000),
+        ("2024-01-01T00:00:00.250Z", DAY_US - 250_000), ("2024-01-01T00:00:00", 0), ("2024-01-01", 0),
+        ("yesterday", 0), ("", 0), (None, 0), ("2024-13-01T00:00:00Z", 0), ("2024-01-03T00:00:00Z", -DAY_US),
+    ],
+)
+def test_age(one, text, age):
+    assert one(clock.age_us("a", AS_OF), values=[text]) == age
+
+
+@pytest.mark.parametrize(
+    "start, end, state, us",
+    [
+        ("2024-01-01T00:00:00Z", "2024-01-01T00:00:05Z", "RUNNING", 5_000_000),
+        ("2024-01-01T00:00:00Z", None, "SUCCEEDED", None), ("2024-01-01T00:00:00Z", None, "RUNNING", DAY_US),
+        ("2024-01-01T00:00:00Z", "", "PENDING", DAY_US), (None, "2024-01-01T00:00:05Z", "RUNNING", None),
+        ("2024-01-01T00:00:00", "2024-01-01T00:00:05Z", "RUNNING", None),
+        ("2024-01-01T00:00:00", "2024-01-01T00:00:05", "RUNNING", 5_000_000),
+        ("2024-01-01T00:00:00", None, "RUNNING", None), ("bad", "2024-01-01T00:00:05Z", "RUNNING", None),
+        ("2024-01-01T00:00:00Z", "bad", "RUNNING", None),
+    ],
+)
+def test_job_duration(one, start, end, state, us):
+    column = clock.job_duration_us("a", "b", "c", AS_OF)
+    assert one(column, "a string, b string, c string", [start, end, state]) == us
+
+
+@pytest.mark.parametrize(
+    "us, text",
+    [(0, "0s"), (59_999_999, "59s"), (60_000_000, "1m"), (3_599_000_000, "59m"), (3_600_000_000, "1h"),
+     (86_399_000_000, "23h"), (172_800_000_000, "2d"), (-1_500_000, "-1s")],
+)
+def test_age_label(one, us, text):
+    assert one(clock.age_label("a"), "a bigint", [us]) == text
+
+
+def test_condition_needs_the_text_true(spark):
+    schema = "c array<struct<type:string,status:string>>"
+    cases = [
+        ([("HeadPodReady", "True")], True), ([("HeadPodReady", "False")], False), (None, False), ([], False),
+        ([("HeadPodReady", "False"), ("HeadPodReady", "True")], True), ([(None, "True")], False),
+        ([("HeadPodReady", "true")], False),
+    ]
+    for conditions, expected in cases:
+        df = spark.createDataFrame([(conditions,)], schema)
+        assert df.select(states.condition_true("c", "HeadPodReady")).first()[0] is expected
+
+
+def test_cluster_status_defaults(spark):
+    row = status.cluster_status(parsed(spark, "cluster", {}), AS_OF).first()
+    assert row.asDict() == {
+        "name": "", "namespace": "default", "state": "UNKNOWN", "head_ready": False, "workers_ready": 0,
+        "workers_desired": 0, "version": "", "dashboard_url": None, "age_us": 0, "conditions": [],
+    }
+
+
+def test_cluster_status_of_full_document(spark):
+    doc = {
+        "metadata": {"name": "c", "namespace": "ns", "creationTimestamp": "2024-01-01T00:00:00Z"},
+        "spec": {"rayVersion": "2.9.0"},
+        "status": {
+            "state": "ready", "head": {"serviceIP": "10.0.0.1"}, "readyWorkerReplicas": 2,
+            "desiredWorkerReplicas": 3, "conditions": [{"type": "HeadPodReady", "status": "True"}],
+        },
+        "unknown": {"kept": 1},
+    }
+    df = parsed(spark, "cluster", doc)
+    row = status.cluster_status(df, AS_OF).first()
+    assert (row.state, row.head_ready, row.workers_ready, row.workers_desired) == ("RUNNING", True, 2, 3)
+    assert row.dashboard_url == "http://10.0.0.1:8265" and row.age_us == DAY_US
+    assert json.loads(df.first().raw)["unknown"] == {"kept": 1}
+
+
+def test_explicit_null_status_reads_as_empty(spark):
+    assert status.cluster_status(parsed(spark, "cluster", {"status": None}), AS_OF).first().state == "UNKNOWN"
+
+
+def test_job_status(spark):
+    docs = [
+        {"metadata": {"name": "a"}, "status": {"jobStatus": "FAILED", "message": "", "rayClusterName": ""}},
+        {"metadata": {"name": "b", "creationTimestamp": "2024-01-01T00:00:00Z"}, "spec": {"entrypoint": "x"},
+         "status": {"jobStatus": "RUNNING", "startTime": "2024-01-01T12:00:00Z", "message": "m",
+                    "rayClusterName": "c"}},
+    ]
+    first, second = status.job_status(parsed(spark, "job", *docs), AS_OF).orderBy("name").collect()
+    assert first.submitted_at == dt.datetime(2024, 1, 2) and first.error_message is None
+    assert first.cluster_name is None and first.duration_us is None and first.entrypoint == ""
+    assert second.submitted_at == dt.datetime(2024, 1, 1) and second.duration_us == DAY_US // 2
+    assert (second.mode, second.error_message, second.cluster_name) == ("CRD", "m", "c")
+    view = status.list_view(status.job_status(parsed(spark, "job", *docs), AS_OF), "job", AS_OF)
+    assert [r.age for r in view.orderBy("name").collect()] == ["0s", "1d"]
+
+
+def service(applications, config=None, **extra):
+    return {
+        "metadata": {"name": "s"}, "spec": {"serveConfigV2": config} if config is not None else {},
+        "status": {"activeServiceStatus": {"applicationStatuses": applications}, **extra},
+    }
+
+
+CONFIG = "applications:\n- deployments:\n  - num_replicas: 3\n  - name: d\n- deployments: []\n"
+
+
+@pytest.mark.parametrize(
+    "applications, config, ready, desired",
+    [
+        ({"a": {"serveDeploymentStatuses": [{"healthyReplicas": 1, "desiredReplicas": 2}]},
+          "b": {"serveDeploymentStatuses": [{"healthyReplicas": 3, "desiredReplicas": 4}, {}]}}, CONFIG, 4, 6),
+        ({"a": {"serveDeploymentStatuses": []}}, CONFIG, 0, 4),
+        ({"a": {}}, None, 0, 0),
+        ({}, "", 0, 0),
+        ({"a": {"serveDeploymentStatuses": [{"healthyReplicas": 5, "desiredReplicas": 0}]}}, CONFIG, 5, 4),
+        ({}, "a: [", 0, 0),
+        ({}, "just text", 0, 0),
+        ({}, "applications:\n- deployments:\n  - num_replicas: 2\n- text\n", 0, 2),
+        ({}, "{}", 0, 0),
+    ],
+)
+def test_service_replicas(spark, applications, config, ready, desired):
+    row = status.service_status(parsed(spark, "service", service(applications, config)), AS_OF).first()
+    assert (row.replicas_ready, row.replicas_desired) == (ready, desired)
+
+
+def test_service_endpoint_only_when_healthy(spark):
+    docs = [
+        service({}, dashboardStatus={"isHealthy": True, "dashboardUrl": "u"}),
+        service({}, dashboardStatus={"isHealthy": False, "dashboardUrl": "u"}),
+        service({}, dashboardStatus={"dashboardUrl": "u"}),
+    ]
+    got = [status.service_status(parsed(spark, "service", d), AS_OF).first() for d in docs]
+    assert [r.endpoint_url for r in got] == ["u", None, None] and all(r.route_url is None for r in got)
+
+
+def test_declared_replicas_skips_missing(spark):
+    df = spark.createDataFrame([(None,), (CONFIG,), (CONFIG,)], "c string").select(declared_replicas("c").alias("n"))
+    assert sorted(str(r.n) for r in df.collect()) == ["4", "4", "None"]
+
+
+def test_active_terminal(one):
+    assert one(states.is_active("a"), values=["RUNNING"]) and one(states.is_active("a"), values=["pending"])
+    assert not one(states.is_active("a")) and not one(states.is_active("a"), values=["SUSPENDED"])
+    for state, ended in [("STOPPED", True), ("SUSPENDED", False), ("UNKNOWN", False), (None, False)]:
+        assert one(states.is_terminal("a"), values=[state]) is ended
+
+
+def test_resolve_namespace(one):
+    schema = "a string, b string, c string"
+    column = documents.resolve_namespace("a", "b", "c")
+    assert one(column, schema, ["x", "y", "z"]) == "x" and one(column, schema, ["", "y", "z"]) == "y"
+    assert one(column, schema, [None, "", "z"]) == "z" and one(column, schema, ["", None, ""]) == "default"
+
+
+def test_unify_jobs(spark, rows):
+    jobs = status.job_status(parsed(spark, "job", {"metadata": {"name": "j"}}), AS_OF)
+    submissions = spark.createDataFrame(
+        [("", "s1", "running", 1000, 0), ("r1", "s2", "Failed", 1000, 3000)],
+        "job_id string, submission_id string, status string, start_time bigint, end_time bigint",
+    ).withColumns({"entrypoint": F.lit(None).cast("string"), "message": F.lit("m")})
+    both = status.unify_jobs(jobs, status.submission_status(submissions))
+    assert rows(both, "name", "mode", "state", "duration_us") == [
+        ("j", "CRD", "UNKNOWN", None), ("r1", "DASHBOARD", "FAILED", 2_000_000), ("s1", "DASHBOARD", "RUNNING", None),
+    ]
