@@ -217,19 +217,18 @@ def cluster_spec(requests: DataFrame) -> Column:
         "array<struct<name:string,mount_path:string,size:string,existing_claim:string,"
         "access_mode:string,storage_class:string>>",
     )
-    volumes = _non_empty(
-        F.transform(
-            storage,
-            lambda v: F.struct(
-                v["name"].alias("name"),
-                F.struct(
-                    F.coalesce(blank_to_null(v["existing_claim"]), v["name"]).alias("claimName")
-                ).alias("persistentVolumeClaim"),
-            ),
-        )
+    volumes = F.transform(
+        _non_empty(storage),
+        lambda v: F.struct(
+            v["name"].alias("name"),
+            F.struct(
+                F.coalesce(blank_to_null(v["existing_claim"]), v["name"]).alias("claimName")
+            ).alias("persistentVolumeClaim"),
+        ),
     )
-    mounts = _non_empty(
-        F.transform(storage, lambda v: F.struct(v["name"].alias("name"), v["mount_path"].alias("mountPath")))
+    mounts = F.transform(
+        _non_empty(storage),
+        lambda v: F.struct(v["name"].alias("name"), v["mount_path"].alias("mountPath")),
     )
     version = F.coalesce(
         blank_to_null(_optional(requests, "ray_version", "string")), F.lit(DEFAULT_VERSION)

@@ -75,7 +75,7 @@ def _wait(
 
     if started_at is None:
         sliced = slice_hot_groups(
-            snaps, polls.keys, polls.ts, {"_first": F.min(at)}, hot_rows
+            snaps, polls.keys, polls.ts, {"_first": F.min(at)}, hot_rows, polls.order
         )
         rows = with_stats(sliced, ["_first"])
         partial = rows.groupBy(*polls.keys, SLICE).agg(*verdicts(F.col("_first")))
@@ -194,7 +194,8 @@ def progress_trace(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One progress row per poll: state, time since the first poll, message text."""
-    sliced = slice_hot_groups(snaps, polls.keys, polls.ts, {"_first": F.min(micros(polls.ts))}, hot_rows)
+    first = {"_first": F.min(micros(polls.ts))}
+    sliced = slice_hot_groups(snaps, polls.keys, polls.ts, first, hot_rows, polls.order)
     return with_stats(sliced, ["_first"]).select(
         *polls.keys,
         polls.ts,

@@ -1,11 +1,11 @@
 """Splitting hot groups so that no task has to hold one of them whole.
 
 A resource may hold a large share of all poll rows. Operators that need the
-rows of one resource in order, or next to its own statistics, cut such a group
-into consecutive time slices and work on ``(key, slice)``. Groups below the
-threshold keep the single slice 0, so ordinary keys pay nothing for it. The
-answer never depends on where the cuts fall. Keys must not be NULL; the status
-derivations never give NULL keys.
+rows of one resource in order cut such a group into consecutive time slices;
+those that need them next to the statistics of the resource deal them out by
+hash. Both then work on ``(key, slice)``. Groups below the threshold keep the
+single slice 0. The answer never depends on where the cuts fall. Keys must not
+be NULL; the status derivations never give NULL keys.
 """
 
 from __future__ import annotations
@@ -39,8 +39,13 @@ def slice_hot_groups(
     ts: str,
     aggregates: dict[str, Column] | None = None,
     hot_rows: int = HOT_ROWS,
+    deal_by: Sequence[str] = (),
 ) -> Sliced:
-    """Cut every group of more than ``hot_rows`` rows into time slices of about that size.
+    """Cut every group of more than ``hot_rows`` rows into slices of about that size.
+
+    Slices are consecutive in time, as even as the polls are. With ``deal_by``
+    they are even whatever the times, but in no order: rows are dealt out by a
+    hash of those columns.
 
     ``aggregates`` are computed per key along the way; the first pass combines
     on the map side, so only one row per key and input task is shuffled.
@@ -66,7 +71,10 @@ def slice_hot_groups(
     )
     tagged = rows.join(F.broadcast(hot), keys, "left")
     width = F.col("_end") - F.col("_start") + 1
-    position = F.floor((micros - F.col("_start")) / width * F.col(SLICES)).cast("int")
+    if deal_by:
+        position = F.pmod(F.xxhash64(*deal_by), F.col(SLICES)).cast("int")
+    else:
+        position = F.floor((micros - F.col("_start")) / width * F.col(SLICES)).cast("int")
     sliced = tagged.withColumns(
         {
             SLICE: F.coalesce(F.least(position, F.col(SLICES) - 1), F.lit(0)),

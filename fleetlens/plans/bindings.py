@@ -22,20 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores where the scan has fewer splits than there are cores.
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table over all cores, for queries that do much work per row.
 
     One small file is one split, which leaves a local session with a single busy
-    core. A scan with enough splits, as on a cluster, stays as it is.
+    core. A table with at least one split per core, as on a cluster, stays as it
+    is and is not shuffled.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
-def as_documents(rows: DataFrame, kind: str, status_only: bool = True, **parts: Column) -> DataFrame:
+def as_documents(rows: DataFrame, kind: str, **parts: Column) -> DataFrame:
     """Rows rendered as JSON resource documents and parsed again, as a dump would be."""
-    dump = spread(rows).select(F.to_json(F.struct(*[c.alias(n) for n, c in parts.items()])).alias("value"))
-    return parse_resources(dump, kind, status_only=status_only)
+    dump = rows.select(F.to_json(F.struct(*[c.alias(n) for n, c in parts.items()])).alias("value"))
+    return parse_resources(dump, kind, status_only=True)
 
 
 EVENT_POLLS = Polls(

@@ -12,7 +12,7 @@ from fleetlens.sources.readers import available_resources
 # Parts as node resources and API types of the brands' fleets. Some fleets fail to list.
 RESOURCE = "if(p_type IN ('ECONOMY', 'PROMO'), concat(lower(p_type), '.com/GPU-', CAST(p_size AS STRING)), p_type)"
 RESOURCE_SQL = "CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN lower(p_type) || '.com/GPU-' || p_size ELSE p_type END"
-QUANTITY = "CASE WHEN p_retailprice < 950 THEN '0' WHEN p_retailprice < 960 THEN '' ELSE '4' END"
+QUANTITY = "CASE WHEN p_size < 10 THEN '0' WHEN p_size < 15 THEN '' ELSE '4' END"
 NODE_STATUS = "CASE p_brand WHEN 'Brand#3' THEN 403 WHEN 'Brand#4' THEN 500 ELSE NULL END"
 TYPE_NAME = """CASE p_type WHEN 'ECONOMY' THEN 'rayclusters.ray.io' WHEN 'PROMO' THEN 'rayjobs.ray.io'
   WHEN 'LARGE' THEN 'rayservices.ray.io' WHEN 'SMALL' THEN 'workloads.kueue.x-k8s.io'

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlens.operators import joins
-from fleetlens.plans.bindings import as_documents, table
+from fleetlens.plans.bindings import as_documents, spread_table, table
 from fleetlens.plans.registry import query
 
 # Orders as desired clusters; every order that is not pending exists already. Existing
@@ -24,7 +24,7 @@ EXISTING = """concat('{"name": "', if(o_orderstatus = 'F' AND o_orderpriority =
     FROM orders""",
 )
 def reconcile(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     desired = orders.selectExpr("o_orderkey", f"{DESIRED} AS spec")
     existing = orders.where("o_orderstatus <> 'P'").selectExpr("o_orderkey", f"{EXISTING} AS spec")
     return joins.reconcile(desired, existing, ["o_orderkey"])
@@ -87,10 +87,10 @@ def delete_blockers_scoped(spark, sf_dir):
 @query(
     "blocking_jobs",
     f"""WITH {JOBS_SQL} SELECT namespace, cluster_name, job FROM jobs
-    WHERE namespace IN (SELECT c_nationkey FROM customer WHERE c_acctbal < -900)""",
+    WHERE namespace IN (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 0)""",
 )
 def blocking_jobs(spark, sf_dir):
-    doomed = table(spark, sf_dir, "customer").where("c_acctbal < -900")
+    doomed = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING' AND c_acctbal < 0")
     clusters = doomed.selectExpr("c_nationkey AS namespace", "c_custkey AS name")
     return joins.blocking_jobs(clusters, _jobs(spark, sf_dir)).drop("state")
 
@@ -169,7 +169,7 @@ def hardware_profiles(spark, sf_dir):
       'node', named_struct('nodeSelector', map('brand', p_brand), 'tolerations', array(map('key', p_type))),
       'kueue', named_struct('localQueueName', concat('q-', p_brand), 'priorityClass', if(p_size > 25, 'high', NULL)))"""
     profiles = as_documents(
-        table(spark, sf_dir, "part"),
+        spread_table(spark, sf_dir, "part"),
         "hardware_profile",
         metadata=F.expr("named_struct('name', CAST(p_partkey AS STRING))"),
         spec=F.expr(f"named_struct('identifiers', {identifiers}, 'scheduling', {scheduling})"),

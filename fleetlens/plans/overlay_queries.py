@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.documents import merge_env, queue_labels, tracking_env
 from fleetlens.operators import overlay
 from fleetlens.operators.validation import validate
-from fleetlens.plans.bindings import spread, table
+from fleetlens.plans.bindings import spread_table, table
 from fleetlens.plans.registry import query
 
 # Orders as documents in leaf form, and overrides chosen by their status and priority.
@@ -45,7 +45,7 @@ MERGED_SQL = """SELECT o_orderkey AS id, path, value FROM (
 
 @query("deep_merge", MERGED_SQL)
 def deep_merge(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     base = orders.selectExpr("o_orderkey AS id", f"inline({BASE_LEAVES})")
     override = orders.selectExpr("o_orderkey AS id", f"inline({OVERRIDE_LEAVES})")
     return overlay.deep_merge(base, override)
@@ -53,7 +53,7 @@ def deep_merge(spark, sf_dir):
 
 @query("merge_leaves", MERGED_SQL)
 def merge_leaves(spark, sf_dir):
-    docs = table(spark, sf_dir, "orders").selectExpr(
+    docs = spread_table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id", f"{BASE_LEAVES} AS base", f"{OVERRIDE_LEAVES} AS override"
     )
     merged = overlay.merge_leaves(F.col("base"), F.col("override"))
@@ -156,7 +156,7 @@ GROUPS = """if(l_returnflag = 'N', NULL, array(
 
 
 def _requests(spark, sf_dir):
-    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
+    return spread_table(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_orderkey AS STRING) AS namespace", "concat('r', CAST(l_partkey AS STRING)) AS name",
         "if(l_returnflag = 'N', l_linenumber, NULL) AS workers", "CAST(NULL AS DOUBLE) AS cpus_per_worker",
         "if(l_returnflag = 'N', 2, NULL) AS gpus_per_worker", "CAST(NULL AS STRING) AS memory_per_worker",
@@ -229,7 +229,7 @@ def desired_state(spark, sf_dir):
     FROM orders""",
 )
 def desired_state_jobs(spark, sf_dir):
-    requests = table(spark, sf_dir, "orders").selectExpr(
+    requests = spread_table(spark, sf_dir, "orders").selectExpr(
         "o_orderpriority AS namespace", "concat('j', CAST(o_orderkey AS STRING)) AS name",
         "concat('run ', o_orderstatus) AS entrypoint", "if(o_orderstatus = 'F', 'q', '') AS queue",
         "1 AS workers", "1.0D AS cpus_per_worker", "0 AS gpus_per_worker", "'2Gi' AS memory_per_worker",
@@ -324,7 +324,7 @@ def _violations(requests, kind):
     ),
 )
 def validate_clusters(spark, sf_dir):
-    requests = table(spark, sf_dir, "lineitem").selectExpr(
+    requests = spread_table(spark, sf_dir, "lineitem").selectExpr(
         "concat('C-', CAST(l_partkey AS STRING)) AS name", "CAST(NULL AS STRING) AS namespace",
         "l_linenumber - 1 AS workers", "if(l_tax > 0.05, l_discount, NULL) AS cpus_per_worker",
         "if(l_tax = 0.02, 2 - l_linenumber, NULL) AS gpus_per_worker", "CAST(NULL AS STRING) AS memory_per_worker",

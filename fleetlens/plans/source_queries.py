@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators import inventory, series, status, summary
 from fleetlens.plans import inventory_queries, status_queries
-from fleetlens.plans.bindings import AS_OF, EVENT_POLLS, cluster_polls, iso, spread, table
+from fleetlens.plans.bindings import AS_OF, EVENT_POLLS, cluster_polls, iso, spread_table, table
 from fleetlens.plans.registry import query
 from fleetlens.sources import readers
 from fleetlens.sources.scratch import shared_folder
@@ -30,7 +30,7 @@ def _json_dump(rows: DataFrame) -> str:
 )
 def read_resources(spark, sf_dir):
     """Customers as single documents, suppliers inside list wrappers, in one dump."""
-    single = spread(table(spark, sf_dir, "customer")).select(
+    single = spread_table(spark, sf_dir, "customer").select(
         F.expr("""to_json(named_struct('metadata', named_struct('name', concat('c', CAST(c_custkey AS STRING)),
           'namespace', lower(c_mktsegment)), 'status', named_struct('state', if(c_acctbal >= 0, 'Ready', 'Pending'),
           'readyWorkerReplicas', c_nationkey)))""").alias("value")

@@ -9,7 +9,7 @@ from fleetlens.functions.documents import service_ip_url
 from fleetlens.functions.states import condition_true, is_active, is_terminal, map_state
 from fleetlens.operators import status, summary
 from fleetlens.operators.joins import effective_namespaces
-from fleetlens.plans.bindings import AS_OF, AS_OF_US, JOB_NAMESPACES, as_documents, iso, table
+from fleetlens.plans.bindings import AS_OF, AS_OF_US, JOB_NAMESPACES, as_documents, iso, spread_table, table
 from fleetlens.plans.registry import query
 
 JOB_WORDS = "CASE o_orderstatus WHEN 'O' THEN 'Running' WHEN 'F' THEN 'SUCCEEDED' ELSE 'pending' END"
@@ -50,7 +50,7 @@ SERVICE_IP = """CASE o_orderstatus WHEN 'O' THEN concat('10.0.0.', CAST(o_custke
 
 
 def _cluster_documents(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     condition = """array(named_struct('type', 'HeadPodReady', 'status', if(o_totalprice >= 150000, 'True', 'False')),
       named_struct('type', 'Other', 'status', 'True'))"""
     return as_documents(
@@ -180,7 +180,7 @@ def _service_documents(spark, sf_dir):
     deployments = """array(named_struct('healthyReplicas', l_linenumber, 'desiredReplicas', l_linenumber + 2),
       named_struct('healthyReplicas', NULL, 'desiredReplicas', 1))"""
     return as_documents(
-        table(spark, sf_dir, "lineitem"),
+        spread_table(spark, sf_dir, "lineitem"),
         "service",
         metadata=F.expr(
             f"""named_struct('name', concat('s', CAST(l_orderkey AS STRING)), 'namespace', lower(l_returnflag),

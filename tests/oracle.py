@@ -36,9 +36,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9)
+        return None if math.isnan(value) else value
     if isinstance(value, decimal.Decimal):
-        return round(float(value), 9)
+        return float(value)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None)
     return value
