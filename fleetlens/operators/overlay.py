@@ -63,20 +63,17 @@ def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id") -> D
         F.col(id_column), F.col("path").alias("hider")
     )
     base_steps = base.select(*keys, F.explode(path_prefixes("path", True)).alias("hider"))
-    hidden = base_steps.join(replacing, [id_column, "hider"], "left_semi").select(*keys).distinct()
+    hidden = base_steps.join(replacing, [id_column, "hider"], "left_semi").select(*keys)
 
     # An override leaf replaces a base leaf at its own path or at one of its ancestors.
-    override_steps = override.select(
-        F.col(id_column), F.explode(path_prefixes("path", True)).alias("path")
-    ).distinct()
-
-    kept = base.join(hidden, keys, "left_anti").join(override_steps, keys, "left_anti")
+    override_steps = override.select(F.col(id_column), F.explode(path_prefixes("path", True)).alias("path"))
+    kept = base.join(hidden.unionByName(override_steps), keys, "left_anti")
 
     # An empty object changes nothing where the base already has entries below it.
-    inner = base.select(
-        F.col(id_column), F.explode(path_prefixes("path", False)).alias("path")
-    ).distinct()
-    empty = override.where(is_empty).join(inner, keys, "left_anti")
+    empty = override.where(is_empty)
+    inner = base.select(F.col(id_column), F.explode(path_prefixes("path", False)).alias("path"))
+    blocked = inner.join(empty.select(*keys), keys, "left_semi").distinct()
+    empty = empty.join(blocked, keys, "left_anti")
     added = override.where(~is_empty | F.col("value").isNull()).unionByName(empty)
     return kept.select(*keys, "value").unionByName(added.select(*keys, "value"))
 

@@ -74,11 +74,9 @@ def _wait(
         ]
 
     if started_at is None:
-        sliced = slice_hot_groups(
-            snaps, polls.keys, polls.ts, {"_first": F.min(at)}, hot_rows, polls.order
-        )
-        rows = with_stats(sliced, ["_first"])
-        partial = rows.groupBy(*polls.keys, SLICE).agg(*verdicts(F.col("_first")))
+        sliced = slice_hot_groups(snaps, polls.keys, polls.ts, hot_rows, polls.order)
+        rows = with_stats(sliced, ["_from"])
+        partial = rows.groupBy(*polls.keys, SLICE).agg(*verdicts(F.col("_from")))
         merged = partial.groupBy(*polls.keys).agg(
             F.min("_start").alias("_start"), F.min("_done").alias("_done"), F.max("_last").alias("_last")
         )
@@ -194,14 +192,13 @@ def progress_trace(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One progress row per poll: state, time since the first poll, message text."""
-    first = {"_first": F.min(micros(polls.ts))}
-    sliced = slice_hot_groups(snaps, polls.keys, polls.ts, first, hot_rows, polls.order)
-    return with_stats(sliced, ["_first"]).select(
+    sliced = slice_hot_groups(snaps, polls.keys, polls.ts, hot_rows, polls.order)
+    return with_stats(sliced, ["_from"]).select(
         *polls.keys,
         polls.ts,
         polls.seq,
         F.col(polls.state).alias("state"),
-        (micros(polls.ts) - F.col("_first")).alias("elapsed_us"),
+        (micros(polls.ts) - F.col("_from")).alias("elapsed_us"),
         progress_message(kind, polls.state, polls.head_ready, polls.message).alias("message"),
     )
 

@@ -37,7 +37,6 @@ def slice_hot_groups(
     rows: DataFrame,
     keys: Sequence[str],
     ts: str,
-    aggregates: dict[str, Column] | None = None,
     hot_rows: int = HOT_ROWS,
     deal_by: Sequence[str] = (),
 ) -> Sliced:
@@ -47,8 +46,9 @@ def slice_hot_groups(
     they are even whatever the times, but in no order: rows are dealt out by a
     hash of those columns.
 
-    ``aggregates`` are computed per key along the way; the first pass combines
-    on the map side, so only one row per key and input task is shuffled.
+    The statistics of a key are its row count ``_n`` and its first time ``_from``
+    in microseconds. They are combined on the map side, so one row per key and
+    input task is shuffled.
 
     Only the ``MAX_HOT_KEYS`` largest groups are cut. By counting, any group
     holding over 1/1000 of all rows is among them, and the table of hot groups
@@ -59,30 +59,32 @@ def slice_hot_groups(
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(micros).alias("_from"),
-        F.max(micros).alias("_to"),
-        *[column.alias(name) for name, column in (aggregates or {}).items()],
+        *([] if deal_by else [F.max(micros).alias("_to")]),
     )
     wanted = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_SLICES)).cast("int")
-    hot = (
+    # Both uses of the statistics read the same columns, so they are computed once.
+    largest = (
         stats.where(F.col("_n") > hot_rows)
-        .orderBy(F.col("_n").desc(), *keys)
+        .orderBy(F.col("_n").desc(), "_from", *keys)
         .limit(MAX_HOT_KEYS)
-        .select(*keys, F.col("_from").alias("_start"), F.col("_to").alias("_end"), wanted.alias(SLICES))
+        .withColumn(SLICES, wanted)
     )
-    tagged = rows.join(F.broadcast(hot), keys, "left")
-    width = F.col("_end") - F.col("_start") + 1
+    bounds = [] if deal_by else [F.col("_from").alias("_start"), F.col("_to").alias("_end")]
+    tagged = rows.join(F.broadcast(largest.select(*keys, SLICES, *bounds)), keys, "left")
     if deal_by:
-        position = F.pmod(F.xxhash64(*deal_by), F.col(SLICES)).cast("int")
+        position = F.pmod(F.xxhash64(*deal_by), F.col(SLICES))
     else:
-        position = F.floor((micros - F.col("_start")) / width * F.col(SLICES)).cast("int")
+        width = F.col("_end") - F.col("_start") + 1
+        position = F.floor((micros - F.col("_start")) / width * F.col(SLICES))
     sliced = tagged.withColumns(
         {
-            SLICE: F.coalesce(F.least(position, F.col(SLICES) - 1), F.lit(0)),
+            SLICE: F.coalesce(F.least(position.cast("int"), F.col(SLICES) - 1), F.lit(0)),
             SLICES: F.coalesce(F.col(SLICES), F.lit(1)),
         }
     ).drop("_start", "_end")
-    counted = stats.join(F.broadcast(hot.select(*keys, SLICES)), keys, "left")
-    return Sliced(sliced, counted.fillna(1, [SLICES]), keys)
+    cut = F.when(F.col("_n") > hot_rows, F.coalesce(F.col(SLICES), F.lit(1))).otherwise(F.lit(1))
+    counted = stats.join(F.broadcast(largest.select(*keys, SLICES)), keys, "left").withColumn(SLICES, cut)
+    return Sliced(sliced, counted, keys)
 
 
 def with_stats(sliced: Sliced, columns: Sequence[str]) -> DataFrame:
