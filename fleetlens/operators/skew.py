@@ -4,14 +4,17 @@ A resource may hold a large share of all poll rows. Operators that need the
 rows of one resource in order cut such a group into consecutive time slices;
 those that need them next to the statistics of the resource deal them out by
 hash. Both then work on ``(key, slice)``. Groups below the threshold keep the
-single slice 0. The answer never depends on where the cuts fall. Keys must not
-be NULL; the status derivations never give NULL keys.
+single slice 0. The answer never depends on where the cuts fall. Keys should
+not be NULL, and the status derivations never give NULL keys; rows that have one
+are kept, but without statistics.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,7 +59,8 @@ def slice_hot_groups(
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    stats = rows.groupBy(*keys).agg(
+    named = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    stats = rows.where(named).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(micros).alias("_from"),
         *([] if deal_by else [F.max(micros).alias("_to")]),
@@ -98,7 +102,7 @@ def with_stats(sliced: Sliced, columns: Sequence[str]) -> DataFrame:
         *columns,
         F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1)).alias(SLICE),
     )
-    return sliced.rows.join(spread, [*sliced.keys, SLICE])
+    return sliced.rows.join(spread, [*sliced.keys, SLICE], "left")
 
 
 def sliced_only(rows: DataFrame) -> DataFrame:
