@@ -37,6 +37,9 @@ class Polls:
 
 DEFAULT_POLLS = Polls()
 
+LONG_TAIL = 100
+STRETCH = 1_000_000
+
 
 def micros(ts: ColumnLike) -> Column:
     return F.unix_micros(col(ts).cast("timestamp"))
@@ -208,14 +211,27 @@ def log_lines(df: DataFrame, id_column: str, text: str) -> DataFrame:
     return df.select(id_column, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
 
 
+def _last_lines(lines: DataFrame, n: int, groups: Sequence[str], line_no: str) -> DataFrame:
+    from_end = Window.partitionBy(*groups).orderBy(F.col(line_no).desc())
+    return lines.withColumn("_rank", F.row_number().over(from_end)).where(F.col("_rank") <= n).drop("_rank")
+
+
 def log_tail(
     lines: DataFrame, n: int | None, id_column: str = "job_id", line_no: str = "line_no"
 ) -> DataFrame:
-    """The last ``n`` lines of every log; no ``n``, or one below 1, keeps all lines."""
+    """The last ``n`` lines of every log; no ``n``, or one below 1, keeps all lines.
+
+    Each input task sends at most ``n`` lines of a log. For a long tail of a log
+    that lies in very many tasks that is still a lot for one task, so a long tail
+    is first taken from every stretch of ``STRETCH`` lines.
+    """
     if n is None or n <= 0:
         return lines
-    from_end = Window.partitionBy(id_column).orderBy(F.col(line_no).desc())
-    return lines.withColumn("_rank", F.row_number().over(from_end)).where(F.col("_rank") <= n).drop("_rank")
+    if n <= LONG_TAIL:
+        return _last_lines(lines, n, [id_column], line_no)
+    stretched = lines.withColumn("_stretch", F.floor(F.col(line_no) / STRETCH))
+    ends = _last_lines(stretched, n, [id_column, "_stretch"], line_no).drop("_stretch")
+    return _last_lines(ends, n, [id_column], line_no)
 
 
 def log_tail_text(text: ColumnLike, n: int | None) -> Column:

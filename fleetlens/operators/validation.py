@@ -21,7 +21,11 @@ NAME_PATTERN = r"^[a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?$"
 ACCESS_MODES = ("ReadWriteOnce", "ReadOnlyMany", "ReadWriteMany")
 TRACKING_PROVIDER = "mlflow"
 MANIFEST_KEYS = ("apiVersion", "kind", "metadata", "spec")
-WHOLE_NUMBER = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
+_DIGITS = "[0-9]+(_[0-9]+)*"
+WHOLE_NUMBER = rf"^\s*[+-]?{_DIGITS}\s*$"
+NUMBER = (
+    rf"(?i)^\s*[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?|inf|infinity|nan)\s*$"
+)
 
 ALL_KINDS = ("cluster", "job", "service")
 
@@ -139,7 +143,7 @@ RULES: tuple[Rule, ...] = (
 
 
 def _not_a_number(name: str) -> Column:
-    return F.col(name).isNotNull() & F.col(name).try_cast("double").isNull()
+    return F.col(name).isNotNull() & ~F.col(name).rlike(NUMBER)
 
 
 def rules_for(kind: str, columns: Iterable[str], rules: Iterable[Rule] = RULES) -> list[Rule]:

@@ -266,6 +266,10 @@ def test_other_records(spark):
     texts = spark.createDataFrame([("a", "3", "0.5", "x"), ("b", "3.5", "1", "1"), ("c", None, None, "1e3")],
                                   "name string, retry_max_attempts string, retry_backoff_factor string, retry_timeout string")
     assert sorted(r.name for r in validate(texts, "settings_text", ("name",)).collect()) == ["a", "b"]
+    numbers = {"1": True, " -1.5e3 ": True, "1_000.5": True, ".5": True, "5.": True, "Inf": True, "nan": True,
+               "1.0d": False, "": False, "1,5": False, "0x1": False, "1__0": False, ".": False}
+    given = spark.createDataFrame([(n, None, n, None) for n in numbers], texts.schema)
+    assert {r.name for r in validate(given, "settings_text", ("name",)).collect()} == {n for n, ok in numbers.items() if not ok}
     manifests = spark.createDataFrame(
         [("a", '{"apiVersion":1,"kind":1,"metadata":1,"spec":1}'), ("b", '{"kind":1}'), ("c", None), ("d", "[]")],
         "name string, manifest string")
