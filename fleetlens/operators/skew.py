@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 HOT_ROWS = 4_000_000
 MAX_HOT_KEYS = 1_000
 MAX_SLICES = 4_096
+# Time slices are equal in length, so there are more of them: crowded times are cut as well.
+TIME_SLICES_PER_SHARE = 8
 
 SLICE = "_slice"
 SLICES = "_slices"
@@ -45,9 +47,9 @@ def slice_hot_groups(
 ) -> Sliced:
     """Cut every group of more than ``hot_rows`` rows into slices of about that size.
 
-    Slices are consecutive in time, as even as the polls are. With ``deal_by``
-    they are even whatever the times, but in no order: rows are dealt out by a
-    hash of those columns.
+    Slices are consecutive in time and of equal length. With ``deal_by`` they hold
+    equally many rows whatever the times, but in no order: rows are dealt out by
+    a hash of those columns.
 
     The statistics of a key are its row count ``_n`` and its first time ``_from``
     in microseconds. They are combined on the map side, so one row per key and
@@ -65,7 +67,8 @@ def slice_hot_groups(
         F.min(micros).alias("_from"),
         *([] if deal_by else [F.max(micros).alias("_to")]),
     )
-    wanted = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_SLICES)).cast("int")
+    shares = F.ceil(F.col("_n") / hot_rows) * (1 if deal_by else TIME_SLICES_PER_SHARE)
+    wanted = F.least(shares, F.lit(MAX_SLICES)).cast("int")
     # Both uses of the statistics read the same columns, so they are computed once.
     largest = (
         stats.where(F.col("_n") > hot_rows)

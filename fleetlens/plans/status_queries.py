@@ -121,7 +121,7 @@ def _job_documents(spark, sf_dir):
         .groupBy("l_orderkey")
         .agg(F.max("l_shipdate").alias("ended"))
     )
-    jobs = table(spark, sf_dir, "orders").join(ends, F.expr("o_orderkey = l_orderkey"), "left")
+    jobs = spread_table(spark, sf_dir, "orders").join(ends, F.expr("o_orderkey = l_orderkey"), "left")
     return as_documents(
         jobs,
         "job",

@@ -68,6 +68,22 @@ def test_wait_ready_stream_equals_batch(spark, rows, batches):
     assert {r[2] for r in got} == {"READY", "TIMEOUT"}
 
 
+def test_streams_do_not_depend_on_the_size_of_python_batches(spark, rows):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "3")
+    try:
+        polls = random_polls(["CREATING", "RUNNING", "FAILED"])
+        batch = spark.createDataFrame(polls, SCHEMA)
+        stream = as_stream(spark, [*polls, CLOSING], 2)
+        waits = drain(stateful.wait_ready_stream(stream, 100 * SECOND, POLLS)).where("name <> 'closing'")
+        assert rows(waits) == rows(series.wait_ready(batch, 100 * SECOND, POLLS))
+        edges = drain(stateful.transitions_stream(as_stream(spark, polls, 2), "cluster", POLLS)).drop("at_us")
+        assert rows(edges) == rows(series.transitions(batch, F.lit("cluster"), POLLS).drop("at"))
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_wait_terminal_stream_equals_batch(spark, rows):
     polls = random_polls(["pending", "running", "suspended", "running", "running", "failed"])
     stream = as_stream(spark, [*polls, CLOSING])
