@@ -21,9 +21,19 @@ DASHBOARD_PORT = 8265
 _EMPTY_MAP = "map<string,string>"
 
 
+# Fixed value: a number written with an exponent.
+_EXPONENT = "[0-9][eE][+-]?[0-9]"
+
+
 def canonical_json(text: ColumnLike) -> Column:
-    """JSON text with sorted keys and normalised numbers; text that is no JSON stays as it is."""
-    return F.coalesce(F.to_json(F.try_parse_json(col(text))), col(text))
+    """JSON text with sorted keys and normalised numbers; text that is no JSON stays as it is.
+
+    A number with an exponent comes out of the first pass as a plain decimal with
+    a fraction, which the second pass writes like any other.
+    """
+    once = F.to_json(F.try_parse_json(col(text)))
+    twice = F.when(col(text).rlike(_EXPONENT), F.to_json(F.try_parse_json(once))).otherwise(once)
+    return F.coalesce(twice, col(text))
 
 
 def spec_digest(text: ColumnLike) -> Column:

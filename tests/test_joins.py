@@ -28,6 +28,7 @@ def test_reconcile(spark, rows):
 
 def test_canonical_json_keeps_large_numbers_and_repeated_keys(one):
     assert one(canonical_json("a"), values=['{"b":12345678901234567890,"a":null}']) == '{"a":null,"b":12345678901234567890}'
+    assert one(canonical_json("a"), values=['[1e2, 1.0, 0.50, "1e2"]']) == '[100,1,0.5,"1e2"]'
     repeated = '{"a":1,"a":2}'
     assert one(canonical_json("a"), values=[repeated]) == repeated
 
