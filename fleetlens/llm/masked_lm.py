@@ -135,9 +135,11 @@ class WindowNetwork:
         self.out -= scale * (hidden.T @ p)
         self.offset -= scale * p.sum(0)
         self.bias -= scale * back.sum(0)
+        width, flat = back.shape[1], back.ravel().astype("f8")
         for column in context.T:
-            for j in range(back.shape[1]):
-                self.sides[:, j] -= scale * np.bincount(column, back[:, j], len(self.sides)).astype("f4")
+            cells = (column[:, None] * width + np.arange(width)).ravel()
+            slope = np.bincount(cells, flat, self.sides.size).reshape(self.sides.shape)
+            self.sides -= (scale * slope).astype("f4")
 
 
 def _stream(texts: Iterator[pd.DataFrame], of: np.ndarray, buckets: int) -> Iterator[np.ndarray]:
