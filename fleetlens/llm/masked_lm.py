@@ -150,7 +150,7 @@ def _stream(texts: Iterator[pd.DataFrame], of: np.ndarray, buckets: int) -> Iter
                 yield found[i : i + BLOCK]
 
 
-def train(texts: DataFrame, of: np.ndarray, shape: Shape, rounds: int = 2, rate: float = 4.0, batch: int = 1024) -> WindowNetwork:
+def train(texts: DataFrame, of: np.ndarray, shape: Shape, rounds: int = 1, rate: float = 4.0, batch: int = 1024) -> WindowNetwork:
     """Averages the networks of all tasks, weighted by tokens, ``rounds`` times."""
     start = WindowNetwork(shape).parameters()
     for k in range(rounds):
@@ -187,7 +187,7 @@ def train(texts: DataFrame, of: np.ndarray, shape: Shape, rounds: int = 2, rate:
     return WindowNetwork(shape, start)
 
 
-def score_documents(docs: DataFrame, shape: Shape = Shape(), rounds: int = 2, text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, text_col: str = "text") -> DataFrame:
     """Adds ``n_tokens``, ``log_prob`` (summed) and ``mean_log_prob`` to the documents."""
     texts = docs.select(F.col(text_col).alias("text"))
     of, within = class_table(bucket_counts(texts, shape.buckets), shape)
