@@ -156,11 +156,16 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
     draw = Draw(key, kind, normal, attempt)
     if kind == "email":
         local, _, domain = normal.partition("@")
-        name, _, top = domain.rpartition(".")
-        return draw.like(local) + "abcdefgh"[: attempt // 4] + "@" + draw.like(name) + "." + top
+        *names, top = domain.split(".")
+        names = [draw.like(n) for n in names]
+        if top in ("com", "net", "org"):  # example.* of these is reserved: nobody's address
+            names[-1] = "example"
+        return draw.like(local) + "abcdefgh"[: attempt // 4] + "@" + ".".join([*names, top])
     if kind == "phone":
         own = max(0, len(normal) - 10)
-        return normal[:own] + draw.of("23456789") + draw.digits(len(normal) - own - 1)
+        number = draw.of("23456789") + draw.digits(len(normal) - own - 1)
+        made_up = len(number) == 10 and normal[:own] in ("", "1") and attempt < 8  # exchange 555
+        return normal[:own] + (number[:3] + "555" + number[6:] if made_up else number)
     if kind == "ssn":
         return "9" + draw.digits(len(normal) - 1)
     if kind == "card":
