@@ -14,7 +14,7 @@ and none is missed. Candidates are then compared on the shingles themselves.
 The shingles of documents meet the sketches in an equality join and go no further
 unless they hit. Copies of a text are one key in the search. A text of fewer than
 ``width`` words is one shingle of all its words; null and empty texts have none and
-neither contain nor are contained. Repeated rows give equal results once.
+neither contain nor are contained. Repeated rows give equal results, a row each.
 """
 
 from __future__ import annotations
@@ -121,7 +121,6 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.8, width: int = 5,
         docs.select("doc_id", text_key(F.col("text")).alias("key"))
         .join(small(found, max_broadcast), "key")
         .select("doc_id", "item_id", F.col("n_item").cast("long"), F.col("n_shared").cast("long"), "containment")
-        .distinct()
     )
 
 

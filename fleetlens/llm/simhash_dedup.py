@@ -108,6 +108,7 @@ def near_duplicates(
     prints = written(
         docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), width, seed).alias("fp")),
         "fingerprints",
+        merged=False,
     )
     named = classes(prints, distance)
     return prints.join(named, "fp", "left").select(
@@ -143,7 +144,7 @@ def one_of_each(docs: DataFrame, distance: int = 4, width: int = 4, seed: int =
     """
     names = docs.columns
     marked = docs.withColumn("__fp", fingerprint_column(F.col("text"), width, seed))
-    prints = written(marked.select("doc_id", F.col("__fp").alias("fp")), "fingerprints")
+    prints = written(marked.select("doc_id", F.col("__fp").alias("fp")), "fingerprints", merged=False)
     chosen = written(
         classes(prints, distance)
         .groupBy("component_id")

@@ -170,7 +170,7 @@ def sized_documents(docs: DataFrame, seed: int = 11) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, seed: int = 11) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken of every document."""
-    sized = written(sized_documents(docs, seed), "sized")
+    sized = written(sized_documents(docs, seed), "sized", merged=False)
     counts = written(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
     state = shifts(sized, tilts(counts, source_targets(counts, weights, most), most), most)
     rows = _with_source(sized, state, "source_size", "target", "mean", "tilt", "shift")

@@ -193,7 +193,7 @@ def write_archives(
             done.append(archive.close())
         yield pd.DataFrame(done, columns=["path", "records", "bytes"])
 
-    return written(records.mapInPandas(write, MANIFEST), "manifest")
+    return written(records.mapInPandas(write, MANIFEST), "manifest", merged=False)
 
 
 def frames_of(stream) -> Iterator[bytes]:
