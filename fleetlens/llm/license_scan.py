@@ -69,6 +69,9 @@ TEMPLATES = (
 )
 
 
+ADDED = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def rarity(texts: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> dict[str, float]:
     """IDF of every licence word over all rows of column ``text``; one row per licence word reaches the driver."""
     vocabulary = sorted({w for t in templates for w in t.words})
@@ -107,8 +110,9 @@ def _places(template: Template, idf: dict[str, float], words: Column, seen: Colu
 def scan(
     docs: DataFrame, idf: dict[str, float], templates: tuple[Template, ...] = TEMPLATES, least: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
-    """Adds n_words, n_base, first_word, last_word, base_labels, labels and score to every row."""
-    rows = docs.select(F.struct("*").alias("row"), word_array(F.col(text_col)).alias("words"))
+    """Adds the columns ``ADDED`` to every row, in place of any of the same name."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
+    rows = docs.select(F.struct(*kept).alias("row"), word_array(F.col(text_col)).alias("words"))
     index = sorted({max(t.key_words, key=lambda w: (idf[w], w)) for t in templates})
     numbered = F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     rows = rows.withColumn("seen", F.filter(numbered, lambda x: x["w"].isin(index)))
