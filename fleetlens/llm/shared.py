@@ -33,12 +33,12 @@ def shared_root(spark: SparkSession) -> str:
 def written(rows: DataFrame, name: str, merged: bool = True) -> DataFrame:
     """The rows as a table in the shared folder: its size is known and a lost executor costs nothing.
 
-    ``merged`` is for results of a shuffle: at most one file per core, instead of one
-    per shuffle partition. Results of a scan keep its tasks.
+    ``merged`` is for narrow results of a shuffle: they are dealt anew to one file per
+    core, instead of one per shuffle partition. Results of a scan keep its tasks.
     """
     spark = rows.sparkSession
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    (rows.coalesce(spark.sparkContext.defaultParallelism) if merged else rows).write.parquet(path)
+    (rows.repartition(spark.sparkContext.defaultParallelism) if merged else rows).write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
