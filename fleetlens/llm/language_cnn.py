@@ -5,7 +5,7 @@ Filters of several widths slide over the bytes of a window, their largest answer
 softmax over the languages, and the log-probabilities of all windows are averaged.
 
 The network is fitted on a bounded sample: of each language at most ``per_language``
-labelled documents (those with the smallest hash of the text), and of each of them at most
+labelled texts (those with the smallest hashes), and of each of them at most
 ``per_text`` evenly spaced windows. Its size does not grow with the corpus.
 
 A null text, an empty one, or one without a letter is ``und`` with score 0. Without any
@@ -173,15 +173,14 @@ def train(labelled: DataFrame, per_language: int = 400, per_text: int = 6, lengt
 
         return texts.map(pick)
 
-    rank = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (
-        labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-        .select("lang", "text", F.xxhash64("text").alias("h"))
-        .withColumn("k", F.row_number().over(rank))
-        .where(F.col("k") <= per_language)
-        .select("lang", "h", spread("text").alias("windows"))
-        .collect()
+    rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select("lang", "text", F.xxhash64("text").alias("h"))
+    rank = F.dense_rank().over(Window.partitionBy("lang").orderBy("h"))
+    cuts = (
+        rows.select("lang", "h").withColumn("k", rank).where(F.col("k") <= per_language)
+        .groupBy("lang").agg(F.max("h").alias("cut"))
     )
+    chosen = rows.join(cuts, "lang").where(F.col("h") <= F.col("cut"))
+    sample = chosen.select("lang", "h", spread("text").alias("windows")).groupBy("lang", "h").agg(F.min("windows").alias("windows")).collect()
     if not sample:
         return None
     sample.sort(key=lambda r: (r["lang"], r["h"]))
