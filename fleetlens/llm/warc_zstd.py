@@ -136,7 +136,7 @@ class Archive:
         system.create_dir(base, recursive=True)
         name = f"part-{uuid.uuid4().hex}.warc.zst"
         self.path, self.records, self.bytes = f"{folder}/{name}", 0, 0
-        self.out = system.open_output_stream(f"{base}/{name}")
+        self.out = system.open_output_stream(f"{base}/{name}", compression=None)
         trained = dictionary(samples, dictionary_bytes)
         packed = zstandard.ZstdCompressor(level=level).compress(trained) if trained else b""
         self._write(SKIPPABLE.to_bytes(4, "little") + len(packed).to_bytes(4, "little") + packed)
@@ -233,7 +233,7 @@ def read_archives(manifest: DataFrame, rows_at_once: int = 2000) -> DataFrame:
         for frame in frames:
             for path in frame["path"]:
                 system, at = pyarrow.fs.FileSystem.from_uri(path)
-                with system.open_input_stream(at) as stream:
+                with system.open_input_stream(at, compression=None) as stream:
                     out = []
                     for record in frames_of(stream):
                         out.append(parse(record))
