@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from fleetlens.llm import (
     url_automaton,
     warc_zstd,
 )
-from fleetlens.llm.shared import table
+from fleetlens.llm.shared import table, text_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +28,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(run):
-        QUERIES[name] = run
+        @functools.wraps(run)
+        def with_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+            text_batches(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = with_batches
         if sql is not None:
             ORACLES[name] = sql
         return run

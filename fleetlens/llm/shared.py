@@ -15,6 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Lets the session send texts to Python in batches of at most ``BATCH_ROWS``.
+
+    The default of 10,000 rows is meant for narrow rows; with whole texts it makes every
+    Python worker hold tens of megabytes several times over. Queries and stages call
+    this, operators don't.
+    """
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors reach.
 

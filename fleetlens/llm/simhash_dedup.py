@@ -142,9 +142,8 @@ def one_of_each(docs: DataFrame, distance: int = 4, width: int = 4, seed: int =
     Of repeated rows one stays; of a class without ids too. Rows with nulls elsewhere
     are ordinary rows.
     """
-    names = docs.columns
-    marked = docs.withColumn("__fp", fingerprint_column(F.col("text"), width, seed))
-    prints = written(marked.select("doc_id", F.col("__fp").alias("fp")), "fingerprints", merged=False)
+    marked = written(docs.withColumn("__fp", fingerprint_column(F.col("text"), width, seed)), "marked", merged=False)
+    prints = marked.select("doc_id", F.col("__fp").alias("fp"))
     chosen = written(
         classes(prints, distance)
         .groupBy("component_id")
@@ -153,6 +152,6 @@ def one_of_each(docs: DataFrame, distance: int = 4, width: int = 4, seed: int =
         "chosen",
     )
     kept = marked.join(chosen, "__fp").where(F.col("doc_id").eqNullSafe(F.col("__id")))
-    single = kept.where("__rows = 1").select(*names)
-    repeated = kept.where("__rows > 1").dropDuplicates(["__fp"]).select(*names)
-    return single.unionByName(repeated)
+    if not chosen.where("__rows > 1").isEmpty():
+        kept = kept.where("__rows = 1").unionByName(kept.where("__rows > 1").dropDuplicates(["__fp"]))
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
