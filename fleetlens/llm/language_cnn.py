@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.llm.shared import small, written
+
 UNKNOWN = "und"
 BLOCK = 512
 
@@ -179,6 +181,7 @@ def train(labelled: DataFrame, per_language: int = 400, per_text: int = 6, lengt
         rows.select("lang", "h").withColumn("k", rank).where(F.col("k") <= per_language)
         .groupBy("lang").agg(F.max("h").alias("cut"))
     )
+    cuts = small(written(cuts, "cuts"), 10_000)  # a row per language
     chosen = rows.join(cuts, "lang").where(F.col("h") <= F.col("cut"))
     sample = chosen.select("lang", "h", spread("text").alias("windows")).groupBy("lang", "h").agg(F.min("windows").alias("windows")).collect()
     if not sample:
