@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,7 +26,3 @@ def blank_to_null(value: ColumnLike) -> Column:
 def whole_div(value: Column, divisor: int) -> Column:
     """Integer division that truncates toward zero."""
     return F.call_function("div", value, F.lit(divisor))
-
-
-def as_name_list(names: str | Iterable[str]) -> list[str]:
-    return [names] if isinstance(names, str) else list(names)

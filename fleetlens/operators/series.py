@@ -246,7 +246,7 @@ def log_tail_text(text: ColumnLike, n: int | None) -> Column:
 def log_metrics(lines: DataFrame, line: str = "line") -> DataFrame:
     """Epoch, loss and accuracies of training log lines; other lines are left out."""
     # Fixed value: the line format written by the training loop.
-    pattern = r"Epoch (\d+)/(\d+) . loss: ([0-9.]+), train_acc: ([0-9.]+), test_acc: ([0-9.]+)"
+    pattern = r"Epoch (\d+)/(\d+) — loss: ([0-9.]+), train_acc: ([0-9.]+), test_acc: ([0-9.]+)"
     typed = [
         ("epoch", "int"), ("epochs", "int"), ("loss", "double"),
         ("train_acc", "double"), ("test_acc", "double"),

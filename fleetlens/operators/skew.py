@@ -1,12 +1,11 @@
 """Splitting hot groups so that no task has to hold one of them whole.
 
 A resource may hold a large share of all poll rows. Operators that need the
-rows of one resource in order cut such a group into consecutive time slices;
-those that need them next to the statistics of the resource deal them out by
-hash. Both then work on ``(key, slice)``. Groups below the threshold keep the
-single slice 0. The answer never depends on where the cuts fall. Keys should
-not be NULL, and the status derivations never give NULL keys; rows that have one
-are kept, but without statistics.
+rows of one resource in order cut such a group at quantiles of its times into
+slices of equal counts; those that need them next to the statistics of the
+resource deal them out by hash. Both then work on ``(key, slice)``. Groups below
+the threshold keep the single slice 0. The answer never depends on where the cuts
+fall. Any number of groups is cut, and a NULL in a key is a value like any other.
 """
 
 from __future__ import annotations
@@ -20,10 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 4_000_000
-MAX_HOT_KEYS = 1_000
-MAX_SLICES = 4_096
-# Time slices are equal in length, so there are more of them: crowded times are cut as well.
-TIME_SLICES_PER_SHARE = 8
+# A hot group is cut at this many quantiles less one.
+TIME_SLICES = 256
 
 SLICE = "_slice"
 SLICES = "_slices"
@@ -45,53 +42,49 @@ def slice_hot_groups(
     hot_rows: int = HOT_ROWS,
     deal_by: Sequence[str] = (),
 ) -> Sliced:
-    """Cut every group of more than ``hot_rows`` rows into slices of about that size.
+    """Cut every group of more than ``hot_rows`` rows.
 
-    Slices are consecutive in time and of equal length. With ``deal_by`` they hold
-    equally many rows whatever the times, but in no order: rows are dealt out by
-    a hash of those columns.
+    Slices are consecutive in time and hold about equally many rows, however the
+    times are spread: the cuts are approximate quantiles, combined on the map side.
+    With ``deal_by`` slices hold about ``hot_rows`` rows in no order: rows are dealt
+    out by a hash of those columns.
 
     The statistics of a key are its row count ``_n`` and its first time ``_from``
     in microseconds. They are combined on the map side, so one row per key and
     input task is shuffled.
-
-    Only the ``MAX_HOT_KEYS`` largest groups are cut. By counting, any group
-    holding over 1/1000 of all rows is among them, and the table of hot groups
-    is small enough to broadcast whatever the size of the input.
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    named = reduce(and_, [F.col(key).isNotNull() for key in keys])
-    stats = rows.where(named).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(micros).alias("_from"),
-        *([] if deal_by else [F.max(micros).alias("_to")]),
-    )
-    shares = F.ceil(F.col("_n") / hot_rows) * (1 if deal_by else TIME_SLICES_PER_SHARE)
-    wanted = F.least(shares, F.lit(MAX_SLICES)).cast("int")
-    # Both uses of the statistics read the same columns, so they are computed once.
-    largest = (
-        stats.where(F.col("_n") > hot_rows)
-        .orderBy(F.col("_n").desc(), "_from", *keys)
-        .limit(MAX_HOT_KEYS)
-        .withColumn(SLICES, wanted)
-    )
-    bounds = [] if deal_by else [F.col("_from").alias("_start"), F.col("_to").alias("_end")]
-    tagged = rows.join(F.broadcast(largest.select(*keys, SLICES, *bounds)), keys, "left")
+    stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_from"))
+    shares = F.ceil(F.col("_n") / hot_rows).cast("int") if deal_by else F.lit(TIME_SLICES)
+    stats = stats.withColumn(SLICES, F.when(F.col("_n") > hot_rows, shares).otherwise(F.lit(1)))
+    hot = stats.where(F.col("_n") > hot_rows).select(*keys, SLICES)
     if deal_by:
+        tagged = join_null_safe(rows, hot, keys, "left")
         position = F.pmod(F.xxhash64(*deal_by), F.col(SLICES))
     else:
-        width = F.col("_end") - F.col("_start") + 1
-        position = F.floor((micros - F.col("_start")) / width * F.col(SLICES))
+        shares_below = F.array(*[F.lit(i / TIME_SLICES) for i in range(1, TIME_SLICES)])
+        cuts = (
+            join_null_safe(rows, hot, keys, "inner")
+            .groupBy(*keys, SLICES)
+            .agg(F.percentile_approx(micros, shares_below, 10_000).alias("_cuts"))
+        )
+        tagged = join_null_safe(rows, cuts, keys, "left")
+        position = F.size(F.filter("_cuts", lambda cut: cut < micros))
     sliced = tagged.withColumns(
         {
-            SLICE: F.coalesce(F.least(position.cast("int"), F.col(SLICES) - 1), F.lit(0)),
+            SLICE: F.when(F.col(SLICES).isNotNull(), F.coalesce(position.cast("int"), F.lit(0))).otherwise(F.lit(0)),
             SLICES: F.coalesce(F.col(SLICES), F.lit(1)),
         }
-    ).drop("_start", "_end")
-    cut = F.when(F.col("_n") > hot_rows, F.coalesce(F.col(SLICES), F.lit(1))).otherwise(F.lit(1))
-    counted = stats.join(F.broadcast(largest.select(*keys, SLICES)), keys, "left").withColumn(SLICES, cut)
-    return Sliced(sliced, counted, keys)
+    ).drop("_cuts")
+    return Sliced(sliced, stats, keys)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """An equality join on ``keys`` in which NULL equals NULL; the keys of the left side stay."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{key}" for key in keys])
 
 
 def with_stats(sliced: Sliced, columns: Sequence[str]) -> DataFrame:
@@ -105,7 +98,7 @@ def with_stats(sliced: Sliced, columns: Sequence[str]) -> DataFrame:
         *columns,
         F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1)).alias(SLICE),
     )
-    return sliced.rows.join(spread, [*sliced.keys, SLICE], "left")
+    return join_null_safe(sliced.rows, spread, [*sliced.keys, SLICE], "left")
 
 
 def sliced_only(rows: DataFrame) -> DataFrame:
@@ -137,5 +130,5 @@ def previous_row(
         .drop("_last")
     )
     lagged = rows.withColumn(name, F.lag(value).over(in_slice))
-    joined = lagged.join(borders, [*keys, SLICE], "left")
+    joined = join_null_safe(lagged, borders, [*keys, SLICE], "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.col("_before"))).drop("_before")

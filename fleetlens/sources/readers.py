@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from fleetlens import schemas
 from fleetlens.functions.columns import blank_to_null
 
+CORRUPT = "_corrupt_record"
+
 
 def parse_resources(
     dump: DataFrame, kind: str, text: str = "value", status_only: bool = False
@@ -16,15 +18,27 @@ def parse_resources(
 
     Each text is one document or a list wrapper ``{"items": [...]}``. The raw text
     of a document is kept in ``raw``, so unknown fields survive. ``status_only``
-    parses no more than status rows need.
+    parses no more than status rows need. Blank lines are skipped, and what is no
+    document of the kind goes to ``rejected_resources``.
     """
+    parsed = _parsed(dump, kind, text, status_only)
+    return parsed.where(F.col(f"doc.{CORRUPT}").isNull()).select("doc.*", "raw").drop(CORRUPT)
+
+
+def rejected_resources(dump: DataFrame, kind: str, text: str = "value", status_only: bool = False) -> DataFrame:
+    """The documents that ``parse_resources`` leaves out, as ``raw`` text: no JSON object, or a field of a wrong type."""
+    return _parsed(dump, kind, text, status_only).where(F.col(f"doc.{CORRUPT}").isNotNull()).select("raw")
+
+
+def _parsed(dump: DataFrame, kind: str, text: str, status_only: bool) -> DataFrame:
     # Only a text that mentions items can be a wrapper; the others are parsed once.
     items = F.when(
         F.col(text).contains('"items"'), F.from_json(F.col(text), "items array<string>")["items"]
     )
-    documents = dump.select(F.explode(F.coalesce(items, F.array(F.col(text)))).alias("raw"))
-    schema = schemas.resource_schema(kind, status_only)
-    return documents.select("raw", F.from_json("raw", schema).alias("doc")).select("doc.*", "raw")
+    written = dump.where(F.trim(text) != "")
+    documents = written.select(F.explode(F.coalesce(items, F.array(F.col(text)))).alias("raw"))
+    schema = f"{schemas.resource_schema(kind, status_only)[:-1]}, {CORRUPT}: string>"
+    return documents.select("raw", F.from_json("raw", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))
 
 
 def read_resources(

@@ -35,6 +35,11 @@ def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
     return ", ".join(f"`{key}` {df.schema[key].dataType.simpleString()}" for key in keys)
 
 
+def _usable(polls: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Polls with a key, a time and a sequence; a malformed line has none and would stop the stream for good."""
+    return polls.dropna(subset=[*keys, "poll_us", "poll_seq"])
+
+
 def _frame(keys: Sequence[str], key: tuple, columns: dict[str, list]) -> pd.DataFrame:
     """A frame whose rows all belong to one key; missing values stay missing in every type."""
     size = len(next(iter(columns.values())))
@@ -133,7 +138,8 @@ class EdgeProcessor(StatefulProcessor):
         else:
             entered = int(polls["poll_us"].iloc[0])
             before = polls["poll_state"].shift(1).where(polls.index > 0, polls["poll_state"])
-        edges = polls.assign(poll_before=before)[polls["poll_state"] != before]
+        same = (polls["poll_state"] == before) | (polls["poll_state"].isna() & before.isna())
+        edges = polls.assign(poll_before=before)[~same]
         times = [entered, *edges["poll_us"].astype(int)]
         final = polls.iloc[-1]
         self.last.update((int(final["poll_us"]), int(final["poll_seq"]), final["poll_state"], times[-1]))
@@ -171,7 +177,7 @@ def _wait_stream(snaps: DataFrame, polls: Polls, done, outcome: str, timeout_us:
         ready.alias("poll_ready"),
         done.alias("poll_done"),
     ).withWatermark("poll_time", delay)
-    return slim.groupBy(*keys).transformWithStateInPandas(
+    return _usable(slim, keys).groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=WaitProcessor(keys, outcome, timeout_us),
         outputStructType=_key_schema(snaps, keys)
         + ", outcome string, elapsed_us bigint, last_state string, last_head_ready boolean",
@@ -216,7 +222,7 @@ def transitions_stream(snaps: DataFrame, kind: str, polls: Polls = DEFAULT_POLLS
         F.col(polls.seq).cast("bigint").alias("poll_seq"),
         F.col(polls.state).alias("poll_state"),
     )
-    edges = slim.groupBy(*keys).transformWithStateInPandas(
+    edges = _usable(slim, keys).groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=EdgeProcessor(keys),
         outputStructType=_key_schema(snaps, keys)
         + ", at_us bigint, seq bigint, from_state string, to_state string, dwell_us bigint",

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+from fleetlens.plans.registry import REGISTERED
 
 SF = "/root/testdata/sf0.001"
 PYTHON = {
@@ -12,10 +13,10 @@ PYTHON = {
     "wait_ready_stream", "wait_terminal_stream", "transitions_stream",
 }
 # These run jobs when they are called: they write a dump or drain a stream first.
-EAGER = {name for name in entry_point.queries() if name.startswith(("read_", "write_")) or name in {
+EAGER = {name for name in REGISTERED if name.startswith(("read_", "write_")) or name in {
     "wait_ready_stream", "wait_terminal_stream", "transitions_stream", "log_follow", "progress_heartbeat",
     "state_counts_stream", "on_progress"}}
-LAZY = sorted(set(entry_point.queries()) - EAGER)
+LAZY = sorted(set(REGISTERED) - EAGER)
 
 
 def plan(spark, name):

@@ -171,3 +171,31 @@ def test_retry_delay_ceiling_and_no_time_left(spark):
     ended = df.withColumn("ended", F.col("started_at") + F.expr("INTERVAL 1 SECOND"))
     done = {r.op_id: r.outcome for r in series.retry_outcome(ended, max_attempts=5, finished_at="ended").collect()}
     assert done == {"a": "INCOMPLETE", "b": "EXHAUSTED"}
+
+
+def test_waits_and_traces_take_null_keys(spark):
+    polls = [(None, "j", k, 1000 + k * 60, "SUCCEEDED" if k == 1 else "RUNNING") for k in range(3)]
+    polls += [("n", "j", k, 1000 + k * 30, "RUNNING") for k in range(5)]
+    df = spark.createDataFrame(polls, "namespace string, name string, seq long, t long, state string").selectExpr(
+        "namespace", "name", "seq", "timestamp_seconds(t) AS observed_at", "state", "false AS head_ready", "'' AS message"
+    )
+    keyed = series.Polls(("namespace", "name"), "observed_at", "seq", "state", "head_ready", "message")
+    for hot_rows in (1, 1000):
+        got = {r.namespace: (r.outcome, r.elapsed_us) for r in series.wait_terminal(df, 3600 * SECOND, "DASHBOARD", keyed, hot_rows=hot_rows).collect()}
+        assert got == {None: ("TERMINAL", 60 * SECOND), "n": ("TIMEOUT", None)}
+        trace = series.progress_trace(df, "job", keyed, hot_rows=hot_rows).collect()
+        assert len(trace) == 8 and all(r.elapsed_us is not None for r in trace)
+        edges = series.transitions(df, F.lit("job"), keyed, hot_rows=hot_rows).collect()
+        assert [(r.namespace, r.from_state, r.to_state) for r in edges if r.seq == 1] == [(None, "RUNNING", "SUCCEEDED")]
+
+
+def test_slices_are_even_whatever_the_times(spark):
+    """One stray poll long before the others doesn't put them all in one slice; over a thousand keys are cut."""
+    from fleetlens.operators.skew import slice_hot_groups
+
+    crowd = spark.range(20_000).selectExpr("0L AS k", "id AS seq", "timestamp_seconds(IF(id = 0, 0, 1700000000 + id)) AS ts")
+    sizes = [r["count"] for r in slice_hot_groups(crowd, ["k"], "ts", hot_rows=1000).rows.groupBy("_slice").count().collect()]
+    assert len(sizes) > 100 and max(sizes) <= 3 * sum(sizes) / len(sizes)
+    many = spark.range(12_000).selectExpr("id % 1200 AS k", "id AS seq", "timestamp_seconds(id) AS ts")
+    stats = slice_hot_groups(many, ["k"], "ts", hot_rows=5, deal_by=["seq"]).stats
+    assert stats.where("_slices = 2").count() == 1200

@@ -89,3 +89,17 @@ def test_shared_folder_is_below_the_named_one(spark):
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first.startswith(root) and first != second
+
+
+def test_broken_lines_are_no_resources(spark):
+    from fleetlens.sources.readers import parse_resources, rejected_resources
+
+    lines = [
+        "", "   ", "not json", '{"metadata": {"name": "a"', '{"metadata": {"name": "b"}, "status": {"readyWorkerReplicas": "three"}}',
+        '{"metadata": {"name": "c"}}', '{"items": [{"metadata": {"name": "d"}}, {"metadata": 5}]}', None,
+    ]
+    dump = spark.createDataFrame([(x,) for x in lines], "value string")
+    for status_only in (False, True):
+        kept = parse_resources(dump, "cluster", status_only=status_only)
+        assert sorted(r.metadata.name for r in kept.collect()) == ["c", "d"]
+        assert rejected_resources(dump, "cluster", status_only=status_only).count() == 4

@@ -195,3 +195,18 @@ def test_unify_jobs(spark, rows):
     assert rows(both, "name", "mode", "state", "duration_us") == [
         ("j", "CRD", "UNKNOWN", None), ("r1", "DASHBOARD", "FAILED", 2_000_000), ("s1", "DASHBOARD", "RUNNING", None),
     ]
+
+
+@pytest.mark.parametrize(
+    "config, want",
+    [
+        ("applications:\n- deployments:\n  - num_replicas: 2\n    since: 2024-13-45\n", 0),
+        ("applications:\n- deployments:\n  - num_replicas: .inf\n", 0),
+        ("applications:\n- deployments:\n  - num_replicas: three\n  - num_replicas: 2\n", 2),
+        ('{"applications": [{"deployments": [{"num_replicas": 4}, {"name": "d"}]}]}', 5),
+        ("{applications: [{deployments: [{num_replicas: 4}]}]}", 4),
+    ],
+)
+def test_declared_replicas_survive_bad_texts(spark, config, want):
+    df = spark.createDataFrame([(config,), ("applications: [",)], "c string").select(declared_replicas("c").alias("n"))
+    assert [r.n for r in df.collect()] == [want, 0]
