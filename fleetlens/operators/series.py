@@ -37,8 +37,6 @@ class Polls:
 
 DEFAULT_POLLS = Polls()
 
-LONG_TAIL = 100
-STRETCH = 1_000_000
 
 
 def micros(ts: ColumnLike) -> Column:
@@ -221,17 +219,11 @@ def log_tail(
 ) -> DataFrame:
     """The last ``n`` lines of every log; no ``n``, or one below 1, keeps all lines.
 
-    Each input task sends at most ``n`` lines of a log. For a long tail of a log
-    that lies in very many tasks that is still a lot for one task, so a long tail
-    is first taken from every stretch of ``STRETCH`` lines.
+    Each input task sends at most ``n`` lines of a log.
     """
     if n is None or n <= 0:
         return lines
-    if n <= LONG_TAIL:
-        return _last_lines(lines, n, [id_column], line_no)
-    stretched = lines.withColumn("_stretch", F.floor(F.col(line_no) / STRETCH))
-    ends = _last_lines(stretched, n, [id_column, "_stretch"], line_no).drop("_stretch")
-    return _last_lines(ends, n, [id_column], line_no)
+    return _last_lines(lines, n, [id_column], line_no)
 
 
 def log_tail_text(text: ColumnLike, n: int | None) -> Column:

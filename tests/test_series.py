@@ -126,9 +126,7 @@ def test_log_tail(spark, text, n, tail):
     assert "\n".join(r.line for r in lines.orderBy("line_no").collect()) == tail
 
 
-def test_long_log_tail_over_stretches(spark, monkeypatch):
-    monkeypatch.setattr(series, "LONG_TAIL", 3)
-    monkeypatch.setattr(series, "STRETCH", 4)
+def test_long_log_tail(spark):
     lines = spark.range(50).selectExpr("if(id < 40, 'a', 'b') AS job_id", "id AS line_no", "'x' AS line")
     got = {(r.job_id, r.line_no) for r in series.log_tail(lines, 11).collect()}
     assert got == {("a", n) for n in range(29, 40)} | {("b", n) for n in range(40, 50)}
