@@ -34,6 +34,7 @@ from fleetlens.streaming import flows, stateful
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a stream of its files."""
     schema = table(spark, sf_dir, name).schema
+    spark.conf.set(stateful.STATE_STORE_SETTING, stateful.ROCKSDB)
     return flows.snapshot_stream(spark, f"{sf_dir}/{name}.parquet*", schema, "parquet")
 
 
@@ -45,12 +46,13 @@ def drained(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
-# A wait that has not ended is reported once the latest event passes its limit.
-DECIDED = """(outcome <> 'TIMEOUT' OR user_id IN (SELECT user_id FROM events GROUP BY user_id
-  HAVING min(epoch_us(ts)) + {0} <= (SELECT max(epoch_us(ts)) FROM events)))"""
+# What the streams decide is final, and written, once the watermark has passed it.
+DELAY_US = 60_000_000
+PASSED = f"((SELECT max(epoch_us(ts)) FROM events) // 1000 * 1000 - {DELAY_US})"
+DECIDED = f"""(SELECT min(epoch_us(ts)) FROM events e WHERE e.user_id = w.user_id) + coalesce(elapsed_us, {{0}}) <= {PASSED}"""
 
 
-@query("wait_ready_stream", f"SELECT * FROM ({WAIT_READY_SQL}) WHERE {DECIDED.format(READY_TIMEOUT_US)}")
+@query("wait_ready_stream", f"SELECT * FROM ({WAIT_READY_SQL}) w WHERE {DECIDED.format(READY_TIMEOUT_US)}")
 def wait_ready_stream(spark, sf_dir):
     polls = cluster_polls(table_stream(spark, sf_dir, "events"))
     return drained(stateful.wait_ready_stream(polls, READY_TIMEOUT_US, EVENT_POLLS))
@@ -58,7 +60,7 @@ def wait_ready_stream(spark, sf_dir):
 
 @query(
     "wait_terminal_stream",
-    f"SELECT user_id, outcome, elapsed_us, last_state FROM ({WAIT_TERMINAL_SQL}) "
+    f"SELECT user_id, outcome, elapsed_us, last_state FROM ({WAIT_TERMINAL_SQL}) w "
     f"WHERE {DECIDED.format(JOB_TIMEOUT_US)}",
 )
 def wait_terminal_stream(spark, sf_dir):
@@ -66,15 +68,33 @@ def wait_terminal_stream(spark, sf_dir):
     return drained(stateful.wait_terminal_stream(polls, JOB_TIMEOUT_US, "CRD", EVENT_POLLS))
 
 
-@query(
-    "transitions_stream",
-    f"SELECT user_id, event_id AS seq, from_state, to_state, dwell_us, legal FROM ({TRANSITIONS_SQL})",
-)
+TRANSITIONS_STREAM_SQL = f"""SELECT user_id, event_id AS seq, from_state, to_state, dwell_us, legal
+FROM ({TRANSITIONS_SQL}) t JOIN (SELECT event_id AS id, epoch_us(ts) AS at_us FROM events) e ON event_id = id
+WHERE at_us <= {PASSED}"""
+
+
+@query("transitions_stream", TRANSITIONS_STREAM_SQL)
 def transitions_stream(spark, sf_dir):
     polls = cluster_polls(table_stream(spark, sf_dir, "events"))
     return drained(stateful.transitions_stream(polls, "cluster", EVENT_POLLS)).drop("at_us")
 
 
+@query("transitions_stream_shuffled", TRANSITIONS_STREAM_SQL)
+def transitions_stream_shuffled(spark, sf_dir):
+    """The polls as JSON snapshots, dealt to files without order, with a malformed line in every file."""
+    polls = cluster_polls(table(spark, sf_dir, "events")).select(
+        "user_id", "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"), "state"
+    )
+    lines = polls.select(F.to_json(F.struct("*")).alias("value"))
+    broken = polls.where("event_id % 97 = 0").select(F.lit('{"user_id": 1, "ts": "').alias("value"))
+    spark.conf.set(stateful.STATE_STORE_SETTING, stateful.ROCKSDB)
+    folder = shared_folder(spark)
+    lines.unionByName(broken).repartition(4, F.xxhash64("value")).write.text(folder)
+    stream = flows.snapshot_stream(spark, folder, polls.schema, max_files_per_trigger=4)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    return drained(stateful.transitions_stream(stream, "cluster", EVENT_POLLS)).drop("at_us")
+
+
 @query("log_follow", f"SELECT * FROM ({LOG_LINES_SQL}) WHERE line <> ''")
 def log_follow(spark, sf_dir):
     docs = table_stream(spark, sf_dir, "documents")

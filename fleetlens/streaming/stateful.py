@@ -1,9 +1,10 @@
-"""Waits and state changes over a stream of polls, with one small state per resource.
+"""Waits and state changes over a stream of polls, in the order of their times.
 
 These two rules need ordered state per resource and a timer, which no built-in
-streaming aggregate has. The state is a single row per resource, kept in
-RocksDB. A task holds the polls of one resource of one micro-batch at most, and
-a wait only those below its timeout; ``maxFilesPerTrigger`` bounds the rest.
+streaming aggregate has. Polls are held in RocksDB until the watermark has passed
+them, so they are folded in order of time and sequence however they arrive within
+``delay``; later ones are left out by Spark. Beside the held polls the state is one
+row per resource. A task holds the due polls of one resource at a time.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -20,164 +21,175 @@ from fleetlens.operators.series import DEFAULT_POLLS, Polls, micros
 
 STATE_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DELAY = "1 minute"
 
 # Python sees columns whose names start with an underscore under other names, so these do not.
 POLL_COLUMNS = ["poll_us", "poll_seq", "poll_state", "poll_ready", "poll_done"]
-WAIT_STATE = "start bigint, seen boolean, state string, ready boolean, closed boolean"
-EDGE_STATE = "at bigint, seq bigint, state string, entered bigint"
+HELD_STATE = "at bigint, seq bigint, state string, ready boolean, done boolean"
+WAIT_STATE = "start bigint, state string, ready boolean, closed boolean"
+EDGE_STATE = "state string, entered bigint"
 
 
-def _use_rocksdb(df: DataFrame) -> None:
-    df.sparkSession.conf.set(STATE_STORE_SETTING, ROCKSDB)
+def _require_rocksdb(df: DataFrame) -> None:
+    if df.sparkSession.conf.get(STATE_STORE_SETTING) != ROCKSDB:
+        raise ValueError(f"set {STATE_STORE_SETTING} to {ROCKSDB}: these streams use timers and several state columns")
 
 
 def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
     return ", ".join(f"`{key}` {df.schema[key].dataType.simpleString()}" for key in keys)
 
 
-def _usable(polls: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _polls(snaps: DataFrame, polls: Polls, ready: Column, done: Column, delay: str) -> DataFrame:
     """Polls with a key, a time and a sequence; a malformed line has none and would stop the stream for good."""
-    return polls.dropna(subset=[*keys, "poll_us", "poll_seq"])
+    slim = snaps.select(
+        *polls.keys,
+        F.col(polls.ts).cast("timestamp").alias("poll_time"),
+        micros(polls.ts).alias("poll_us"),
+        F.col(polls.seq).cast("bigint").alias("poll_seq"),
+        F.col(polls.state).alias("poll_state"),
+        ready.alias("poll_ready"),
+        done.alias("poll_done"),
+    ).withWatermark("poll_time", delay)
+    return slim.dropna(subset=[*polls.keys, "poll_us", "poll_seq"])
 
 
-def _frame(keys: Sequence[str], key: tuple, columns: dict[str, list]) -> pd.DataFrame:
-    """A frame whose rows all belong to one key; missing values stay missing in every type."""
-    size = len(next(iter(columns.values())))
-    return pd.DataFrame(
-        {**{name: [part] * size for name, part in zip(keys, key)}, **columns}, dtype=object
-    )
+def _milliseconds(us: int) -> int:
+    """Timers count milliseconds: rounded up, so that none fires before its time."""
+    return -(-us // 1000)
 
 
-class WaitProcessor(StatefulProcessor):
-    """Emits one outcome row per resource: when it is done, or when its time is up."""
+class InOrder(StatefulProcessor):
+    """Holds the polls of a resource until the watermark has passed them, then folds them in order."""
 
-    def __init__(self, keys: Sequence[str], outcome: str, timeout_us: int):
+    state_schema: str
+
+    def __init__(self, keys: Sequence[str]):
         self.keys = list(keys)
-        self.outcome = outcome
-        self.timeout_us = timeout_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.wait = handle.getValueState("wait", WAIT_STATE)
+        self.held = handle.getListState("held", HELD_STATE)
+        self.state = handle.getValueState("state", self.state_schema)
 
-    def _verdict(self, key: tuple, outcome: str, elapsed, state, ready) -> pd.DataFrame:
-        return _frame(
-            self.keys,
-            key,
-            {"outcome": [outcome], "elapsed_us": [elapsed], "last_state": [state], "last_head_ready": [ready]},
-        )
+    def fold(self, key: tuple, polls: list[tuple], passed: int) -> Iterator[pd.DataFrame]:
+        """Takes polls in order; none at or before the time ``passed`` is still to come."""
+        raise TypeError(f"{type(self).__name__} folds nothing")
 
-    def _below_timeout(self, rows: Iterator[pd.DataFrame], start: int | None) -> tuple[int, pd.DataFrame]:
-        """Start of the wait and its polls in order; a stored start is final."""
-        moving = start is None
-        kept = []
-        for chunk in rows:
-            if moving:
-                first = int(chunk["poll_us"].min())
-                start = first if start is None else min(start, first)
-            kept.append(chunk.loc[chunk["poll_us"] < start + self.timeout_us, POLL_COLUMNS])
-        polls = pd.concat(kept, ignore_index=True)
-        inside = (polls["poll_us"] >= start) & (polls["poll_us"] < start + self.timeout_us)
-        return start, polls[inside].sort_values(["poll_us", "poll_seq"])
+    def finished(self) -> bool:
+        return False
+
+    def stored(self) -> tuple | None:
+        return self.state.get() if self.state.exists() else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.wait.get() if self.wait.exists() else None
-        if stored is not None and stored[4]:
-            return
-        start, polls = self._below_timeout(rows, stored[0] if stored else None)
-        done = polls[polls["poll_done"].astype(bool)]
-        if len(done):
-            first = done.iloc[0]
-            self.wait.update((start, True, first["poll_state"], bool(first["poll_ready"]), True))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            yield self._verdict(
-                key, self.outcome, int(first["poll_us"]) - start, first["poll_state"], first["poll_ready"]
-            )
+        if self.finished():
             return
-        if stored is None:
-            # Timers count milliseconds: round up, so none fires before its time.
-            self.handle.registerTimer(-(-(start + self.timeout_us) // 1000))
-        last = polls.iloc[-1] if len(polls) else None
-        if last is not None:
-            self.wait.update((start, True, last["poll_state"], bool(last["poll_ready"]), False))
-        elif stored is None:
-            self.wait.update((start, False, None, None, False))
+        first = None
+        for chunk in rows:
+            numbers = [chunk[name].astype(int).tolist() for name in POLL_COLUMNS[:2]]
+            flags = [chunk[name].astype(bool).tolist() for name in POLL_COLUMNS[3:]]
+            self.held.appendList(list(zip(*numbers, chunk["poll_state"].tolist(), *flags, strict=True)))
+            first = min(numbers[0]) if first is None else min(first, *numbers[0])
+        self.handle.registerTimer(_milliseconds(first))
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start, seen, state, ready, closed = self.wait.get()
-        if closed:
-            return
-        self.wait.update((start, seen, state, ready, True))
-        yield self._verdict(key, "TIMEOUT", None, state, ready)
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = list(self.held.get()) if self.held.exists() else []
+        due = sorted((poll for poll in held if poll[0] <= passed), key=lambda poll: poll[:2])
+        if due:
+            later = [tuple(poll) for poll in held if poll[0] > passed]
+            self.held.clear()
+            if later:
+                self.held.put(later)
+                self.handle.registerTimer(_milliseconds(min(poll[0] for poll in later)))
+        yield from self.fold(key, due, passed)
+
+    def rows(self, key: tuple, columns: dict[str, list]) -> pd.DataFrame:
+        """A frame whose rows all belong to one key; missing values stay missing in every type."""
+        size = len(next(iter(columns.values())))
+        named = {name: [part] * size for name, part in zip(self.keys, key, strict=True)}
+        return pd.DataFrame({**named, **columns}, dtype=object)
 
     def close(self) -> None:
         pass
 
 
-class EdgeProcessor(StatefulProcessor):
-    """Emits state changes as they happen; polls no newer than the last one seen are dropped."""
+class WaitProcessor(InOrder):
+    """Emits one outcome row per resource: when it is done, or when its time is up."""
 
-    def __init__(self, keys: Sequence[str]):
-        self.keys = list(keys)
+    state_schema = WAIT_STATE
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", EDGE_STATE)
+    def __init__(self, keys: Sequence[str], outcome: str, timeout_us: int):
+        super().__init__(keys)
+        self.outcome = outcome
+        self.timeout_us = timeout_us
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        polls = pd.concat([chunk[["poll_us", "poll_seq", "poll_state"]] for chunk in rows], ignore_index=True)
-        polls = polls.sort_values(["poll_us", "poll_seq"], ignore_index=True)
-        stored = self.last.get() if self.last.exists() else None
-        if stored is not None:
-            at, seq, state, entered = stored
-            newer = (polls["poll_us"] > at) | ((polls["poll_us"] == at) & (polls["poll_seq"] > seq))
-            polls = polls[newer].reset_index(drop=True)
-            if polls.empty:
+    def finished(self) -> bool:
+        stored = self.stored()
+        return stored is not None and stored[3]
+
+    def _closed(self, key: tuple, start: int, outcome: str, elapsed, state, ready) -> pd.DataFrame:
+        """The outcome row; of the wait no more than a mark stays, so that later polls don't open it again."""
+        self.state.update((start, None, None, True))
+        self.held.clear()
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        return self.rows(
+            key, {"outcome": [outcome], "elapsed_us": [elapsed], "last_state": [state], "last_head_ready": [ready]}
+        )
+
+    def fold(self, key, polls, passed):
+        stored = self.stored()
+        if stored is None and not polls:
+            return
+        start, state, ready, closed = stored or (polls[0][0], None, None, False)
+        if closed:
+            return
+        limit = start + self.timeout_us
+        for at, _, now, ready_now, done in polls:
+            if at >= limit:
+                break
+            state, ready = now, ready_now
+            if done:
+                yield self._closed(key, start, self.outcome, at - start, state, ready)
                 return
-            before = polls["poll_state"].shift(1, fill_value=state)
-        else:
-            entered = int(polls["poll_us"].iloc[0])
-            before = polls["poll_state"].shift(1).where(polls.index > 0, polls["poll_state"])
-        same = (polls["poll_state"] == before) | (polls["poll_state"].isna() & before.isna())
-        edges = polls.assign(poll_before=before)[~same]
-        times = [entered, *edges["poll_us"].astype(int)]
-        final = polls.iloc[-1]
-        self.last.update((int(final["poll_us"]), int(final["poll_seq"]), final["poll_state"], times[-1]))
-        if len(edges):
-            yield _frame(
-                self.keys,
-                key,
-                {
-                    "at_us": times[1:],
-                    "seq": edges["poll_seq"].astype(int).tolist(),
-                    "from_state": edges["poll_before"].tolist(),
-                    "to_state": edges["poll_state"].tolist(),
-                    "dwell_us": [after - start for start, after in zip(times, times[1:])],
-                },
-            )
+        if limit <= passed:
+            yield self._closed(key, start, "TIMEOUT", None, state, ready)
+            return
+        self.state.update((start, state, ready, False))
+        self.handle.registerTimer(_milliseconds(limit))
 
-    def close(self) -> None:
-        pass
+
+class EdgeProcessor(InOrder):
+    """Emits state changes once no earlier poll can come any more."""
+
+    state_schema = EDGE_STATE
+
+    def fold(self, key, polls, passed):
+        if not polls:
+            return
+        state, entered = self.stored() or (polls[0][2], polls[0][0])
+        found = {name: [] for name in ("at_us", "seq", "from_state", "to_state", "dwell_us")}
+        for at, seq, now, _, _ in polls:
+            if now != state:
+                for name, value in zip(found, (at, seq, state, now, at - entered), strict=True):
+                    found[name].append(value)
+                state, entered = now, at
+        self.state.update((state, entered))
+        if found["seq"]:
+            yield self.rows(key, found)
 
 
 def _wait_stream(snaps: DataFrame, polls: Polls, done, outcome: str, timeout_us: int, delay: str) -> DataFrame:
-    _use_rocksdb(snaps)
+    _require_rocksdb(snaps)
     keys = polls.keys
     ready = (
         F.coalesce(F.col(polls.head_ready), F.lit(False))
         if polls.head_ready in snaps.columns
         else F.lit(False)
     )
-    slim = snaps.select(
-        *keys,
-        F.col(polls.ts).cast("timestamp").alias("poll_time"),
-        micros(polls.ts).alias("poll_us"),
-        F.col(polls.seq).cast("bigint").alias("poll_seq"),
-        F.col(polls.state).alias("poll_state"),
-        ready.alias("poll_ready"),
-        done.alias("poll_done"),
-    ).withWatermark("poll_time", delay)
-    return _usable(slim, keys).groupBy(*keys).transformWithStateInPandas(
+    return _polls(snaps, polls, ready, done, delay).groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=WaitProcessor(keys, outcome, timeout_us),
         outputStructType=_key_schema(snaps, keys)
         + ", outcome string, elapsed_us bigint, last_state string, last_head_ready boolean",
@@ -187,11 +199,11 @@ def _wait_stream(snaps: DataFrame, polls: Polls, done, outcome: str, timeout_us:
 
 
 def wait_ready_stream(
-    snaps: DataFrame, timeout_us: int, polls: Polls = DEFAULT_POLLS, delay: str = "0 seconds"
+    snaps: DataFrame, timeout_us: int, polls: Polls = DEFAULT_POLLS, delay: str = DELAY
 ) -> DataFrame:
-    """Streaming ``wait_ready``: READY when seen, TIMEOUT when the watermark passes the limit.
+    """Streaming ``wait_ready``: READY or TIMEOUT when the watermark passes the poll or the limit.
 
-    ``delay`` is how late polls may come; the first poll of a resource starts its clock.
+    ``delay`` is how late polls may come; the earliest poll of a resource starts its clock.
     """
     done = F.coalesce((F.col(polls.state) == "RUNNING") & F.col(polls.head_ready), F.lit(False))
     return _wait_stream(snaps, polls, done, "READY", timeout_us, delay)
@@ -202,7 +214,7 @@ def wait_terminal_stream(
     timeout_us: int,
     mode: str = "CRD",
     polls: Polls = DEFAULT_POLLS,
-    delay: str = "0 seconds",
+    delay: str = DELAY,
 ) -> DataFrame:
     """Streaming ``wait_terminal``."""
     if mode == "DASHBOARD":
@@ -212,22 +224,22 @@ def wait_terminal_stream(
     )
 
 
-def transitions_stream(snaps: DataFrame, kind: str, polls: Polls = DEFAULT_POLLS) -> DataFrame:
-    """Streaming ``transitions``; ``at_us`` is the time of the poll that showed the new state."""
-    _use_rocksdb(snaps)
+def transitions_stream(
+    snaps: DataFrame, kind: str, polls: Polls = DEFAULT_POLLS, delay: str = DELAY
+) -> DataFrame:
+    """Streaming ``transitions``; ``at_us`` is the time of the poll that showed the new state.
+
+    ``delay`` is how late polls may come; a change is emitted when the watermark passes its poll.
+    """
+    _require_rocksdb(snaps)
     keys = polls.keys
-    slim = snaps.select(
-        *keys,
-        micros(polls.ts).alias("poll_us"),
-        F.col(polls.seq).cast("bigint").alias("poll_seq"),
-        F.col(polls.state).alias("poll_state"),
-    )
-    edges = _usable(slim, keys).groupBy(*keys).transformWithStateInPandas(
+    no = F.lit(False)
+    edges = _polls(snaps, polls, no, no, delay).groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=EdgeProcessor(keys),
         outputStructType=_key_schema(snaps, keys)
         + ", at_us bigint, seq bigint, from_state string, to_state string, dwell_us bigint",
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
     legal = is_legal_edge(F.lit(kind), "from_state", "to_state")
     return edges.withColumn("legal", F.coalesce(legal, F.lit(False)))

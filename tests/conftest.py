@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from fleetlens.streaming.stateful import ROCKSDB, STATE_STORE_SETTING
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -11,6 +13,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config(STATE_STORE_SETTING, ROCKSDB)
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

@@ -78,7 +78,7 @@ def test_streams_do_not_depend_on_the_size_of_python_batches(spark, rows):
         stream = as_stream(spark, [*polls, CLOSING], 2)
         waits = drain(stateful.wait_ready_stream(stream, 100 * SECOND, POLLS)).where("name <> 'closing'")
         assert rows(waits) == rows(series.wait_ready(batch, 100 * SECOND, POLLS))
-        edges = drain(stateful.transitions_stream(as_stream(spark, polls, 2), "cluster", POLLS)).drop("at_us")
+        edges = drain(stateful.transitions_stream(as_stream(spark, [*polls, CLOSING], 2), "cluster", POLLS)).drop("at_us")
         assert rows(edges) == rows(series.transitions(batch, F.lit("cluster"), POLLS).drop("at"))
     finally:
         spark.conf.set(setting, before)
@@ -92,17 +92,46 @@ def test_wait_terminal_stream_equals_batch(spark, rows):
     assert got == rows(batch) and {r[2] for r in got} == {"TERMINAL", "TIMEOUT"}
 
 
-def test_transitions_stream_equals_batch(spark, rows):
-    polls = random_polls(["CREATING", "RUNNING", "SUSPENDED"])
-    got = rows(drain(stateful.transitions_stream(as_stream(spark, polls), "cluster", POLLS)).drop("at_us"))
-    batch = series.transitions(spark.createDataFrame(polls, SCHEMA), F.lit("cluster"), POLLS).drop("at")
-    assert got == rows(batch)
-
-
-def test_transitions_stream_drops_late_polls(spark, rows):
-    polls = [poll(0, "a", 0, "CREATING"), poll(1, "a", 10, "RUNNING"), poll(2, "a", 5, "FAILED"), poll(3, "a", 20, "RUNNING")]
-    got = drain(stateful.transitions_stream(as_stream(spark, polls, 2), "cluster", POLLS))
-    assert rows(got, "from_state", "to_state", "dwell_us") == [("CREATING", "RUNNING", 10 * SECOND)]
+@pytest.mark.parametrize("batches", [1, 4])
+def test_streams_do_not_depend_on_the_order_of_arrival(spark, rows, batches):
+    polls = random_polls(["CREATING", "RUNNING", "SUSPENDED", None])
+    arriving = random.Random(3).sample(polls, len(polls))
+    batch = spark.createDataFrame(polls, SCHEMA)
+    stream = as_stream(spark, [*arriving, CLOSING], batches)
+    edges = drain(stateful.transitions_stream(stream, "cluster", POLLS, "10 minutes")).drop("at_us")
+    assert rows(edges) == rows(series.transitions(batch, F.lit("cluster"), POLLS).drop("at"))
+    stream = as_stream(spark, [*arriving, CLOSING], batches)
+    waits = drain(stateful.wait_ready_stream(stream, 100 * SECOND, POLLS, "10 minutes")).where("name <> 'closing'")
+    assert rows(waits) == rows(series.wait_ready(batch, 100 * SECOND, POLLS))
+
+
+def test_one_resource_fills_a_batch(spark, rows):
+    states = ["CREATING", "RUNNING", "SUSPENDED"]
+    polls = [poll(i, "hot" if i % 50 else "cold", i, states[i // 7 % 3]) for i in range(3000)]
+    stream = as_stream(spark, [*reversed(polls), CLOSING], 1)
+    got = drain(stateful.transitions_stream(stream, "cluster", POLLS)).drop("at_us")
+    assert rows(got) == rows(series.transitions(spark.createDataFrame(polls, SCHEMA), F.lit("cluster"), POLLS).drop("at"))
+
+
+def test_late_polls_count_within_the_delay_only(spark, rows):
+    polls = [poll(0, "a", 0, "CREATING"), poll(1, "a", 100, "RUNNING"), poll(2, "b", 101, "RUNNING"),
+             poll(3, "b", 102, "RUNNING"), poll(4, "a", 50, "FAILED"), CLOSING]
+
+    def edges(delay):
+        stream = as_stream(spark, polls, 3)
+        return rows(drain(stateful.transitions_stream(stream, "cluster", POLLS, delay)), "from_state", "to_state", "dwell_us")
+    assert edges("1 minute") == [("CREATING", "FAILED", 50 * SECOND), ("FAILED", "RUNNING", 50 * SECOND)]
+    assert edges("1 second") == [("CREATING", "RUNNING", 100 * SECOND)]
+
+
+def test_a_session_without_rocksdb_is_refused(spark):
+    before = spark.conf.get(stateful.STATE_STORE_SETTING)
+    spark.conf.unset(stateful.STATE_STORE_SETTING)
+    try:
+        with pytest.raises(ValueError, match="RocksDB"):
+            stateful.transitions_stream(as_stream(spark, [CLOSING], 1), "cluster", POLLS)
+    finally:
+        spark.conf.set(stateful.STATE_STORE_SETTING, before)
 
 
 def test_log_follow_keeps_blank_but_not_empty_lines(spark, rows):
