@@ -96,23 +96,32 @@ def _overlay(base, override):
     return {**base, **override, **joint}
 
 
+def _no_json(constant: str):
+    raise ValueError(f"{constant} is no JSON")
+
+
+def _overlaid(base: str | None, override: str | None) -> str | None:
+    if base is None or override is None:
+        return None
+    try:
+        over = json.loads(override, parse_constant=_no_json)
+        return json.dumps(_overlay(json.loads(base), over)) if isinstance(over, dict) else None
+    except (ValueError, RecursionError):
+        return None
+
+
 @F.pandas_udf(T.StringType())
 def _merge_json_text(base: pd.Series, override: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if o is None else json.dumps(_overlay(json.loads(b), json.loads(o)))
-            for b, o in zip(base, override)
-        ],
-        dtype=object,
-    )
+    return pd.Series([_overlaid(b, o) for b, o in zip(base, override, strict=True)], dtype=object)
 
 
 def merge_json(base: ColumnLike, override: ColumnLike) -> Column:
-    """A JSON document overlaid with free-form overrides.
+    """A JSON document overlaid with free-form overrides, NULL where these are no JSON object.
 
-    Only documents that have overrides are sent to Python; the rest stay in
-    the JVM. For overrides kept as leaf rows use ``overlay.deep_merge``.
+    A merge of documents of any depth is a recursion, which no built-in expression has.
+    Only documents that have overrides are sent to Python; the rest stay in the JVM. For
+    overrides kept as leaf rows use ``overlay.deep_merge``.
     """
     has_override = blank_to_null(override).isNotNull()
     merged = _merge_json_text(F.when(has_override, col(base)), blank_to_null(override))
-    return F.coalesce(merged, col(base))
+    return F.when(has_override, merged).otherwise(col(base))

@@ -104,6 +104,16 @@ def capability_view(caps: DataFrame, cluster: str = "cluster") -> DataFrame:
     return texts.unpivot(cluster, ["operator", "gpu", "queueing", "platform"], "capability", "status")
 
 
+def queue_view(queues: DataFrame) -> DataFrame:
+    """Queue documents as ``(namespace, name, cluster_queue, pending_workloads)``; no status means nothing pending."""
+    return queues.select(
+        F.coalesce("metadata.namespace", F.lit("default")).alias("namespace"),
+        F.col("metadata.name").alias("name"),
+        F.col("spec.clusterQueue").alias("cluster_queue"),
+        F.coalesce("status.pendingWorkloads", F.lit(0)).alias("pending_workloads"),
+    )
+
+
 def platform_flags(api_groups: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Three platform flags per fleet member by API group; failed discovery reads as false."""
 

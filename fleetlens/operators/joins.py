@@ -190,6 +190,7 @@ def hardware_profile_settings(profiles: DataFrame) -> DataFrame:
     by_queue = F.coalesce(scheduling["schedulingType"] == "Queue", F.lit(False))
     no_labels = F.create_map().cast("map<string,string>")
     return profiles.select(
+        F.coalesce("metadata.namespace", F.lit("default")).alias("profile_namespace"),
         F.col("metadata.name").alias("profile"),
         profile_resources(F.col("spec.identifiers")).alias("resources"),
         F.coalesce(F.when(by_node, scheduling["node"]["nodeSelector"]), no_labels).alias("node_selector"),
@@ -202,14 +203,23 @@ def hardware_profile_settings(profiles: DataFrame) -> DataFrame:
 
 
 def apply_hardware_profiles(
-    requests: DataFrame, profiles: DataFrame, profile: str = "hardware_profile"
+    requests: DataFrame,
+    profiles: DataFrame,
+    profile: str = "hardware_profile",
+    namespace: str | None = None,
 ) -> DataFrame:
     """Requests with the settings of the profile they name; an unknown profile gives an error.
 
-    ``profiles`` are documents of one namespace, one per profile name.
+    ``namespace`` is the column of the requests that says in which namespace the profile
+    is. Without it ``profiles`` are documents of one namespace, one per profile name.
     """
     settings = hardware_profile_settings(profiles).withColumnRenamed("profile", profile)
-    joined = requests.join(settings.withColumn("_found", F.lit(True)), profile, "left")
+    keys = [profile]
+    if namespace is None:
+        settings = settings.drop("profile_namespace")
+    else:
+        settings, keys = settings.withColumnRenamed("profile_namespace", namespace), [namespace, profile]
+    joined = requests.join(settings.withColumn("_found", F.lit(True)), keys, "left")
     missing = F.col("_found").isNull() & F.col(profile).isNotNull()
     return joined.withColumn(
         "profile_error", F.when(missing, F.concat(F.lit("hardware profile not found: "), F.col(profile)))
@@ -298,8 +308,14 @@ def plan_scale(requests: DataFrame, worker_groups: DataFrame) -> DataFrame:
 def endpoint_of_jobs(jobs: DataFrame, endpoints: DataFrame) -> DataFrame:
     """Dashboard address of each job through its cluster; a job without one gets an error."""
     side = endpoints.select("namespace", F.col("name").alias("cluster_name"), "dashboard_url")
-    error = F.when(blank_to_null("cluster_name").isNull(), "job has no cluster name")
-    return jobs.join(side, ["namespace", "cluster_name"], "left").withColumn("error", error)
+    unnamed = blank_to_null("cluster_name").isNull()
+    # Jobs without a name have one key, maybe a hot one, and nothing to find in the join.
+    found = jobs.where(~unnamed).join(side, ["namespace", "cluster_name"], "left")
+    absent = jobs.where(unnamed).withColumn("dashboard_url", F.lit(None).cast("string"))
+    return (
+        found.withColumn("error", F.lit(None).cast("string"))
+        .unionByName(absent.withColumn("error", F.lit("job has no cluster name")))
+    )
 
 
 def effective_namespaces(

@@ -344,7 +344,9 @@ def desired_state(requests: DataFrame, kind: str) -> DataFrame:
 
     This is the left side of ``reconcile``. The runtime environment of a job and
     the serve configuration of a service are given as JSON, which is also YAML.
-    Free-form overrides are applied last.
+    With a column ``raw_overrides`` the whole manifest is overlaid last and given as
+    ``document``; overrides that are no JSON object, or leave no metadata or spec,
+    give NULL for both and are named in ``override_error``.
     """
     namespace = F.coalesce(blank_to_null(_optional(requests, "namespace", "string")), F.lit("default"))
     labels = map_or_empty(_optional(requests, "labels", "map<string,string>"))
@@ -396,21 +398,44 @@ def desired_state(requests: DataFrame, kind: str) -> DataFrame:
     )
     if "raw_overrides" not in requests.columns:
         return rendered
-    overrides = F.try_parse_json("raw_overrides")
+    return _overridden(rendered, kind)
 
-    def part(path: str) -> Column:
-        return F.to_json(F.try_variant_get(overrides, path, "variant"))
 
-    def with_override(name: str) -> Column:
-        return merge_env(name, F.from_json(part(f"$.metadata.{name}"), "map<string,string>"))
+# How a manifest names its version and kind.
+API_VERSION = "ray.io/v1"
+MANIFEST_KINDS = {"cluster": "RayCluster", "job": "RayJob", "service": "RayService"}
 
-    return rendered.withColumns(
-        {
-            "labels": with_override("labels"),
-            "annotations": with_override("annotations"),
-            "spec": merge_json("spec", part("$.spec")),
-        }
-    ).drop("raw_overrides")
+
+def _overridden(rendered: DataFrame, kind: str) -> DataFrame:
+    """Whole manifests overlaid with ``raw_overrides``, and the columns picked out of them again."""
+    head = f'{{"apiVersion":"{API_VERSION}","kind":"{MANIFEST_KINDS[kind]}","metadata":'
+    metadata = F.to_json(F.struct("name", "namespace", "labels", "annotations"))
+    manifest = F.concat(F.lit(head), metadata, F.lit(',"spec":'), F.col("spec"), F.lit("}"))
+    given = blank_to_null("raw_overrides").isNotNull()
+    read = """metadata struct<name: string, namespace: string, labels: map<string,string>,
+      annotations: map<string,string>>, spec string"""
+    merged = rendered.withColumn("document", merge_json(manifest, "raw_overrides")).withColumn(
+        "_read", F.when(given, F.from_json("document", read))
+    )
+    metadata = F.col("_read.metadata")
+    unread = given & F.col("document").isNull()
+    failed = unread | (given & (metadata.isNull() | F.col("_read.spec").isNull()))
+
+    def picked(name: str, value: Column) -> Column:
+        return F.when(given & ~failed, value).otherwise(F.col(name)).alias(name)
+
+    return merged.select(
+        "kind",
+        picked("namespace", F.coalesce(metadata["namespace"], F.col("namespace"))),
+        picked("name", F.coalesce(metadata["name"], F.col("name"))),
+        picked("labels", map_or_empty(metadata["labels"])),
+        picked("annotations", map_or_empty(metadata["annotations"])),
+        F.when(~given, F.col("spec")).when(~failed, F.col("_read.spec")).alias("spec"),
+        F.when(~failed, F.col("document")).alias("document"),
+        F.when(unread, "raw_overrides is no JSON object")
+        .when(failed, "the overridden manifest has no readable metadata and spec")
+        .alias("override_error"),
+    )
 
 
 def claims(requests: DataFrame) -> DataFrame:

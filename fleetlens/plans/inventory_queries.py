@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlens.operators import errors, inventory, series, summary
-from fleetlens.plans.bindings import table
+from fleetlens.plans.bindings import as_documents, table
 from fleetlens.plans.registry import query
 from fleetlens.sources.readers import available_resources
 
@@ -109,6 +109,23 @@ def capability_view(spark, sf_dir):
     return inventory.capability_view(_capabilities(spark, sf_dir))
 
 
+# Parts as queue documents; every fifth has no status yet.
+@query(
+    "queue_view",
+    """SELECT lower(p_brand) AS namespace, p_name AS name, p_type AS cluster_queue,
+      CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE p_size END AS pending_workloads FROM part""",
+)
+def queue_view(spark, sf_dir):
+    queues = as_documents(
+        table(spark, sf_dir, "part"),
+        "queue",
+        metadata=F.expr("named_struct('namespace', lower(p_brand), 'name', p_name)"),
+        spec=F.expr("named_struct('clusterQueue', p_type)"),
+        status=F.expr("if(p_partkey % 5 = 0, NULL, named_struct('pendingWorkloads', p_size))"),
+    )
+    return inventory.queue_view(queues)
+
+
 GROUP_NAME = """CASE p_type WHEN 'ECONOMY' THEN 'route.openshift.io' WHEN 'PROMO' THEN 'kueue.x-k8s.io'
   WHEN 'LARGE' THEN 'infrastructure.opendatahub.io' WHEN 'SMALL' THEN NULL ELSE 'apps' END"""
 

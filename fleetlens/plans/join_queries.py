@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fleetlens.operators import joins
 from fleetlens.plans.bindings import as_documents, spread_table, table
 from fleetlens.plans.registry import query
+from fleetlens.sources.readers import ingresses_of, parse_resources, routes_of
 
 # Orders as desired clusters; every order that is not pending exists already. Existing
 # documents write keys in another order and numbers as decimals; finished ones differ
@@ -87,12 +88,10 @@ def delete_blockers_scoped(spark, sf_dir):
 @query(
     "blocking_jobs",
     f"""WITH {JOBS_SQL} SELECT namespace, cluster_name, job FROM jobs
-    WHERE namespace IN (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 0)""",
+    WHERE namespace IN (SELECT c_nationkey FROM customer)""",
 )
 def blocking_jobs(spark, sf_dir):
-    doomed = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING' AND c_acctbal < 0")
-    clusters = doomed.selectExpr("c_nationkey AS namespace", "c_custkey AS name")
-    return joins.blocking_jobs(clusters, _jobs(spark, sf_dir)).drop("state")
+    return joins.blocking_jobs(_clusters(spark, sf_dir), _jobs(spark, sf_dir)).drop("state")
 
 
 # Pages as routes (https) and ingress rules (http); two pages each point at one document's cluster.
@@ -131,6 +130,35 @@ def resolve_endpoints(spark, sf_dir):
     return _endpoints(spark, sf_dir)
 
 
+@query("resolve_endpoints_from_dumps", f"WITH {ENDPOINTS_SQL} SELECT * FROM endpoints")
+def resolve_endpoints_from_dumps(spark, sf_dir):
+    """Pages as route and ingress documents in lists of two; the order in a list decides."""
+    tls = f"{HOST} LIKE '%.net'"
+    route = f"""to_json(named_struct('metadata', named_struct('namespace', 'fleet'), 'spec', named_struct('host', {HOST},
+      'to', named_struct('name', {SERVICE}), 'tls', if({tls}, map('termination', 'edge'), map()))))"""
+    ingress = f"""to_json(named_struct('metadata', named_struct('namespace', 'fleet'), 'spec', named_struct(
+      'tls', if({tls}, array(named_struct('hosts', array({HOST}))), NULL), 'rules', array(
+        named_struct('host', '', 'http', NULL), named_struct('host', {HOST}, 'http', named_struct('paths', array(
+          named_struct('backend', named_struct('service', named_struct('name', 'other'))),
+          named_struct('backend', named_struct('service', named_struct('name', {SERVICE}))))))))))"""
+
+    def documents(kind: str, text: str, which: str):
+        pages = table(spark, sf_dir, "pages").where(which)
+        pairs = pages.selectExpr("page_id DIV 2 AS list", "page_id", f"{text} AS raw").groupBy("list")
+        listed = pairs.agg(F.sort_array(F.collect_list(F.struct("page_id", "raw"))).alias("docs"))
+        items = F.array_join("docs.raw", ",")
+        return parse_resources(listed.select(F.concat(F.lit('{"items":['), items, F.lit("]}")).alias("value")), kind)
+
+    clusters = table(spark, sf_dir, "documents").selectExpr(
+        "'fleet' AS namespace", "concat('d', CAST(doc_id AS STRING)) AS name", "doc_id", "lang"
+    )
+    return joins.resolve_endpoints(
+        clusters,
+        routes_of(documents("route", route, "url LIKE 'https:%'")),
+        ingresses_of(documents("ingress", ingress, "url NOT LIKE 'https:%'")),
+    )
+
+
 @query(
     "endpoint_of_jobs",
     f"""WITH {ENDPOINTS_SQL} SELECT 'fleet' AS namespace, conv_id, turn,

@@ -221,12 +221,18 @@ def desired_state(spark, sf_dir):
 
 @query(
     "desired_state_jobs",
-    """SELECT o_orderpriority AS namespace, 'j' || o_orderkey AS name, 'run ' || o_orderstatus AS entrypoint,
-      CASE WHEN o_orderstatus = 'F' THEN 'q' END AS queue_label, 'true' AS shutdown,
-      CASE WHEN o_orderstatus = 'F' THEN '{"TOKEN":"old","MLFLOW_TRACKING_URI":"http://t"}' WHEN o_orderstatus = 'O'
-        THEN '{"TOKEN":"old"}' END AS env, CASE WHEN o_orderstatus = 'P' THEN '7' ELSE '1' END AS replicas,
-      CASE WHEN o_orderstatus = 'P' THEN 'x' END AS label
-    FROM orders""",
+    """WITH requests AS (SELECT *, o_orderstatus = 'O' AND o_orderpriority = '5-LOW' AS broken FROM orders)
+    SELECT CASE WHEN o_orderstatus = 'P' THEN 'moved' ELSE o_orderpriority END AS namespace, 'j' || o_orderkey AS name,
+      CASE WHEN NOT broken THEN 'run ' || o_orderstatus END AS entrypoint,
+      CASE WHEN o_orderstatus = 'F' THEN 'q' END AS queue_label, CASE WHEN NOT broken THEN 'true' END AS shutdown,
+      CASE WHEN o_orderstatus = 'F' THEN '{"TOKEN":"old","MLFLOW_TRACKING_URI":"http://t"}'
+        WHEN o_orderstatus = 'O' AND NOT broken THEN '{"TOKEN":"old"}' END AS env,
+      CASE WHEN o_orderstatus = 'P' THEN '7' WHEN NOT broken THEN '1' END AS replicas,
+      CASE WHEN o_orderstatus = 'P' THEN 'x' END AS label, CASE WHEN o_orderstatus = 'P' THEN 'y' END AS note,
+      CASE WHEN o_orderstatus = 'P' THEN '["keep"]' END AS finalizers,
+      CASE WHEN o_orderstatus = 'P' THEN 'v2' WHEN NOT broken THEN 'ray.io/v1' END AS version,
+      CASE WHEN broken THEN 'raw_overrides is no JSON object' END AS override_error
+    FROM requests""",
 )
 def desired_state_jobs(spark, sf_dir):
     requests = spread_table(spark, sf_dir, "orders").selectExpr(
@@ -238,8 +244,10 @@ def desired_state_jobs(spark, sf_dir):
         """if(o_orderstatus = 'F', named_struct('provider', 'mlflow', 'tracking_uri', 'http://t',
           'experiment_name', CAST(NULL AS STRING), 'env_vars', CAST(NULL AS map<string,string>)), NULL)
           AS experiment_tracking""",
-        """if(o_orderstatus = 'P', '{"metadata": {"labels": {"label": "x"}}, "spec": {"rayClusterSpec":
-          {"workerGroupSpecs": [{"replicas": 7}]}}}', NULL) AS raw_overrides""",
+        """CASE WHEN o_orderstatus = 'P' THEN '{"apiVersion": "v2", "metadata": {"namespace": "moved", "labels":
+          {"label": "x"}, "annotations": {"note": "y"}, "finalizers": ["keep"]}, "spec": {"rayClusterSpec":
+          {"workerGroupSpecs": [{"replicas": 7}]}}}'
+          WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN '{"spec": ' END AS raw_overrides""",
     )
     rows = overlay.desired_state(requests, "job")
     env = F.get_json_object(F.get_json_object("spec", "$.runtimeEnvYAML"), "$.env_vars")
@@ -248,7 +256,9 @@ def desired_state_jobs(spark, sf_dir):
         F.col("labels")["kueue.x-k8s.io/queue-name"].alias("queue_label"),
         F.get_json_object("spec", "$.shutdownAfterJobFinishes").alias("shutdown"), env.alias("env"),
         F.get_json_object("spec", "$.rayClusterSpec.workerGroupSpecs[0].replicas").alias("replicas"),
-        F.col("labels")["label"].alias("label"),
+        F.col("labels")["label"].alias("label"), F.col("annotations")["note"].alias("note"),
+        F.get_json_object("document", "$.metadata.finalizers").alias("finalizers"),
+        F.get_json_object("document", "$.apiVersion").alias("version"), "override_error",
     )
 
 

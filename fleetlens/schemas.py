@@ -43,8 +43,10 @@ _SPEC_AND_STATUS = {
         scheduling: struct<schedulingType: string,
           node: struct<nodeSelector: map<string,string>, tolerations: array<map<string,string>>>,
           kueue: struct<localQueueName: string, priorityClass: string>>>""",
-    "route": """spec: struct<host: string, to: struct<name: string>,
-        tls: struct<termination: string>>""",
+    "route": "spec: struct<host: string, to: struct<name: string>, tls: map<string,string>>",
+    "ingress": """spec: struct<tls: array<struct<hosts: array<string>>>,
+        rules: array<struct<host: string, http: struct<paths: array<struct<
+          backend: struct<service: struct<name: string>>>>>>>>""",
 }
 
 RESOURCE_KINDS = tuple(_SPEC_AND_STATUS)

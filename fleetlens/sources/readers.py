@@ -17,12 +17,13 @@ def parse_resources(
     """Resource documents from a column of JSON text.
 
     Each text is one document or a list wrapper ``{"items": [...]}``. The raw text
-    of a document is kept in ``raw``, so unknown fields survive. ``status_only``
+    of a document is kept in ``raw``, so unknown fields survive, and its place in
+    its list (0 outside of one) in ``pos``. ``status_only``
     parses no more than status rows need. Blank lines are skipped, and what is no
     document of the kind goes to ``rejected_resources``.
     """
     parsed = _parsed(dump, kind, text, status_only)
-    return parsed.where(F.col(f"doc.{CORRUPT}").isNull()).select("doc.*", "raw").drop(CORRUPT)
+    return parsed.where(F.col(f"doc.{CORRUPT}").isNull()).select("doc.*", "raw", "pos").drop(CORRUPT)
 
 
 def rejected_resources(dump: DataFrame, kind: str, text: str = "value", status_only: bool = False) -> DataFrame:
@@ -36,9 +37,9 @@ def _parsed(dump: DataFrame, kind: str, text: str, status_only: bool) -> DataFra
         F.col(text).contains('"items"'), F.from_json(F.col(text), "items array<string>")["items"]
     )
     written = dump.where(F.trim(text) != "")
-    documents = written.select(F.explode(F.coalesce(items, F.array(F.col(text)))).alias("raw"))
+    documents = written.select(F.posexplode(F.coalesce(items, F.array(F.col(text)))).alias("pos", "raw"))
     schema = f"{schemas.resource_schema(kind, status_only)[:-1]}, {CORRUPT}: string>"
-    return documents.select("raw", F.from_json("raw", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))
+    return documents.select("raw", "pos", F.from_json("raw", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))
 
 
 def read_resources(
@@ -52,6 +53,35 @@ def read_resources(
     return parse_resources(spark.read.text(path, wholetext=whole_file), kind, status_only=status_only)
 
 
+def routes_of(documents: DataFrame) -> DataFrame:
+    """Route documents as ``(namespace, pos, to_name, host, tls)``, an input of ``resolve_endpoints``."""
+    return documents.select(
+        F.coalesce("metadata.namespace", F.lit("default")).alias("namespace"),
+        "pos",
+        F.col("spec.to.name").alias("to_name"),
+        F.col("spec.host").alias("host"),
+        F.coalesce(F.size(F.map_keys("spec.tls")) > 0, F.lit(False)).alias("tls"),
+    )
+
+
+def ingresses_of(documents: DataFrame) -> DataFrame:
+    """Ingress documents as ``(namespace, pos, rules, tls_hosts)``, an input of ``resolve_endpoints``."""
+    rules = F.transform(
+        "spec.rules",
+        lambda rule: F.struct(
+            rule["host"].alias("host"),
+            F.transform(rule["http"]["paths"], lambda path: path["backend"]["service"]["name"]).alias("backends"),
+        ),
+    )
+    hosts = F.transform("spec.tls", lambda tls: F.coalesce(tls["hosts"], F.array().cast("array<string>")))
+    return documents.select(
+        F.coalesce("metadata.namespace", F.lit("default")).alias("namespace"),
+        "pos",
+        rules.alias("rules"),
+        F.flatten(hosts).alias("tls_hosts"),
+    )
+
+
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     """Dashboard job records; the id falls back to the submission id, and time 0 means none."""
     rows = spark.read.schema(schemas.SUBMISSION).json(path)

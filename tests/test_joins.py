@@ -102,6 +102,11 @@ def test_hardware_profiles(spark):
     assert got["odd"].queue is None and got["odd"].node_selector == {}
     assert got["bare"].resources == {} and got["bare"].profile_error is None
     assert got["gone"].profile_error == "hardware profile not found: gone" and got[None].profile_error is None
+    named = [{**profile("p", {}), "metadata": {"name": "p", "namespace": n}} for n in ("n", "m")]
+    both = parse_resources(spark.createDataFrame([(json.dumps(d),) for d in named], "value string"), "hardware_profile")
+    asked = spark.createDataFrame([("n", "p"), ("o", "p")], "namespace string, hardware_profile string")
+    placed = joins.apply_hardware_profiles(asked, both, namespace="namespace").collect()
+    assert sorted((r.namespace, r.profile_error) for r in placed) == [("n", None), ("o", "hardware profile not found: p")]
 
 
 def test_presets_override_values_equal_to_the_default(spark):

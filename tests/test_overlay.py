@@ -175,6 +175,24 @@ def test_cluster_spec_of_full_request(spark):
     assert got["enableInTreeAutoscaling"] is True and got["rayVersion"] is None and got["extra"] == {"a": 1}
 
 
+def test_overrides_reach_the_whole_manifest(spark):
+    over = {"apiVersion": "v9", "extra": [1], "metadata": {"namespace": "m", "name": "y", "finalizers": ["f"],
+            "labels": {"o": None}}, "spec": {"rayVersion": {"a": 1.50}}}
+    row, got = spec(spark, namespace="n", labels={"l": "1"}, raw_overrides=json.dumps(over))
+    assert (row.namespace, row.name, row.labels, row.override_error) == ("m", "y", {"l": "1", "o": None}, None)
+    document = json.loads(row.document)
+    assert (document["apiVersion"], document["kind"], document["extra"]) == ("v9", "RayCluster", [1])
+    assert document["metadata"]["finalizers"] == ["f"] and document["spec"] == got and got["rayVersion"] == {"a": 1.5}
+    deep = '{"a":' * 5000 + "1" + "}" * 5000
+    bad = ['{"spec": ', "[1]", "null", '"x"', '{"a": NaN}', deep, '{"spec": null}', '{"metadata": 1}']
+    asked = requests(spark, *[{"name": str(i), "raw_overrides": text} for i, text in enumerate([*bad, None, " "])])
+    rows = {r.name: r for r in overlay.desired_state(asked, "cluster").collect()}
+    for i in range(len(bad)):
+        assert rows[str(i)].override_error and rows[str(i)].spec is rows[str(i)].document is None
+    plain = rows[str(len(bad))]
+    assert plain.override_error is None and json.loads(plain.document)["spec"] == json.loads(plain.spec)
+
+
 def test_job_spec(spark):
     env = (["torch"], None, {"A": "1"}, "", None)
     row, got = spec(spark, "job", entrypoint="run", queue="q", runtime_env=env, node_selector={"s": "1"}, workers=3,

@@ -10,11 +10,11 @@ from fleetlens.plans.registry import REGISTERED
 SF = "/root/testdata/sf0.001"
 PYTHON = {
     "service_status", "service_replicas", "list_view_services", "desired_state_jobs",
-    "wait_ready_stream", "wait_terminal_stream", "transitions_stream",
+    "wait_ready_stream", "wait_terminal_stream", "transitions_stream", "transitions_stream_shuffled",
 }
 # These run jobs when they are called: they write a dump or drain a stream first.
 EAGER = {name for name in REGISTERED if name.startswith(("read_", "write_")) or name in {
-    "wait_ready_stream", "wait_terminal_stream", "transitions_stream", "log_follow", "progress_heartbeat",
+    "wait_ready_stream", "wait_terminal_stream", "transitions_stream", "transitions_stream_shuffled", "log_follow", "progress_heartbeat",
     "state_counts_stream", "on_progress"}}
 LAZY = sorted(set(REGISTERED) - EAGER)
 
