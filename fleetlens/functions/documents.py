@@ -115,6 +115,11 @@ def _merge_json_text(base: pd.Series, override: pd.Series) -> pd.Series:
     return pd.Series([_overlaid(b, o) for b, o in zip(base, override, strict=True)], dtype=object)
 
 
+# Said to be nondeterministic so that it stays in a projection of its own and runs once. Without
+# that, the optimizer puts it into operators around a later join, which can't evaluate it.
+_merge_once = _merge_json_text.asNondeterministic()
+
+
 def merge_json(base: ColumnLike, override: ColumnLike) -> Column:
     """A JSON document overlaid with free-form overrides, NULL where these are no JSON object.
 
@@ -123,5 +128,5 @@ def merge_json(base: ColumnLike, override: ColumnLike) -> Column:
     overrides kept as leaf rows use ``overlay.deep_merge``.
     """
     has_override = blank_to_null(override).isNotNull()
-    merged = _merge_json_text(F.when(has_override, col(base)), blank_to_null(override))
+    merged = _merge_once(F.when(has_override, col(base)), blank_to_null(override))
     return F.when(has_override, merged).otherwise(col(base))

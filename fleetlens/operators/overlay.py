@@ -52,8 +52,9 @@ def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id") -> D
     the base: scalars, lists and nulls whole. An empty object is a leaf with the
     value ``{}``. Paths are joined with ``/`` and escaped by ``escape_key``.
 
-    Every join is an equality on ``(id, path)``, so even one enormous document
-    spreads over all tasks.
+    Every join is an equality on ``(id, path)``. All leaves of a very big document
+    share its upper ancestors; such a key lies on the left side of a semi or anti
+    join, which adaptive skew splitting cuts.
     """
     keys = [id_column, "path"]
     is_empty = F.col("value") == EMPTY_OBJECT

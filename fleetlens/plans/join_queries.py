@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.operators import joins
+from fleetlens.operators import joins, overlay
+from fleetlens.operators.validation import validate
 from fleetlens.plans.bindings import as_documents, spread_table, table
 from fleetlens.plans.registry import query
 from fleetlens.sources.readers import ingresses_of, parse_resources, routes_of
@@ -283,3 +284,28 @@ def plan_scale(spark, sf_dir):
         )
     )
     return joins.plan_scale(requests, groups)
+
+
+# Customers as requests from preset to outcome. Names of one nation are invalid; clusters of the
+# first ten nations exist already, with one worker more where the account is overdrawn.
+@query(
+    "deployment_outcomes",
+    """SELECT lower(c_mktsegment) AS namespace, 'c' || c_custkey AS name,
+      CASE WHEN c_nationkey >= 10 THEN 'CREATE' WHEN c_acctbal < 0 THEN 'CONFLICT' ELSE 'UNCHANGED' END AS outcome
+    FROM customer WHERE c_nationkey <> 7 AND c_mktsegment <> 'HOUSEHOLD'""",
+)
+def deployment_outcomes(spark, sf_dir):
+    """Presets, validation, desired state with overrides, and reconciliation in one plan."""
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "lower(c_mktsegment) AS namespace", "concat(if(c_nationkey = 7, 'C-', 'c'), CAST(c_custkey AS STRING)) AS name",
+        "c_nationkey", "c_acctbal", f"{PRESET} AS preset", "2 + c_nationkey % 3 AS workers", "1.0D AS cpus_per_worker",
+        "0 AS gpus_per_worker", "'2Gi' AS memory_per_worker",
+        "CAST(NULL AS struct<cpus:double,memory:string,gpus:int,ray_start_params:map<string,string>>) AS head",
+        "CAST(NULL AS STRING) AS ray_version",
+        """if(c_nationkey % 2 = 0, '{"spec": {"suspend": true}}', NULL) AS raw_overrides""",
+    )
+    requests = joins.apply_presets(customers, joins.builtin_presets(spark)).where("preset_error IS NULL")
+    keys = ["namespace", "name"]
+    valid = requests.join(validate(requests, "cluster").select(*keys).distinct(), keys, "left_anti")
+    present = valid.where("c_nationkey < 10").withColumn("workers", F.expr("workers + if(c_acctbal < 0, 1, 0)"))
+    return joins.reconcile(overlay.desired_state(valid, "cluster"), overlay.desired_state(present, "cluster"))

@@ -85,6 +85,23 @@ def wait_terminal_submissions(spark, sf_dir):
     return series.wait_terminal(polls, JOB_TIMEOUT_US, "DASHBOARD", EVENT_POLLS, ["event_id"])
 
 
+@query(
+    "wait_terminal_without_namespace",
+    f"""SELECT CAST(NULL AS VARCHAR) AS namespace, CAST(user_id AS VARCHAR) AS name, outcome, elapsed_us, last_state
+    FROM ({WAIT_TERMINAL_SQL})""",
+)
+def wait_terminal_without_namespace(spark, sf_dir):
+    """Submissions have no namespace: NULL is a part of the key like any other."""
+    polls = job_polls(table(spark, sf_dir, "events")).selectExpr(
+        "CAST(user_id AS STRING) AS job_id", "event_id", "ts", "lower(state) AS status"
+    )
+    submissions = polls.selectExpr(
+        "CAST(NULL AS STRING) AS namespace", "job_id AS name", "event_id", "ts", "status AS state"
+    )
+    keyed = series.Polls(keys=("namespace", "name"), ts="ts", seq="event_id", state="state")
+    return series.wait_terminal(submissions, JOB_TIMEOUT_US, "DASHBOARD", keyed)
+
+
 TRANSITIONS_SQL = f"""WITH {CLUSTER_POLLS_SQL},
 lagged AS (SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY us, event_id) AS before FROM polls),
 points AS (SELECT * FROM lagged WHERE before IS NULL OR before <> state),

@@ -21,14 +21,13 @@ def _json_dump(rows: DataFrame) -> str:
     return folder
 
 
-@query(
-    "read_resources",
-    """SELECT 'c' || c_custkey AS name, lower(c_mktsegment) AS namespace,
+RESOURCES_SQL = """SELECT 'c' || c_custkey AS name, lower(c_mktsegment) AS namespace,
       CASE WHEN c_acctbal >= 0 THEN 'RUNNING' ELSE 'UNKNOWN' END AS state, c_nationkey AS workers_ready FROM customer
     UNION ALL
-    SELECT 's' || s_suppkey, 'default', 'FAILED', s_nationkey FROM supplier""",
-)
-def read_resources(spark, sf_dir):
+    SELECT 's' || s_suppkey, 'default', 'FAILED', s_nationkey FROM supplier"""
+
+
+def _resource_dump(spark, sf_dir):
     """Customers as single documents, suppliers inside list wrappers, in one dump."""
     single = spread_table(spark, sf_dir, "customer").select(
         F.expr("""to_json(named_struct('metadata', named_struct('name', concat('c', CAST(c_custkey AS STRING)),
@@ -40,12 +39,35 @@ def read_resources(spark, sf_dir):
           'metadata', named_struct('name', concat('s', CAST(s_suppkey AS STRING))),
           'status', named_struct('state', 'failed', 'readyWorkerReplicas', s_nationkey)))))""").alias("value")
     )
+    # Blank lines, broken ones and documents with a field of a wrong type are no resources.
+    spoiled = table(spark, sf_dir, "nation").select(
+        F.expr("""CASE n_nationkey % 3 WHEN 0 THEN '  ' WHEN 1 THEN '{"metadata": {"name": '
+          ELSE '{"metadata": {"name": "x"}, "status": {"readyWorkerReplicas": "three"}}' END""").alias("value")
+    )
     folder = shared_folder(spark)
-    single.union(wrapped).write.text(folder)
-    documents = readers.read_resources(spark, folder, "cluster", status_only=True)
+    single.union(wrapped).union(spoiled).write.text(folder)
+    return folder
+
+
+@query("read_resources", RESOURCES_SQL)
+def read_resources(spark, sf_dir):
+    documents = readers.read_resources(spark, _resource_dump(spark, sf_dir), "cluster", status_only=True)
     return status.cluster_status(documents, AS_OF).select("name", "namespace", "state", "workers_ready")
 
 
+@query(
+    "read_rejected",
+    """SELECT CASE n_nationkey % 3 WHEN 1 THEN 'no JSON' ELSE 'wrong type' END AS reason, count(*) AS lines
+    FROM nation WHERE n_nationkey % 3 <> 0 GROUP BY 1""",
+)
+def read_rejected(spark, sf_dir):
+    """What the same dump holds besides resources."""
+    dump = spark.read.text(_resource_dump(spark, sf_dir))
+    rejects = readers.rejected_resources(dump, "cluster", status_only=True)
+    reason = F.when(F.try_parse_json("raw").isNull(), "no JSON").otherwise("wrong type")
+    return rejects.groupBy(reason.alias("reason")).agg(F.count("*").alias("lines"))
+
+
 @query("read_submissions", status_queries.SUBMISSION_SQL)
 def read_submissions(spark, sf_dir):
     folder = _json_dump(status_queries.submissions(spark, sf_dir))

@@ -38,6 +38,23 @@ def test_status_does_not_need_the_pod_templates(spark, tmp_path, status_only):
     assert (row.state, row.version) == ("RUNNING", "2")
 
 
+def test_routes_and_ingresses_keep_list_order_and_tls(spark, tmp_path):
+    def route(name, tls):
+        return {"metadata": {"name": name}, "spec": {"host": name, "to": {"name": "s"}, "tls": tls}}
+
+    path = dump(tmp_path / "r.json", {"items": [route("a", None), route("b", {}), route("c", {"key": "k"})]})
+    got = readers.routes_of(readers.read_resources(spark, path, "route")).collect()
+    assert [(r.namespace, r.pos, r.host, r.tls) for r in got] == [
+        ("default", 0, "a", False), ("default", 1, "b", False), ("default", 2, "c", True)]
+    backend = {"backend": {"service": {"name": "s"}}}
+    path = dump(tmp_path / "i.json", {"items": [
+        {"metadata": {"name": "x"}, "spec": {"tls": [{"hosts": ["h"]}, {}], "rules": [{"host": "h", "http": {"paths": [backend]}}, {}]}},
+        {"metadata": {"name": "y", "namespace": "n"}}]})
+    first, second = readers.ingresses_of(readers.read_resources(spark, path, "ingress")).collect()
+    assert [(r.host, r.backends) for r in first.rules] == [("h", ["s"]), (None, None)] and first.tls_hosts == ["h"]
+    assert (second.namespace, second.pos, second.rules, second.tls_hosts) == ("n", 1, None, None)
+
+
 def test_unknown_kind():
     with pytest.raises(ValueError):
         readers.schemas.resource_schema("pod")
