@@ -319,9 +319,9 @@ def _violations(requests, kind):
     "validate_clusters",
     _rule_rows(
         "(SELECT *, CAST(l_quantity AS INTEGER) AS q, l_returnflag <> 'N' AS g FROM lineitem)", "cluster",
-        "'C-' || l_partkey",
+        "CASE WHEN l_linenumber % 2 = 0 THEN 'C-' ELSE 'c-' END || l_partkey",
         {
-            "V01": "true",
+            "V01": "l_linenumber % 2 = 0",
             "V02": "g AND q - 1 < 1",
             "V03": "g AND ((l_linestatus = 'F' AND q < l_linenumber) OR q - 1 < 1 OR q - 1 > 40)",
             "V04": "l_linenumber - 1 < 1",
@@ -335,7 +335,7 @@ def _violations(requests, kind):
 )
 def validate_clusters(spark, sf_dir):
     requests = spread_table(spark, sf_dir, "lineitem").selectExpr(
-        "concat('C-', CAST(l_partkey AS STRING)) AS name", "CAST(NULL AS STRING) AS namespace",
+        "concat(if(l_linenumber % 2 = 0, 'C-', 'c-'), CAST(l_partkey AS STRING)) AS name", "CAST(NULL AS STRING) AS namespace",
         "l_linenumber - 1 AS workers", "if(l_tax > 0.05, l_discount, NULL) AS cpus_per_worker",
         "if(l_tax = 0.02, 2 - l_linenumber, NULL) AS gpus_per_worker", "CAST(NULL AS STRING) AS memory_per_worker",
         f"{GROUPS} AS worker_groups", "if(l_linestatus = 'F', '2.9.0', NULL) AS ray_version", "'q' AS queue",
@@ -378,9 +378,9 @@ def validate_jobs(spark, sf_dir):
 @query(
     "validate_services",
     _rule_rows(
-        "part", "service", "p_name",
+        "part", "service", "CASE WHEN p_size > 25 THEN 'S ' ELSE 's' END || p_partkey",
         {
-            "V01": "true",
+            "V01": "p_size > 25",
             "V11": "p_type IN ('PROMO', 'LARGE')",
             "V12": "p_size - 5 < 1",
             "V13": "p_type = 'LARGE'",
@@ -391,7 +391,8 @@ def validate_jobs(spark, sf_dir):
 )
 def validate_services(spark, sf_dir):
     requests = table(spark, sf_dir, "part").selectExpr(
-        "p_name AS name", "if(p_type = 'PROMO', '', 'app:main') AS import_path",
+        "concat(if(p_size > 25, 'S ', 's'), CAST(p_partkey AS STRING)) AS name",
+        "if(p_type = 'PROMO', '', 'app:main') AS import_path",
         "if(p_type = 'LARGE', 'applications: []', NULL) AS serve_config_v2", "p_size - 5 AS num_replicas",
         f"{VOLUMES} AS storage",
     )
