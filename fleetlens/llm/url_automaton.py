@@ -8,7 +8,8 @@ from word to word), keeps the states that the byte allows, and keeps the states
 
 Rules of the list decide first, the longest wins; a URL that none fits is judged by the
 method's own globs: block if one matches, else allow. A null URL, or one without ``://``,
-has an empty host and path, fits no rule and is allowed. Rows are judged one by one.
+has an empty host and path, fits no rule and is allowed. Rows are judged one by one. A
+very long URL is stepped through in stripes, so it doesn't widen the grid of its batch.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 SEPARATOR = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STAR, ANY = -1, -2
+STRIPE = 1024
 
 
 @dataclass(frozen=True)
@@ -106,16 +108,19 @@ class Automaton:
         lengths = np.array([len(c) for c in codes], np.int64)
         order = np.argsort(-lengths, kind="stable")
         longest = int(lengths.max(initial=0))
-        grid = np.zeros((len(codes), longest), np.int16)
-        for row, k in enumerate(order):
-            grid[row, : lengths[k]] = codes[k]
         state = np.tile(self.start, (len(codes), 1))
         active = len(codes) - np.searchsorted(np.sort(lengths), np.arange(longest), side="right")
-        for j in range(longest):
-            now = state[: active[j]]
-            shifted = now << np.uint64(1)
-            shifted[:, 1:] |= now[:, :-1] >> np.uint64(63)
-            state[: active[j]] = (shifted & self.allowed[grid[: active[j], j]]) | (now & self.loop)
+        for first in range(0, longest, STRIPE):
+            grid = np.zeros((active[first], min(STRIPE, longest - first)), np.int16)
+            for row, k in enumerate(order[: active[first]]):
+                part = codes[k][first : first + STRIPE]
+                grid[row, : len(part)] = part
+            for j in range(grid.shape[1]):
+                n = active[first + j]
+                now = state[:n]
+                shifted = now << np.uint64(1)
+                shifted[:, 1:] |= now[:, :-1] >> np.uint64(63)
+                state[:n] = (shifted & self.allowed[grid[:n, j]]) | (now & self.loop)
         out = np.empty((len(codes), len(self.final)), bool)
         for k, (word, bit) in enumerate(self.final):
             out[order, k] = (state[:, word] & bit) != 0
