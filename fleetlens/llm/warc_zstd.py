@@ -11,7 +11,8 @@ block length, payload length and digest. A record that fails has its reason in `
 
 A null payload is empty. Rows that share the smallest page_id of a payload are all
 responses; a payload whose ids are all null is stored with each. A null URL has no
-header. Row order does not matter. An empty table gives no archive and no row.
+header. Row order does not matter. An empty table gives no archive and no row. Ids travel
+as text, so nulls beside them don't round large ones.
 """
 
 from __future__ import annotations
@@ -193,7 +194,8 @@ def write_archives(
             done.append(archive.close())
         yield pd.DataFrame(done, columns=["path", "records", "bytes"])
 
-    return written(records.mapInPandas(write, MANIFEST), "manifest", merged=False)
+    as_text = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
+    return written(records.withColumns(as_text).mapInPandas(write, MANIFEST), "manifest", merged=False)
 
 
 def frames_of(stream) -> Iterator[bytes]:
@@ -243,7 +245,7 @@ def read_archives(manifest: DataFrame, rows_at_once: int = 2000) -> DataFrame:
                     yield _typed(out, columns)
 
     def _typed(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-        found = pd.DataFrame(rows, columns=columns)
+        found = pd.DataFrame(rows, columns=columns, dtype=object)
         return found.astype({c: "Int64" for c in ("page_id", "payload_bytes", "refers_to")})
 
     spark = manifest.sparkSession
