@@ -176,9 +176,9 @@ def train(labelled: DataFrame, per_language: int = 400, per_text: int = 6, lengt
         return texts.map(pick)
 
     rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select("lang", "text", F.xxhash64("text").alias("h"))
-    rank = F.dense_rank().over(Window.partitionBy("lang").orderBy("h"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     cuts = (
-        rows.select("lang", "h").withColumn("k", rank).where(F.col("k") <= per_language)
+        rows.select("lang", "h").distinct().withColumn("k", rank).where(F.col("k") <= per_language)
         .groupBy("lang").agg(F.max("h").alias("cut"))
     )
     cuts = small(written(cuts, "cuts"), 10_000)  # a row per language
