@@ -36,17 +36,31 @@ def _exact(value: Column) -> Column:
     return F.sum(F.rint(value * SCALE).cast("decimal(38,0)")).cast("double") / SCALE
 
 
+def _in_order(by_source: DataFrame) -> DataFrame:
+    """Adds ``place``, from 0, in code point order of the sources, null last.
+
+    Sources are cut into ranges and numbered within each, so no task orders all of
+    them; the window over the ranges' sizes has as many rows as there are ranges.
+    """
+    order = F.col("source").asc_nulls_last()
+    ranges = by_source.sparkSession.sparkContext.defaultParallelism
+    cut = written(by_source.repartitionByRange(ranges, order).withColumn("part", F.spark_partition_id()), "ranges", merged=False)
+    before = F.sum("count").over(Window.orderBy("part")) - F.col("count")
+    starts = cut.groupBy("part").count().select("part", before.alias("before"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    return cut.withColumn("place", within).join(F.broadcast(starts), "part").withColumn("place", F.col("place") + F.col("before")).drop("part", "before")
+
+
 def source_targets(counts: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
     """(source, source_size, n_docs, target) from (source, size, n).
 
     Sources in code point order, null last, weigh ``weights`` in turn and share all
     tokens; a target stops at ``most`` times its source's size and the excess is shared
-    again by weight. The order is a window over one row per source.
+    again by weight.
     """
     by_source = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
-    sources = written(by_source.withColumn("weight", turn), "sources")
+    turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    sources = written(_in_order(by_source).withColumn("weight", turn).drop("place"), "sources")
     cap = F.col("source_size") * most
     total, free = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
     level = total / free if free else 0.0
