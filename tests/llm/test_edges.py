@@ -226,6 +226,15 @@ def test_mix_edges(spark, documents):
     assert {r.target for r in source_mix.mix(documents([None, "", " "])).collect()} == {0.0}
 
 
+def test_sources_take_turns_in_code_point_order(spark):
+    names = [f"{c}{k}" for c in "Zaé" for k in range(40)] + [None]
+    counts = spark.createDataFrame([(n, 5, 1000) for n in names], "source string, size long, n long").repartition(5)
+    rows = {r.source: r.target for r in source_mix.source_targets(counts).collect()}
+    weights = [1 + k % 3 for k in range(len(names))]
+    for name, weight in zip(sorted(n for n in names if n) + [None], weights, strict=True):
+        assert rows[name] == pytest.approx(5000 * len(names) * weight / sum(weights))
+
+
 def test_tilts_are_exponential_and_meet_targets(spark):
     counts = spark.createDataFrame([("a", s, 10) for s in range(1, 60)] + [("b", s, 10) for s in range(1, 51)], "source string, size long, n long")
     targets = source_mix.source_targets(counts)
@@ -305,6 +314,16 @@ def test_automaton_equals_regular_expressions():
             assert hits[i, k] == bool(re.fullmatch(g.replace("*", ".*").replace("?", "."), host))
 
 
+def test_long_urls_step_through_stripes():
+    for n in (1021, 1022, 1023, 1024, 1025, 5000):
+        host = ("abc" * n)[:n]
+        globs = [host, host[:-1] + "?", host[:-1], host + "?", "*" + host[-9:], host[:9] + "*" + host[-9:], "b*"]
+        machine = url_automaton.Automaton([url_automaton.glob_symbols(g, "/p*") for g in globs])
+        hits = machine.matches([url_automaton.canonical(h, "/p/q")[1:] for h in ("", host, "abc", host)])
+        assert hits[1].tolist() == hits[3].tolist() == [True, True, False, False, True, True, False]
+        assert not hits[0].any() and not hits[2].any()
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "x" * 150
     pages = [
@@ -325,6 +344,9 @@ def test_warc_round_trip(spark, tmp_path):
         (k, "response", None) for k in (4, 5, 6, 7, 8, 9)
     }
     assert warc_zstd.round_trip(table.limit(0)).count() == 0
+    large = [((1 << 60) + 1, "u", big), ((1 << 60) + 3, "u", big), (None, "u", "")]
+    rows = warc_zstd.round_trip(spark.createDataFrame(large, "page_id long, url string, html string").coalesce(1)).collect()
+    assert {(r.page_id, r.refers_to) for r in rows} == {((1 << 60) + 1, None), ((1 << 60) + 3, (1 << 60) + 1), (None, None)}
 
 
 def test_warc_archive_layout(spark, tmp_path):

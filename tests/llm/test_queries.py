@@ -146,6 +146,15 @@ def test_pipeline(spark):
     assert {r.doc_id for r in docs.collect()} == {r["doc_id"] for r in clean}
 
 
+def test_stages_keep_columns_with_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    own = {name: F.col("doc_id") for name in ("entities", "found", "fp", "key", "size", "score", "lang_pred", "copies")}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs.withColumns(own), SF)
+        assert out.columns == [*docs.columns, *own]
+        assert all(r[name] == r["doc_id"] for r in out.collect() for name in own)
+
+
 def test_archives_digests(spark):
     html = dict(duckdb.sql(f"SELECT page_id, html FROM '{SF}/pages.parquet'").fetchall())
     for r in llm.QUERIES["op8_warc_zstd"](spark, SF).collect():
