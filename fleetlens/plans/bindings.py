@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from fleetlens.operators.series import Polls
 from fleetlens.sources.readers import parse_resources
 
+INPUT_PARTITIONS = "spark.fleetlens.inputPartitions"
+
 AS_OF = "2002-01-01T00:00:00Z"
 AS_OF_US = "epoch_us(TIMESTAMP '2002-01-01 00:00:00')"
 
@@ -23,15 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table over all cores, for queries that do much work per row.
+    """A driver table for queries that do much work per row.
 
-    One small file is one split, which leaves a local session with a single busy
-    core. A table with at least one split per core, as on a cluster, stays as it
-    is and is not shuffled.
+    It is read by the splits of its files. A session whose tables are single row groups,
+    which can't be split, names in ``INPUT_PARTITIONS`` how many parts to deal them into.
     """
     rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    parts = spark.conf.get(INPUT_PARTITIONS, None)
+    return rows.repartition(int(parts)) if parts else rows
 
 
 def as_documents(rows: DataFrame, kind: str, **parts: Column) -> DataFrame:
