@@ -13,7 +13,7 @@ the fingerprint zero and are linked like any other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, islice
 
 import numpy as np
@@ -110,15 +110,16 @@ def near_duplicates(
         "fingerprints",
         merged=False,
     )
-    named = classes(prints, distance)
+    named = classes(prints, lambda nodes: components(links(nodes, distance)))
     return prints.join(named, "fp", "left").select(
         F.col("doc_id").alias(id_col), "fp", F.col("component_id")
     )
 
 
-def classes(prints: DataFrame, distance: int = 4) -> DataFrame:
+def classes(prints: DataFrame, hang: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(fp, first_id, first_rows, component_id) of every distinct fingerprint of (doc_id, fp).
 
+    ``hang`` gives the components of the fingerprints, as ``shared.components`` does.
     ``first_rows`` counts the rows that carry the fingerprint's smallest id.
     """
     ids = prints.groupBy("fp", "doc_id").agg(F.count("*").alias("n"))
@@ -128,7 +129,7 @@ def classes(prints: DataFrame, distance: int = 4) -> DataFrame:
         ),
         "nodes",
     )
-    hung = components(links(nodes.select("fp"), distance))
+    hung = hang(nodes.select("fp"))
     rooted = nodes.join(hung.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
@@ -143,9 +144,15 @@ def one_of_each(docs: DataFrame, distance: int = 4, width: int = 4, seed: int =
     are ordinary rows.
     """
     marked = written(docs.withColumn("__fp", fingerprint_column(F.col("text"), width, seed)), "marked", merged=False)
+    kept = rows_of_classes(marked, lambda nodes: components(links(nodes, distance)))
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
+
+
+def rows_of_classes(marked: DataFrame, hang: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row of each class of a written table with ``__fp``: that with the smallest doc_id."""
     prints = marked.select("doc_id", F.col("__fp").alias("fp"))
     chosen = written(
-        classes(prints, distance)
+        classes(prints, hang)
         .groupBy("component_id")
         .agg(F.min_by(F.struct("fp", "first_rows"), F.struct(~F.col("first_id").eqNullSafe(F.col("component_id")), "fp")).alias("c"))
         .select(F.col("c.fp").alias("__fp"), F.col("component_id").alias("__id"), F.col("c.first_rows").alias("__rows")),
@@ -154,4 +161,4 @@ def one_of_each(docs: DataFrame, distance: int = 4, width: int = 4, seed: int =
     kept = marked.join(chosen, "__fp").where(F.col("doc_id").eqNullSafe(F.col("__id")))
     if not chosen.where("__rows > 1").isEmpty():
         kept = kept.where("__rows = 1").unionByName(kept.where("__rows > 1").dropDuplicates(["__fp"]))
-    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
+    return kept

@@ -1,0 +1,71 @@
+"""Near copies by exact word overlap, as the pipeline drops them."""
+
+import functools
+import random
+
+import corpus_pipeline
+from fleetlens.llm import near_copies, simhash_dedup
+from tests.llm.test_edges import LONG, words
+
+
+@functools.cache
+def shingles(text):
+    found = (text or "").encode("utf-8", "replace").lower().split()
+    return {tuple(found[i : i + 5]) for i in range(len(found) - 4)} or ({tuple(found)} if found else set())
+
+
+def near(a, b):
+    a, b = shingles(a), shingles(b)
+    if min(len(a), len(b)) < 0.8 * max(len(a), len(b)):
+        return False
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def edited(text, n, draw):
+    found = text.split()
+    for i in draw.sample(range(len(found)), n):
+        found[i] = f"x{draw.randrange(10**6)}"
+    return " ".join(found)
+
+
+def components_of(texts):
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if group[a] != group[b] and near(texts[a], texts[b]):
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    return group
+
+
+def test_stage_drops_what_brute_force_finds(spark, documents):
+    """Random edits around the limit of 0.8, copies, other case, short and empty texts."""
+    draw, texts = random.Random(3), []
+    for k in range(40):
+        base = words(draw.randint(60, 400), 500 + k)
+        texts += [base, *(edited(base, draw.randint(1, max(2, len(base.split()) // 25)), draw) for _ in range(3)), base.upper()]
+    texts += [None, "", " \n", "one two", "One  two", "one three", LONG, LONG + " tail"]
+    docs = documents(texts)
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a) if near(texts[a], texts[b]) and texts[a]]
+    far = [1 for a, b in pairs if (simhash_dedup.fingerprint(texts[a]) ^ simhash_dedup.fingerprint(texts[b])).bit_count() > 4]
+    assert len(far) > 20  # what four bits of SimHash miss
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(components_of(texts)))
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
+
+
+def test_group_that_shares_keys_is_searched_whole(spark, documents):
+    """Copies at growing distance from one text: chains, and texts far from the smallest node."""
+    draw, base = random.Random(4), words(300, 9)
+    texts = [edited(base, n, draw) for n in range(1, 25) for _ in range(6)]
+    group = components_of(texts)
+    assert 1 < len(set(group)) < len(texts)
+    kept = near_copies.one_of_each(documents(texts))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
+
+
+def test_repeated_rows_and_null_ids(spark, documents):
+    base = words(200, 2)
+    docs = documents([base, base, base + " tail", None, "", LONG, LONG, "one two", base], ids=[5, 3, 9, 8, 7, 2, 2, None, 3])
+    assert sorted(str(r.doc_id) for r in near_copies.one_of_each(docs).collect()) == ["2", "3", "7", "None"]
