@@ -1,38 +1,48 @@
 """Masked pseudo-likelihood of documents by a bidirectional window network in numpy.
 
-Words are hashed into ``buckets``. Buckets are classes: the most frequent ones each their
-own, the rest by hash. A network sees the classes of the ``reach`` words on either side of
-a word (a border class beyond the text) and predicts the word's class; within a class, a
-bucket has its share of the class's count in the corpus. A document's score is the sum of
-log P(word | both sides) over all its words.
+Every word of the corpus is counted by itself: the counts are a Spark table of 64-bit word
+hashes that grows with the corpus. Words have classes built from frequency: the most
+frequent ones each their own, the rest in order of frequency in classes of about equal
+mass. A network sees the classes of the ``reach`` words on either side of a word (a border
+class beyond the text) and predicts the word's class; within a class, a word has its share
+of the class's count in the corpus. A document's score is the sum of log P(word | both
+sides) over all its words.
+
+Tasks hold the ``buckets`` most frequent words. All others are in the last class; their
+counts are joined to the words of each text, so no word takes over another's count.
 
 The counts and the network cover all documents. The network is trained by rounds of
 parameter averaging: every task runs minibatch descent over all its texts from the common
 start, and the results are averaged with the tokens as weights. Weighted parameters are
 summed as whole numbers, so the order of tasks does not matter. Only tables of fixed size
-(counts by bucket, parameters) reach the driver.
+(counts of the words that tasks hold, parameters) reach the driver.
 
 A null text, or one without a word, has no token: log_prob 0, mean null.
 """
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.decontamination import text_key
+from fleetlens.llm.shared import small, written
+
 FIXED = 1 << 20
 BLOCK = 1 << 13
+HELD = 1 << 17
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Sizes of the model; none of them follows the corpus."""
+    """Sizes of what every task holds; the table of word counts follows the corpus."""
 
     buckets: int = 1 << 16
     classes: int = 96
@@ -41,38 +51,95 @@ class Shape:
     hidden: int = 16
 
 
-def word_buckets(text: str | None, buckets: int) -> np.ndarray:
-    """Hash bucket of every word, A-Z lower-cased."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(buckets)
+def words_of(text: str | None) -> list[bytes]:
+    """The words between blanks, A-Z lower-cased."""
+    return (text or "").encode("utf-8", "replace").lower().split()
+
 
+def word_hash(word: bytes) -> int:
+    value = xxhash.xxh64_intdigest(word)
+    return value - (1 << 64) if value >> 63 else value
 
-def bucket_counts(texts: DataFrame, buckets: int) -> np.ndarray:
-    """Tokens of each bucket over all texts of column ``text``."""
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(w, n): the hash of every word in the texts, and how often it is there."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(buckets, np.int64)
+        seen: Counter[bytes] = Counter()
+
+        def rows() -> pd.DataFrame:
+            return pd.DataFrame({"w": [word_hash(w) for w in seen], "n": list(seen.values())}, dtype="int64")
+
         for frame in frames:
             for text in frame["text"]:
-                total += np.bincount(word_buckets(text, buckets), minlength=buckets)
-        found = total.nonzero()[0]
-        yield pd.DataFrame({"bucket": found, "n": total[found]})
+                seen.update(words_of(text))
+                if len(seen) >= HELD:
+                    yield rows()
+                    seen.clear()
+        yield rows()
+
+    return texts.select("text").mapInPandas(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
-    out = np.zeros(buckets, np.int64)
-    summed = texts.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    for row in summed.collect():
-        out[row["bucket"]] = row["n"]
-    return out
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """The most frequent words: hashes, classes, log P(word | class); and the tokens of the last class."""
+
+    hashes: np.ndarray
+    classes: np.ndarray
+    within: np.ndarray
+    last_total: int
+
+    def index(self) -> dict[bytes, int]:
+        """The place of a word; that after the last one for a word that isn't held."""
+        places = {int(h): k for k, h in enumerate(self.hashes)}
+
+        class Index(dict):
+            def __missing__(self, word: bytes) -> int:
+                place = places.get(word_hash(word), len(places))
+                if len(self) < HELD and len(word) < 64:
+                    self[word] = place
+                return place
+
+        return Index()
+
+
+def vocabulary(counts: DataFrame, shape: Shape) -> Vocabulary:
+    """Classes by frequency: ``frequent`` words of their own, then classes of equal mass."""
+    held = counts.orderBy(F.desc("n"), "w").limit(shape.buckets).collect()
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hashes, n = np.array([r["w"] for r in held], np.int64), np.array([r["n"] for r in held], np.int64)
+    rest, bins = n[shape.frequent :], shape.classes - shape.frequent
+    mass = max(1, total - int(n[: shape.frequent].sum()))
+    before = np.cumsum(rest) - rest
+    classes = np.concatenate([np.arange(min(len(n), shape.frequent)), shape.frequent + before * bins // mass]).astype(np.int64)
+    sums = np.bincount(classes, n, shape.classes) if len(n) else np.zeros(shape.classes)
+    sums[-1] += total - n.sum()
+    # A word that isn't held has its share from the join.
+    within = np.append(np.log(n / sums[classes]) if len(n) else [], 0.0).astype("f4")
+    return Vocabulary(hashes, np.append(classes, shape.classes - 1).astype(np.int16), within, int(sums[-1]))
+
+
+def rare_shares(texts: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
+    """(key, log_rare): summed log P(word | last class) of the words of a text that tasks don't hold."""
+    rare = len(words.hashes)
+
+    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = words.index()
+        for frame in frames:
+            for key, text in zip(frame["key"], frame["text"], strict=True):
+                found = Counter(w for w in words_of(text) if index[w] == rare)
+                if found:
+                    yield pd.DataFrame({"key": [key] * len(found), "w": [word_hash(w) for w in found], "times": list(found.values())})
 
-def class_table(counts: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each bucket, and log P(bucket | class) with one added to every count."""
-    order = np.lexsort((np.arange(len(counts)), -counts))
-    of = (shape.frequent + np.arange(len(counts)) % (shape.classes - shape.frequent)).astype(np.int64)
-    of[order[: shape.frequent]] = np.arange(shape.frequent)
-    smooth = counts + 1.0
-    within = np.log(smooth / np.bincount(of, smooth, shape.classes)[of])
-    return of, within
+    found = texts.select(text_key(F.col("text")).alias("key"), "text").where("text IS NOT NULL")
+    return (
+        found.mapInPandas(find, "key binary, w long, times long")
+        .distinct()
+        .join(counts, "w")
+        .groupBy("key")
+        .agg(F.sum(F.col("times") * F.log(F.col("n") / F.lit(float(max(1, words.last_total))))).alias("log_rare"))
+    )
 
 
 class WindowNetwork:
@@ -142,15 +209,18 @@ class WindowNetwork:
             self.sides -= (scale * slope).astype("f4")
 
 
-def _stream(texts: Iterator[pd.DataFrame], of: np.ndarray, buckets: int) -> Iterator[np.ndarray]:
+def _stream(texts: Iterator[pd.DataFrame], words: Vocabulary) -> Iterator[np.ndarray]:
+    index = words.index()
     for frame in texts:
         for text in frame["text"]:
-            found = of[word_buckets(text, buckets)]
-            for i in range(0, len(found), BLOCK):
-                yield found[i : i + BLOCK]
+            found = words_of(text)
+            places = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
+            classes = words.classes[places].astype(np.int64)
+            for i in range(0, len(classes), BLOCK):
+                yield classes[i : i + BLOCK]
 
 
-def train(texts: DataFrame, of: np.ndarray, shape: Shape, rounds: int = 1, rate: float = 4.0, batch: int = 1024) -> WindowNetwork:
+def train(texts: DataFrame, words: Vocabulary, shape: Shape, rounds: int = 1, rate: float = 4.0, batch: int = 1024) -> WindowNetwork:
     """Averages the networks of all tasks, weighted by tokens, ``rounds`` times."""
     start = WindowNetwork(shape).parameters()
     for k in range(rounds):
@@ -159,7 +229,7 @@ def train(texts: DataFrame, of: np.ndarray, shape: Shape, rounds: int = 1, rate:
         def descend(frames: Iterator[pd.DataFrame], given=given, step=step) -> Iterator[pd.DataFrame]:
             net, tokens = WindowNetwork(shape, given), 0
             context, classes, held = [], [], 0
-            for piece in _stream(frames, of, shape.buckets):
+            for piece in _stream(frames, words):
                 context.append(net.contexts(piece))
                 classes.append(piece)
                 held += len(piece)
@@ -187,28 +257,33 @@ def train(texts: DataFrame, of: np.ndarray, shape: Shape, rounds: int = 1, rate:
     return WindowNetwork(shape, start)
 
 
-def score_documents(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, text_col: str = "text", max_broadcast: int = 200_000) -> DataFrame:
     """Adds ``n_tokens``, ``log_prob`` (summed) and ``mean_log_prob`` to the documents."""
     texts = docs.select(F.col(text_col).alias("text"))
-    of, within = class_table(bucket_counts(texts, shape.buckets), shape)
-    net = train(texts, of, shape, rounds)
-    of_class, shares = of.astype(np.int16), within.astype("f4")
+    counts = written(word_counts(texts), "word_counts")
+    words = vocabulary(counts, shape)
+    net = train(texts, words, shape, rounds)
+    rare = small(written(rare_shares(texts, counts, words), "rare"), max_broadcast)
 
     @F.pandas_udf("n_tokens long, log_prob double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        index = words.index()
         for batch in batches:
             out = []
             for text in batch:
-                found = word_buckets(text, shape.buckets)
-                known = sum(float(x.sum(dtype="f8")) for x in net.log_probabilities(of_class[found].astype(np.int64)))
-                out.append((len(found), known + float(shares[found].sum(dtype="f8"))))
+                found = words_of(text)
+                places = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
+                known = sum(float(x.sum(dtype="f8")) for x in net.log_probabilities(words.classes[places].astype(np.int64)))
+                out.append((len(found), known + float(words.within[places].sum(dtype="f8"))))
             yield pd.DataFrame(out, columns=["n_tokens", "log_prob"])
 
-    scored = docs.withColumn("__lm", score(F.col(text_col)))
+    scored = docs.withColumns({"__lm": score(F.col(text_col)), "__key": text_key(F.col(text_col))})
+    scored = scored.join(rare.select(F.col("key").alias("__key"), F.col("log_rare").alias("__rare")), "__key", "left")
+    log_prob = F.col("__lm.log_prob") + F.coalesce("__rare", F.lit(0.0))
     return scored.withColumns(
         {
             "n_tokens": F.col("__lm.n_tokens"),
-            "log_prob": F.col("__lm.log_prob"),
-            "mean_log_prob": F.col("__lm.log_prob") / F.nullif(F.col("__lm.n_tokens"), F.lit(0)),
+            "log_prob": log_prob,
+            "mean_log_prob": log_prob / F.nullif(F.col("__lm.n_tokens"), F.lit(0)),
         }
-    ).drop("__lm")
+    ).drop("__lm", "__key", "__rare")
