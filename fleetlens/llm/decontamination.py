@@ -12,9 +12,9 @@ holds at least k minus that many of its sketch: a pair with so many hits is a ca
 and none is missed. Candidates are then compared on the shingles themselves.
 
 The shingles of documents meet the sketches in an equality join and go no further
-unless they hit. Copies of a text are one key in the search. A text of fewer than
-``width`` words is one shingle of all its words; null and empty texts have none and
-neither contain nor are contained. Repeated rows give equal results, a row each.
+unless they hit. Copies of a text are one key in the search. An item of n < ``width``
+words is one shingle of all its words, looked up in the documents' windows of n words
+(only for lengths that occur). Null and empty texts neither contain nor are contained. Repeated rows give equal results, a row each.
 """
 
 from __future__ import annotations
@@ -43,6 +43,19 @@ def _windows(words: Column, width: int, make) -> Column:
     )
 
 
+def _all_windows(words: Column, width: int, short: list[int], make) -> Column:
+    """``_windows``, and those of every length in ``short``, made as whole items of that length are."""
+
+    def whole(parts: list[Column]) -> Column:
+        return make([F.concat_ws(" ", *parts)])
+
+    def of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: whole([F.get(words, i + k) for k in range(n)]))
+
+    empty = F.array().cast("array<string>" if make is _text else "array<bigint>")
+    return F.concat(_windows(words, width, make), *[F.when(F.size(words) >= n, of(n)).otherwise(empty) for n in short])
+
+
 def _text(parts: list[Column]) -> Column:
     return F.concat_ws(" ", *parts)
 
@@ -83,11 +96,13 @@ def contained_items(
         .withColumn("item_id", F.struct("item_id", F.xxhash64("words").alias("t"))),
         "items",
     )
+    lengths = known.select(F.size("words").alias("n")).where(F.col("n") < width).distinct()
+    short = sorted(row["n"] for row in lengths.collect())  # fewer than ``width`` numbers
     sketches = written(item_sketches(known, width, share), "sketches")
     texts = docs.select("text").where(F.length("text") > 0)
     hits = (
         texts.select(text_key(F.col("text")).alias("key"), word_array(F.col("text")).alias("words"))
-        .select("key", F.explode(_windows(F.col("words"), width, _hash)).alias("h"))
+        .select("key", F.explode(_all_windows(F.col("words"), width, short, _hash)).alias("h"))
         .join(sketches, "h")
     )
     candidates = written(
@@ -107,7 +122,7 @@ def contained_items(
         .join(wanted, "item_id")
         .select(
             "key", F.col("item_id.item_id").alias("item_id"), F.size("wanted").alias("n_item"),
-            F.size(F.array_intersect("wanted", _windows(F.col("words"), width, _text))).alias("n_shared"),
+            F.size(F.array_intersect("wanted", _all_windows(F.col("words"), width, short, _text))).alias("n_shared"),
         )
         .withColumn("containment", F.col("n_shared") / F.col("n_item"))
     )
