@@ -51,16 +51,26 @@ ENDINGS = {
     ("cyrillic", "m"): "ий", ("cyrillic", "f"): "ина", ("cyrillic", "n"): "ис", ("cyrillic", "s"): "ко",
 }
 
+#: Country codes of two digits; 1 and 7 have one, all others three.
+CODES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+#: A word of a name: upper-case first letters, also after hyphens and apostrophes.
+PART = r"[^\W\d_a-zа-я](?:\w+|['’][^\W\d_a-zа-я]\w+)(?:['’-][^\W\d_a-zа-я]\w+)*"
+INITIALS = r"(?:[^\W\d_a-zа-я]\.[ ]?)*"
+PARTICLES = "(?:(?:van|von|der|den|de|del|della|di|da|du|la|le|zu) )*"
+
 PATTERNS = {
     "email": r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key))\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9_+/.-]{8,})",
+    "secret": r"(?:(?i:(?<![A-Za-z0-9])(?:token|secret|password|passwd|api[_-]?key))|(?<=[a-z0-9])(?:Token|Secret|Password|Passwd|ApiKey))"
+    r"(?i:[_-]?(?:access[_-]?)?key)?[\"']?\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9_+/.-]{8,})",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "phone": r"\+\d{1,3}[^\w\n]{0,4}\(\d{2,4}\)[^\w\n]{0,4}\d{3}[ .-]\d{4}\b|\(\d{3}\) \d{3}-\d{4}\b|(?<![\w.-])\d{3}-\d{3}-\d{4}\b"
-    r"|\+\d{1,3}(?:[ .-]\d{2,4}){3,4}\b",
+    r"|\+\d{1,3}(?:[ .-]\d{2,4}){3,4}\b(?![ .-]\d)|\+(?=(?:[ .-]?\d){8,15}(?!\w|[ .-]\d))[1-9]\d{0,5}(?:[ .-]\d{1,8}){1,5}"
+    r"|(?<![\w+])\+[1-9]\d{7,14}\b|\(\d{3}\) ?\d{3}[ .-]\d{4}\b|(?<![\w.-])(?<!\d )1(?P<gap>[ .-])\d{3}(?P=gap)\d{3}(?P=gap)\d{4}(?!\w|[ .-]\d)"
+    r"|(?<![\w.-])(?<!\d )\d{3}(?P<cut>[ .])\d{3}(?P=cut)\d{4}(?!\w|[ .-]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<![\w.-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?![\w])",
+    "card": r"(?<![\w.-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19})(?![\w])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
-    "name": r"\b(?:" + "|".join(TITLES) + r")\.? (?P<person>[^\W\d_a-zа-я]\w+(?:[ ][^\W\d_a-zа-я]\w+)?)",
+    "name": r"\b(?:" + "|".join(TITLES) + r")\.? (?P<person>" + PARTICLES + INITIALS + PART + "(?: " + INITIALS + PART + ")*)",
 }
 ENTITY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
 #: A text without any of this holds no entity.
@@ -101,12 +111,13 @@ def entities(text: str) -> Iterator[Entity]:
             yield Entity(kind, first, last, found["value"])
         elif kind == "name":
             title = found[0].split(" ")[0].rstrip(".")
-            parts = found["person"].split(" ")
             at = found.start("person")
-            for k, part in enumerate(parts):
-                role = "surname" if k == len(parts) - 1 else "given_" + TITLES[title]
-                yield Entity(role, at, at + len(part), part.casefold())
-                at += len(part) + 1
+            parts = list(re.finditer(PART, found["person"]))
+            for part in parts:  # initials and particles stay
+                role = "surname" if part is parts[-1] else "given_" + TITLES[title]
+                for half in re.finditer("[^-]+", part[0]):  # of Smith-Jones each name by itself
+                    start = at + part.start() + half.start()
+                    yield Entity(role, start, start + len(half[0]), half[0].casefold().replace("’", "'"))
         else:
             digits = re.sub(r"\D", "", value)
             good = {
@@ -115,6 +126,8 @@ def entities(text: str) -> Iterator[Entity]:
                 "iban": lambda: iban_rest(value.replace(" ", "")) == 1,
             }.get(kind, lambda: True)
             if good():
+                if kind == "phone" and value[0] == "+" and digits[0] != "1":
+                    digits = "+" + digits
                 yield Entity(kind, first, last, value if kind == "ip" else value.replace(" ", "") if kind == "iban" else digits)
 
 
@@ -162,6 +175,9 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
             names[-1] = "example"
         return draw.like(local) + "abcdefgh"[: attempt // 4] + "@" + ".".join([*names, top])
     if kind == "phone":
+        if normal[0] == "+":
+            own = 1 + (1 if normal[1] == "7" else 2 if normal[1:3] in CODES else 3)
+            return normal[:own] + draw.of("23456789") + draw.digits(len(normal) - own - 1)
         own = max(0, len(normal) - 10)
         number = draw.of("23456789") + draw.digits(len(normal) - own - 1)
         made_up = len(number) == 10 and normal[:own] in ("", "1") and attempt < 8  # exchange 555
@@ -194,7 +210,7 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
 def poured(kind: str, original: str, new: str) -> str:
     """A surrogate in the format of one occurrence."""
     if kind in ("phone", "ssn", "card"):
-        digits = iter(new)
+        digits = iter(new.lstrip("+"))
         return "".join(next(digits) if c.isdigit() else c for c in original)
     if kind == "iban":
         signs = iter(new)
