@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontamination, language_cnn, near_copies, pii_surrogates, source_mix
+from fleetlens.llm import decontamination, language_cnn, pii_surrogates, simhash_dedup, source_mix
 from fleetlens.llm.queries import DEMO_KEY
 from fleetlens.llm.shared import table, text_batches, written
 
@@ -22,9 +22,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, similarity 0.8 or more) the document with the smallest doc_id stays."""
+    """Of each SimHash class (four words, four bits, as in op4) the document with the smallest doc_id stays."""
     text_batches(spark)
-    return near_copies.one_of_each(docs)
+    return simhash_dedup.one_of_each(docs, distance=4, width=4)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
