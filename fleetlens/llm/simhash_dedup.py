@@ -155,10 +155,12 @@ def rows_of_classes(marked: DataFrame, hang: Callable[[DataFrame], DataFrame]) -
         classes(prints, hang)
         .groupBy("component_id")
         .agg(F.min_by(F.struct("fp", "first_rows"), F.struct(~F.col("first_id").eqNullSafe(F.col("component_id")), "fp")).alias("c"))
-        .select(F.col("c.fp").alias("__fp"), F.col("component_id").alias("__id"), F.col("c.first_rows").alias("__rows")),
+        .select(F.col("c.fp").alias("__chosen"), F.col("component_id").alias("__id"), F.col("c.first_rows").alias("__rows")),
         "chosen",
     )
-    kept = marked.join(chosen, "__fp").where(F.col("doc_id").eqNullSafe(F.col("__id")))
+    # Joined on the id as well: the copies of one text share a fingerprint, but no id.
+    same = (marked["__fp"] == chosen["__chosen"]) & marked["doc_id"].eqNullSafe(chosen["__id"])
+    kept = marked.join(chosen, same)
     if not chosen.where("__rows > 1").isEmpty():
         kept = kept.where("__rows = 1").unionByName(kept.where("__rows > 1").dropDuplicates(["__fp"]))
     return kept
