@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import (
+    balanced_shards,
     decontamination,
+    fill_in_middle,
     language_cnn,
     license_scan,
     masked_lm,
@@ -19,6 +21,7 @@ from fleetlens.llm import (
     source_mix,
     url_automaton,
     warc_zstd,
+    whitening,
 )
 from fleetlens.llm.shared import table, text_batches
 
@@ -165,3 +168,21 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = quality_ratio.ngram_counts(trusted, 4, quality_ratio.BUCKETS)
     raw = quality_ratio.ngram_counts(docs, 4, quality_ratio.BUCKETS)
     return quality_ratio.judge(docs, quality_ratio.log_ratio(target, raw))
+
+
+@query("op11_balanced_shards")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document; equal texts stay together."""
+    return balanced_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_fill_in_middle")
+def fill_in_middle_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's output and of the text restored from it."""
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

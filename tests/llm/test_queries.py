@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, name):
 def test_all_numbers_are_registered():
     names = entry_point.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
 
 
