@@ -81,7 +81,7 @@ def sections(pieces: Iterator[str], form: str) -> Iterator[tuple[int, int, str]]
 @functools.cache
 def _coder(trained: bytes) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     given = {"dict_data": zstandard.ZstdCompressionDict(trained)} if trained else {}
-    return zstandard.ZstdCompressor(level=3, write_checksum=False, **given), zstandard.ZstdDecompressor(**given)
+    return zstandard.ZstdCompressor(level=6, write_checksum=False, write_dict_id=False, **given), zstandard.ZstdDecompressor(**given)
 
 
 def _packed(text: str, trained: bytes) -> bytes:
@@ -99,7 +99,7 @@ def _home(key: tuple) -> int:
 def _sample(docs: DataFrame, rows: int, chars: int) -> bytes:
     """The dictionary, from the beginnings of the first ``rows`` texts."""
     begun = docs.select(F.substring("text", 1, chars).alias("t")).where("t <> ''").limit(rows).collect()
-    return dictionary([r["t"].encode("utf-8", "replace") for r in begun], 1 << 15)
+    return dictionary([r["t"].encode("utf-8", "replace") for r in begun], 1 << 17)
 
 
 class Assembly:
@@ -109,7 +109,7 @@ class Assembly:
         self.spark = docs.sparkSession
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.parts = max(self.spark.sparkContext.defaultParallelism, math.ceil(total / partition_bytes))
-        self.trained = trained = _sample(docs, 512, 4096)
+        self.trained = trained = _sample(docs, 2048, 2048)
 
         def emit(rows: Iterator) -> Iterator[tuple]:
             for doc_id, text in rows:
