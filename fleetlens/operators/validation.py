@@ -152,6 +152,18 @@ def rules_for(kind: str, columns: Iterable[str], rules: Iterable[Rule] = RULES)
     return [rule for rule in rules if kind in rule.kinds and present.issuperset(rule.needs)]
 
 
+def unchecked_rules(kind: str, columns: Iterable[str], rules: Iterable[Rule] = RULES) -> list[tuple[str, list[str]]]:
+    """Rules that apply to a kind of request but can't be checked, each with the columns it misses."""
+    present = set(columns)
+    return [(r.rule_id, sorted(set(r.needs) - present)) for r in rules if kind in r.kinds and not present.issuperset(r.needs)]
+
+
+def unchecked(requests: DataFrame, kind: str, rules: Iterable[Rule] = RULES) -> DataFrame:
+    """``(kind, rule_id, missing)``: what ``validate`` can't tell about these requests, and why."""
+    found = [(kind, rule_id, missing) for rule_id, missing in unchecked_rules(kind, requests.columns, rules)]
+    return requests.sparkSession.createDataFrame(found, "kind string, rule_id string, missing array<string>")
+
+
 def validate(
     requests: DataFrame, kind: str, keys: tuple[str, ...] = ("namespace", "name"), rules: Iterable[Rule] = RULES
 ) -> DataFrame:

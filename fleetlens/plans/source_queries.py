@@ -14,13 +14,32 @@ from fleetlens.sources.scratch import shared_folder
 from fleetlens.sources.sinks import write_view
 
 
-def _json_dump(rows: DataFrame) -> str:
-    """Rows written as JSON lines into a new shared folder; returns its path."""
+def _json_dump(rows: DataFrame, *others: DataFrame) -> str:
+    """Rows written as JSON lines into a new shared folder, with other lines among them; returns its path."""
     folder = shared_folder(rows.sparkSession)
-    write_view(rows, folder, "json")
+    lines = rows.select(F.to_json(F.struct("*")).alias("value"))
+    for other in others:
+        lines = lines.unionByName(other)
+    lines.write.text(folder)
     return folder
 
 
+# One line a supplier that is no row of any typed dump, in four ways: cut off, no object,
+# a field of a wrong type, and without the name of what it describes.
+SPOILED = """CASE s_suppkey % 4 WHEN 0 THEN concat('{{"cluster": "', s_suppkey) WHEN 1 THEN concat('[', s_suppkey, ']')
+  WHEN 2 THEN concat('{{"cluster": "c", "job_id": "', s_suppkey, '", "{field}": "soon"}}')
+  ELSE concat('{{"note": ', s_suppkey, '}}') END"""
+REASONS = "CASE s_suppkey % 4 WHEN 2 THEN 'WRONG_TYPE' WHEN 3 THEN 'UNNAMED' ELSE 'NO_OBJECT' END"
+
+
+def _spoiled(spark, sf_dir, field):
+    return table(spark, sf_dir, "supplier").selectExpr(f"{SPOILED.format(field=field)} AS value")
+
+
+def rejected_sql(field):
+    return f"SELECT {SPOILED.format(field=field)} AS raw, {REASONS} AS reason FROM supplier"
+
+
 RESOURCES_SQL = """SELECT 'c' || c_custkey AS name, lower(c_mktsegment) AS namespace,
       CASE WHEN c_acctbal >= 0 THEN 'RUNNING' ELSE 'UNKNOWN' END AS state, c_nationkey AS workers_ready FROM customer
     UNION ALL
@@ -68,24 +87,63 @@ def read_rejected(spark, sf_dir):
     return rejects.groupBy(reason.alias("reason")).agg(F.count("*").alias("lines"))
 
 
-@query("read_submissions", status_queries.SUBMISSION_SQL)
-def read_submissions(spark, sf_dir):
-    folder = _json_dump(status_queries.submissions(spark, sf_dir))
-    return status.submission_status(readers.read_submissions(spark, folder)).select(
+def _submission_dump(spark, sf_dir):
+    return _json_dump(status_queries.submissions(spark, sf_dir), _spoiled(spark, sf_dir, "start_time"))
+
+
+def _submission_rows(rows):
+    return status.submission_status(rows).select(
         "name", "state", "terminal", "entrypoint", "message",
         F.unix_millis("started_at").alias("started_ms"), F.unix_millis("ended_at").alias("ended_ms"),
     )
 
 
-@query("read_nodes", inventory_queries.GPU_SQL)
-def read_nodes(spark, sf_dir):
+@query("read_submissions", status_queries.SUBMISSION_SQL)
+def read_submissions(spark, sf_dir):
+    return _submission_rows(readers.read_submissions(spark, _submission_dump(spark, sf_dir)))
+
+
+@query("read_submissions_rejected", rejected_sql("start_time"))
+def read_submissions_rejected(spark, sf_dir):
+    return readers.read_rejected(spark, _submission_dump(spark, sf_dir), readers.SUBMISSION_LINES)
+
+
+@query(
+    "landed_submissions",
+    f"""SELECT 'row' AS part, name, state FROM ({status_queries.SUBMISSION_SQL})
+    UNION ALL SELECT 'reject', raw, reason FROM ({rejected_sql("start_time")})""",
+)
+def landed_submissions(spark, sf_dir):
+    """Rows and rejects of one dump out of one pass."""
+    rows, rejects = readers.landed(
+        spark, _submission_dump(spark, sf_dir), readers.SUBMISSION_LINES, shared_folder(spark)
+    )
+    found = _submission_rows(readers.submission_times(rows)).select(F.lit("row").alias("part"), "name", "state")
+    return found.union(rejects.select(F.lit("reject"), "raw", "reason"))
+
+
+def _node_dump(spark, sf_dir):
     listed = inventory_queries.nodes(spark, sf_dir).select(
         "cluster", "node", F.create_map("resource", "quantity").alias("allocatable"), "http_status"
     )
-    found = inventory.gpu_types(readers.read_nodes(spark, _json_dump(listed)))
+    return _json_dump(listed, _spoiled(spark, sf_dir, "http_status"))
+
+
+@query("read_nodes", inventory_queries.GPU_SQL)
+def read_nodes(spark, sf_dir):
+    found = inventory.gpu_types(readers.read_nodes(spark, _node_dump(spark, sf_dir)))
     return found.withColumn("gpu_types", F.array_join("gpu_types", ","))
 
 
+@query("read_nodes_rejected", rejected_sql("http_status"))
+def read_nodes_rejected(spark, sf_dir):
+    return readers.read_rejected(spark, _node_dump(spark, sf_dir), readers.NODE_LINES)
+
+
+def _api_type_dump(spark, sf_dir):
+    return _json_dump(inventory_queries.api_types(spark, sf_dir), _spoiled(spark, sf_dir, "http_status"))
+
+
 @query(
     "read_api_types",
     f"""SELECT p_brand || '/' || p_size AS cluster, {inventory_queries.TYPE_NAME} AS crd_name,
@@ -93,29 +151,43 @@ def read_nodes(spark, sf_dir):
     FROM part""",
 )
 def read_api_types(spark, sf_dir):
-    types = readers.read_api_types(spark, _json_dump(inventory_queries.api_types(spark, sf_dir)))
+    types = readers.read_api_types(spark, _api_type_dump(spark, sf_dir))
     version = F.col("labels")[inventory.VERSION_LABEL].alias("version")
     return types.select("cluster", "crd_name", version, "http_status")
 
 
+@query("read_api_types_rejected", rejected_sql("http_status"))
+def read_api_types_rejected(spark, sf_dir):
+    return readers.read_rejected(spark, _api_type_dump(spark, sf_dir), readers.API_TYPE_LINES)
+
+
+def _metrics_dump(spark, sf_dir):
+    payload = """to_json(named_struct('data', named_struct('clusterStatus', named_struct('loadMetricsReport',
+      named_struct('numAvailableCpus', user_id, 'numAvailableGpus', event_id)))))"""
+    dump = table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id AS STRING) AS cluster", f"{iso('ts')} AS observed_at", f"{payload} AS payload"
+    )
+    return _json_dump(dump, _spoiled(spark, sf_dir, "observed_at"))
+
+
 @query(
     "read_metrics",
     """SELECT user_id, epoch_us(date_trunc('hour', ts)) AS hour_us, min(user_id)::DOUBLE AS min_available_cpus,
       max(event_id)::DOUBLE AS max_available_gpus FROM events GROUP BY 1, 2""",
 )
 def read_metrics(spark, sf_dir):
-    payload = """to_json(named_struct('data', named_struct('clusterStatus', named_struct('loadMetricsReport',
-      named_struct('numAvailableCpus', user_id, 'numAvailableGpus', event_id)))))"""
-    dump = table(spark, sf_dir, "events").selectExpr(
-        "CAST(user_id AS STRING) AS cluster", f"{iso('ts')} AS observed_at", f"{payload} AS payload"
-    )
-    hours = summary.utilization(readers.read_metrics(spark, _json_dump(dump)))
+    hours = summary.utilization(readers.read_metrics(spark, _metrics_dump(spark, sf_dir)))
     return hours.select(
         F.col("cluster").cast("bigint").alias("user_id"), F.unix_micros("period").alias("hour_us"),
         "min_available_cpus", "max_available_gpus",
     )
 
 
+@query("read_metrics_rejected", rejected_sql("observed_at"))
+def read_metrics_rejected(spark, sf_dir):
+    return readers.read_rejected(spark, _metrics_dump(spark, sf_dir), readers.METRIC_LINES)
+
+
 @query("write_view", status_queries.CLUSTER_LIST_SQL)
 def write_views(spark, sf_dir):
     view = status_queries.list_view_clusters(spark, sf_dir)

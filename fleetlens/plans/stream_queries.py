@@ -6,6 +6,7 @@ it; the query result is that table.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +28,9 @@ from fleetlens.plans.series_queries import (
     WAIT_READY_SQL,
     WAIT_TERMINAL_SQL,
 )
+from fleetlens.schemas import SNAPSHOTS
 from fleetlens.sources.scratch import shared_folder
-from fleetlens.streaming import flows, stateful
+from fleetlens.streaming import flows, landing, stateful
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,3 +154,61 @@ def on_progress(spark, sf_dir):
     writer = flows.on_progress(rows, store).option("checkpointLocation", f"{folder}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows").select(*rows.columns)
+
+
+def _snapshot_lines(spark, sf_dir):
+    """Events as JSON snapshots in files of their own, among them lines that are none; the folder."""
+    polls = cluster_polls(table(spark, sf_dir, "events")).selectExpr(
+        "'cluster' AS kind", "CAST(user_id AS STRING) AS name", "event_id AS seq", "state", "head_ready",
+        """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS observed_at""",
+    )
+    broken = """CASE WHEN event_id % 3 = 0 THEN concat('{"name": "', event_id) WHEN event_id % 3 = 1
+      THEN concat('{"name": "n", "seq": "', event_id, 'th"}') ELSE concat('{"seq": ', event_id, '}') END"""
+    spoiled = table(spark, sf_dir, "events").where("event_id % 10 = 7").selectExpr(f"{broken} AS value")
+    folder = shared_folder(spark)
+    lines = polls.select(F.to_json(F.struct("*")).alias("value")).unionByName(spoiled)
+    lines.repartition(6, F.xxhash64("value")).write.text(folder)
+    return folder
+
+
+LANDED_SQL = """SELECT 'row' AS part, CAST(user_id AS VARCHAR) AS name, event_id AS seq FROM events
+UNION ALL
+SELECT 'reject', CASE event_id % 3 WHEN 0 THEN 'NO_OBJECT' WHEN 1 THEN 'WRONG_TYPE' ELSE 'UNNAMED' END, CASE WHEN event_id % 3 = 2 THEN event_id END
+FROM events WHERE event_id % 10 = 7"""
+
+
+def _landed(spark, folder):
+    rows = landing.read_landed(spark, folder, "rows", SNAPSHOTS)
+    rejects = landing.read_landed(spark, folder, "rejects", "raw string, reason string")
+    seq = F.get_json_object("raw", "$.seq").try_cast("bigint")
+    return rows.select(F.lit("row").alias("part"), "name", "seq").union(rejects.select(F.lit("reject"), "reason", seq))
+
+
+@query("snapshots_landed", LANDED_SQL)
+def snapshots_landed(spark, sf_dir):
+    """A stream of snapshot lines landed in a table of rows and one of rejects."""
+    typed = landing.line_stream(spark, _snapshot_lines(spark, sf_dir), max_files_per_trigger=2)
+    folder = shared_folder(spark)
+    landing.land_lines(typed, f"{folder}/out", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return _landed(spark, f"{folder}/out")
+
+
+@query("snapshots_landed_replayed", LANDED_SQL)
+def snapshots_landed_replayed(spark, sf_dir):
+    """The same stream, killed in its second batch between the two tables, and started again."""
+    typed = landing.line_stream(spark, _snapshot_lines(spark, sf_dir), max_files_per_trigger=2)
+    folder = shared_folder(spark)
+    out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+
+    def dies(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 1:
+            landing.rows_of(batch).write.parquet(f"{out}/rows/batch={batch_id}")
+            raise RuntimeError("killed")
+        landing.write_batch(batch, batch_id, out, {"rows": landing.rows_of, "rejects": landing.rejects_of}, checkpoint)
+
+    first = typed.writeStream.foreachBatch(dies).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        first.awaitTermination()
+    except StreamingQueryException:
+        landing.land_lines(typed, out, checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return _landed(spark, out)

@@ -1,8 +1,17 @@
-"""Readers of JSON dumps. Dumps are line-delimited, so large files split across tasks."""
+"""Readers of JSON dumps. Dumps are line-delimited, so large files split across tasks.
+
+A line of a typed dump is a row or a reject, never both and never neither (blank lines
+aside). It is a reject if it is no JSON object, has a field of a wrong type, or lacks what
+names the thing it describes. Rows and rejects come from one parse (``typed_lines``), which
+``landed`` writes in one pass and ``streaming.landing`` lands batch by batch.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import schemas
@@ -82,9 +91,79 @@ def ingresses_of(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_submissions(spark: SparkSession, path: str) -> DataFrame:
-    """Dashboard job records; the id falls back to the submission id, and time 0 means none."""
-    rows = spark.read.schema(schemas.SUBMISSION).json(path)
+@dataclass(frozen=True)
+class LineFormat:
+    """What a typed dump holds: its schema, and the fields of which a line must name one each.
+
+    ``named`` is a list of choices; of each at least one field must be neither missing nor empty.
+    """
+
+    schema: str
+    named: Sequence[Sequence[str]] = ()
+
+
+SUBMISSION_LINES = LineFormat(schemas.SUBMISSION, [("job_id", "submission_id")])
+NODE_LINES = LineFormat(schemas.NODES, [("cluster",)])
+API_TYPE_LINES = LineFormat(schemas.API_TYPES, [("cluster",)])
+METRIC_LINES = LineFormat(schemas.METRICS, [("cluster",), ("observed_at",)])
+SNAPSHOT_LINES = LineFormat(schemas.SNAPSHOTS, [("name",), ("observed_at",), ("seq",)])
+
+NO_OBJECT, WRONG_TYPE, UNNAMED = "NO_OBJECT", "WRONG_TYPE", "UNNAMED"
+
+
+def typed_lines(lines: DataFrame, fmt: LineFormat, text: str = "value") -> DataFrame:
+    """``(raw, row, reason)`` of every line that is not blank; ``reason`` is NULL for a row.
+
+    Works on batches and on streams. The reasons: ``NO_OBJECT`` (no JSON, or none that is
+    an object), ``WRONG_TYPE`` (a field of another type) and ``UNNAMED`` (a name is missing).
+    """
+    schema = f"{fmt.schema}, {CORRUPT} string"
+    parsed = lines.where(F.trim(text) != "").select(
+        F.col(text).alias("raw"), F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("row")
+    )
+
+    def missing(choice: Sequence[str]) -> Column:
+        return F.coalesce(*[blank_to_null(F.col(f"row.{name}").cast("string")) for name in choice]).isNull()
+
+    unnamed = F.lit(False)
+    for choice in fmt.named:
+        unnamed = unnamed | missing(choice)
+    # Only a line that failed is parsed again, to tell why.
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("raw")).startswith("OBJECT"), F.lit(False))
+    failed = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
+    reason = F.when(failed, F.when(is_object, WRONG_TYPE).otherwise(NO_OBJECT)).when(unnamed, UNNAMED)
+    return parsed.select("raw", F.col("row").dropFields(CORRUPT).alias("row"), reason.alias("reason"))
+
+
+def rows_of(typed: DataFrame) -> DataFrame:
+    """The rows of ``typed_lines``."""
+    return typed.where("reason IS NULL").select("row.*")
+
+
+def rejects_of(typed: DataFrame) -> DataFrame:
+    """The rejects of ``typed_lines``: ``(raw, reason)``."""
+    return typed.where("reason IS NOT NULL").select("raw", "reason")
+
+
+def landed(spark: SparkSession, path: str, fmt: LineFormat, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and rejects of a dump, read and parsed once: both are written to ``folder`` in one pass."""
+    typed = typed_lines(spark.read.text(path), fmt).withColumn("rejected", F.col("reason").isNotNull())
+    typed.write.partitionBy("rejected").parquet(folder)
+    stored = spark.read.schema(typed.schema).parquet(folder)
+    return rows_of(stored.where("NOT rejected")), rejects_of(stored.where("rejected"))
+
+
+def read_rejected(spark: SparkSession, path: str, fmt: LineFormat) -> DataFrame:
+    """``(raw, reason)`` of the lines that the reader of this format leaves out."""
+    return rejects_of(typed_lines(spark.read.text(path), fmt))
+
+
+def _read_rows(spark: SparkSession, path: str, fmt: LineFormat) -> DataFrame:
+    return rows_of(typed_lines(spark.read.text(path), fmt))
+
+
+def submission_times(rows: DataFrame) -> DataFrame:
+    """Submissions with their times; the id falls back to the submission id, and time 0 means none."""
     return rows.withColumns(
         {
             "job_id": F.coalesce(blank_to_null("job_id"), F.col("submission_id")),
@@ -94,20 +173,24 @@ def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_submissions(spark: SparkSession, path: str) -> DataFrame:
+    """Dashboard job records with an id."""
+    return submission_times(_read_rows(spark, path, SUBMISSION_LINES))
+
+
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     """Node inventory as ``(cluster, node, resource, quantity, http_status)``.
 
     Failed listings and nodes without resources keep one row with a NULL resource.
     """
-    rows = spark.read.schema(schemas.NODES).json(path)
-    return rows.select(
+    return _read_rows(spark, path, NODE_LINES).select(
         "cluster", "node", F.explode_outer("allocatable").alias("resource", "quantity"), "http_status"
     )
 
 
 def read_api_types(spark: SparkSession, path: str) -> DataFrame:
     """API types of each fleet member, or the status of a listing that failed."""
-    return spark.read.schema(schemas.API_TYPES).json(path)
+    return _read_rows(spark, path, API_TYPE_LINES)
 
 
 def available_resources(metrics: DataFrame, payload: str = "payload") -> DataFrame:
@@ -123,4 +206,4 @@ def available_resources(metrics: DataFrame, payload: str = "payload") -> DataFra
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Cluster metrics with their available CPUs and GPUs."""
-    return available_resources(spark.read.schema(schemas.METRICS).json(path))
+    return available_resources(_read_rows(spark, path, METRIC_LINES))
