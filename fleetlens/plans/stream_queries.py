@@ -10,7 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.operators.series import progress_message
+from fleetlens.operators.series import Polls, progress_message
 from fleetlens.plans.bindings import (
     CLUSTER_POLLS_SQL,
     EVENT_POLLS,
@@ -70,6 +70,19 @@ def wait_terminal_stream(spark, sf_dir):
     return drained(stateful.wait_terminal_stream(polls, JOB_TIMEOUT_US, "CRD", EVENT_POLLS))
 
 
+@query(
+    "wait_terminal_stream_null_keys",
+    f"SELECT CASE WHEN user_id % 3 <> 0 THEN 'n' || user_id % 3 END AS namespace, user_id, outcome, elapsed_us, last_state "
+    f"FROM ({WAIT_TERMINAL_SQL}) w WHERE {DECIDED.format(JOB_TIMEOUT_US)}",
+)
+def wait_terminal_stream_null_keys(spark, sf_dir):
+    """Dashboard submissions have no namespace: a third of the keys has a NULL in it."""
+    polls = job_polls(table_stream(spark, sf_dir, "events"))
+    keyed = polls.withColumn("namespace", F.expr("CASE WHEN user_id % 3 <> 0 THEN concat('n', user_id % 3) END"))
+    names = Polls(keys=("namespace", "user_id"), ts="ts", seq="event_id", state="state", head_ready="head_ready")
+    return drained(stateful.wait_terminal_stream(keyed, JOB_TIMEOUT_US, "DASHBOARD", names))
+
+
 TRANSITIONS_STREAM_SQL = f"""SELECT user_id, event_id AS seq, from_state, to_state, dwell_us, legal
 FROM ({TRANSITIONS_SQL}) t JOIN (SELECT event_id AS id, epoch_us(ts) AS at_us FROM events) e ON event_id = id
 WHERE at_us <= {PASSED}"""

@@ -3,8 +3,19 @@
 These two rules need ordered state per resource and a timer, which no built-in
 streaming aggregate has. Polls are held in RocksDB until the watermark has passed
 them, so they are folded in order of time and sequence however they arrive within
-``delay``; later ones are left out by Spark. Beside the held polls the state is one
-row per resource. A task holds the due polls of one resource at a time.
+``delay``; later ones are left out by Spark.
+
+Held polls lie in pages by time bucket, and each bucket has its own timer. Polls that
+arrive are appended as a page, without reading what is held; a timer reads the pages
+of one bucket, and what the watermark has not passed stays there. A task thus holds
+one bucket of one resource at a time, however many polls of it a batch brings.
+
+A poll without a time or a sequence has no place in an order and is left out. NULL in
+a key is a value like any other.
+
+Beside the held polls the state is one row per resource: where it stands, or that its
+wait has ended. With ``forget_us`` a poll so long after the limit of an ended wait, or
+after the poll before it, starts anew, and the row is dropped once the watermark is there.
 """
 
 from __future__ import annotations
@@ -25,9 +36,13 @@ DELAY = "1 minute"
 
 # Python sees columns whose names start with an underscore under other names, so these do not.
 POLL_COLUMNS = ["poll_us", "poll_seq", "poll_state", "poll_ready", "poll_done"]
-HELD_STATE = "at bigint, seq bigint, state string, ready boolean, done boolean"
+PAGE_KEY = "bucket bigint, page int"
+PAGE_STATE = "polls array<struct<at: bigint, seq: bigint, state: string, ready: boolean, done: boolean>>"
+BUCKET_KEY = "bucket bigint"
+BUCKET_STATE = "pages int, first bigint"
 WAIT_STATE = "start bigint, state string, ready boolean, closed boolean"
-EDGE_STATE = "state string, entered bigint"
+EDGE_STATE = "state string, entered bigint, last bigint"
+BUCKET_US = 600_000_000
 
 
 def _require_rocksdb(df: DataFrame) -> None:
@@ -35,14 +50,14 @@ def _require_rocksdb(df: DataFrame) -> None:
         raise ValueError(f"set {STATE_STORE_SETTING} to {ROCKSDB}: these streams use timers and several state columns")
 
 
-def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
-    return ", ".join(f"`{key}` {df.schema[key].dataType.simpleString()}" for key in keys)
+KEY = "poll_key"
+_KEY_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
 
 
 def _polls(snaps: DataFrame, polls: Polls, ready: Column, done: Column, delay: str) -> DataFrame:
-    """Polls with a key, a time and a sequence; a malformed line has none and would stop the stream for good."""
+    """Polls with a time and a sequence, under one text that stands for their key, NULLs included."""
     slim = snaps.select(
-        *polls.keys,
+        F.to_json(F.struct(*polls.keys), _KEY_OPTIONS).alias(KEY),
         F.col(polls.ts).cast("timestamp").alias("poll_time"),
         micros(polls.ts).alias("poll_us"),
         F.col(polls.seq).cast("bigint").alias("poll_seq"),
@@ -50,7 +65,16 @@ def _polls(snaps: DataFrame, polls: Polls, ready: Column, done: Column, delay: s
         ready.alias("poll_ready"),
         done.alias("poll_done"),
     ).withWatermark("poll_time", delay)
-    return slim.dropna(subset=[*polls.keys, "poll_us", "poll_seq"])
+    return slim.dropna(subset=["poll_us", "poll_seq"])
+
+
+def _with_keys(found: DataFrame, snaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The key columns in place of the text that stands for them."""
+    schema = ", ".join(f"`{key}` {snaps.schema[key].dataType.simpleString()}" for key in keys)
+    others = [F.col(name) for name in found.columns if name != KEY]
+    return found.withColumn(KEY, F.from_json(KEY, schema, _KEY_OPTIONS)).select(
+        *[F.col(f"{KEY}.`{key}`").alias(key) for key in keys], *others
+    )
 
 
 def _milliseconds(us: int) -> int:
@@ -63,12 +87,16 @@ class InOrder(StatefulProcessor):
 
     state_schema: str
 
-    def __init__(self, keys: Sequence[str]):
-        self.keys = list(keys)
+    def __init__(self, bucket_us: int = BUCKET_US, forget_us: int | None = None):
+        if bucket_us % 1000:
+            raise ValueError("a bucket is whole milliseconds long, as timers are")
+        self.bucket_us = bucket_us
+        self.forget_us = forget_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", HELD_STATE)
+        self.pages = handle.getMapState("pages", PAGE_KEY, PAGE_STATE)
+        self.buckets = handle.getMapState("buckets", BUCKET_KEY, BUCKET_STATE)
         self.state = handle.getValueState("state", self.state_schema)
 
     def fold(self, key: tuple, polls: list[tuple], passed: int) -> Iterator[pd.DataFrame]:
@@ -76,40 +104,78 @@ class InOrder(StatefulProcessor):
         raise TypeError(f"{type(self).__name__} folds nothing")
 
     def finished(self) -> bool:
+        """Whether no poll can matter any more."""
         return False
 
+    def kept_until(self) -> int | None:
+        """The time beyond which a poll starts anew; None while there is none."""
+        raise TypeError(f"{type(self).__name__} keeps nothing")
+
     def stored(self) -> tuple | None:
         return self.state.get() if self.state.exists() else None
 
+    def timer(self, us: int) -> None:
+        self.handle.registerTimer(_milliseconds(us))
+
+    def hold(self, bucket: int, polls: list[tuple]) -> None:
+        """Appends a page to a bucket; its timer is that of its earliest poll."""
+        pages, first = self.buckets.getValue((bucket,)) if self.buckets.containsKey((bucket,)) else (0, None)
+        earliest = min(poll[0] for poll in polls)
+        self.pages.updateValue((bucket, pages), (polls,))
+        if first is None or earliest < first:
+            self.timer(earliest)
+            first = earliest
+        self.buckets.updateValue((bucket,), (pages + 1, first))
+
+    def due(self, bucket: int, passed: int) -> list[tuple]:
+        """Takes the polls of a bucket that the watermark has passed, in order."""
+        if not self.buckets.containsKey((bucket,)):
+            return []
+        pages, _ = self.buckets.getValue((bucket,))
+        ready, later = [], []
+        for page in range(pages):
+            for poll in self.pages.getValue((bucket, page))[0]:
+                (ready if poll[0] <= passed else later).append(tuple(poll))
+            self.pages.removeKey((bucket, page))
+        self.buckets.removeKey((bucket,))
+        if later:
+            self.hold(bucket, later)
+        return sorted(ready, key=lambda poll: poll[:2])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if self.finished():
             return
-        first = None
         for chunk in rows:
             numbers = [chunk[name].astype(int).tolist() for name in POLL_COLUMNS[:2]]
             flags = [chunk[name].astype(bool).tolist() for name in POLL_COLUMNS[3:]]
-            self.held.appendList(list(zip(*numbers, chunk["poll_state"].tolist(), *flags, strict=True)))
-            first = min(numbers[0]) if first is None else min(first, *numbers[0])
-        self.handle.registerTimer(_milliseconds(first))
+            # A missing state is None, also where pandas has NaN for it.
+            states = [state if isinstance(state, str) else None for state in chunk["poll_state"]]
+            by_bucket: dict[int, list[tuple]] = {}
+            for poll in zip(*numbers, states, *flags, strict=True):
+                by_bucket.setdefault(poll[0] // self.bucket_us, []).append(poll)
+            for bucket, polls in by_bucket.items():
+                self.hold(bucket, polls)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Timers come in the order of their times, so buckets are folded in that order."""
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.held.get()) if self.held.exists() else []
-        due = sorted((poll for poll in held if poll[0] <= passed), key=lambda poll: poll[:2])
-        if due:
-            later = [tuple(poll) for poll in held if poll[0] > passed]
-            self.held.clear()
-            if later:
-                self.held.put(later)
-                self.handle.registerTimer(_milliseconds(min(poll[0] for poll in later)))
-        yield from self.fold(key, due, passed)
+        at = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        # A timer is at most a millisecond later than its poll, which may lie before a border.
+        for bucket in sorted({(at - 1) // self.bucket_us, at // self.bucket_us}):
+            polls = self.due(bucket, passed)
+            folded = min(passed, max(at, (bucket + 1) * self.bucket_us - 1) if polls else at)
+            yield from self.fold(key, polls, folded)
+            until = self.kept_until()
+            if until is not None and until <= folded:
+                self.state.clear()
+            elif until is not None:
+                self.timer(until)
 
     def rows(self, key: tuple, columns: dict[str, list]) -> pd.DataFrame:
         """A frame whose rows all belong to one key; missing values stay missing in every type."""
         size = len(next(iter(columns.values())))
-        named = {name: [part] * size for name, part in zip(self.keys, key, strict=True)}
-        return pd.DataFrame({**named, **columns}, dtype=object)
+        return pd.DataFrame({KEY: [key[0]] * size, **columns}, dtype=object)
 
     def close(self) -> None:
         pass
@@ -120,45 +186,62 @@ class WaitProcessor(InOrder):
 
     state_schema = WAIT_STATE
 
-    def __init__(self, keys: Sequence[str], outcome: str, timeout_us: int):
-        super().__init__(keys)
+    def __init__(self, outcome: str, timeout_us: int, bucket_us: int = BUCKET_US, forget_us: int | None = None):
+        super().__init__(bucket_us, forget_us)
         self.outcome = outcome
         self.timeout_us = timeout_us
 
     def finished(self) -> bool:
         stored = self.stored()
-        return stored is not None and stored[3]
+        return stored is not None and stored[3] and self.forget_us is None
+
+    def kept_until(self) -> int | None:
+        stored = self.stored()
+        if self.forget_us is None or stored is None or not stored[3]:
+            return None
+        return stored[0] + self.timeout_us + self.forget_us
 
     def _closed(self, key: tuple, start: int, outcome: str, elapsed, state, ready) -> pd.DataFrame:
         """The outcome row; of the wait no more than a mark stays, so that later polls don't open it again."""
         self.state.update((start, None, None, True))
-        self.held.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+        if self.forget_us is None:
+            self.pages.clear()
+            self.buckets.clear()
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
         return self.rows(
             key, {"outcome": [outcome], "elapsed_us": [elapsed], "last_state": [state], "last_head_ready": [ready]}
         )
 
     def fold(self, key, polls, passed):
-        stored = self.stored()
-        if stored is None and not polls:
-            return
-        start, state, ready, closed = stored or (polls[0][0], None, None, False)
-        if closed:
-            return
+        while True:
+            stored = self.stored()
+            if stored is not None and stored[3]:
+                until = self.kept_until()
+                polls = [poll for poll in polls if until is not None and poll[0] > until]
+                stored = None
+            if stored is None and not polls:
+                return
+            start, state, ready, _ = stored or (polls[0][0], None, None, False)
+            closing = self._closing(key, polls, passed, start, state, ready)
+            if closing is None:
+                return
+            yield closing
+
+    def _closing(self, key, polls, passed, start, state, ready) -> pd.DataFrame | None:
+        """The outcome row of a wait, or None if it goes on."""
         limit = start + self.timeout_us
         for at, _, now, ready_now, done in polls:
             if at >= limit:
                 break
             state, ready = now, ready_now
             if done:
-                yield self._closed(key, start, self.outcome, at - start, state, ready)
-                return
+                return self._closed(key, start, self.outcome, at - start, state, ready)
         if limit <= passed:
-            yield self._closed(key, start, "TIMEOUT", None, state, ready)
-            return
+            return self._closed(key, start, "TIMEOUT", None, state, ready)
         self.state.update((start, state, ready, False))
-        self.handle.registerTimer(_milliseconds(limit))
+        self.timer(limit)
+        return None
 
 
 class EdgeProcessor(InOrder):
@@ -166,47 +249,60 @@ class EdgeProcessor(InOrder):
 
     state_schema = EDGE_STATE
 
+    def kept_until(self) -> int | None:
+        stored = self.stored()
+        return None if self.forget_us is None or stored is None else stored[2] + self.forget_us
+
     def fold(self, key, polls, passed):
         if not polls:
             return
-        state, entered = self.stored() or (polls[0][2], polls[0][0])
+        state, entered, last = self.stored() or (polls[0][2], polls[0][0], polls[0][0])
         found = {name: [] for name in ("at_us", "seq", "from_state", "to_state", "dwell_us")}
         for at, seq, now, _, _ in polls:
+            if self.forget_us is not None and at - last > self.forget_us:
+                state, entered = now, at
             if now != state:
                 for name, value in zip(found, (at, seq, state, now, at - entered), strict=True):
                     found[name].append(value)
                 state, entered = now, at
-        self.state.update((state, entered))
+            last = at
+        self.state.update((state, entered, last))
         if found["seq"]:
             yield self.rows(key, found)
 
 
-def _wait_stream(snaps: DataFrame, polls: Polls, done, outcome: str, timeout_us: int, delay: str) -> DataFrame:
+def _wait_stream(
+    snaps: DataFrame, polls: Polls, done, outcome: str, timeout_us: int, delay: str, bucket_us: int, forget_us: int | None
+) -> DataFrame:
     _require_rocksdb(snaps)
-    keys = polls.keys
     ready = (
         F.coalesce(F.col(polls.head_ready), F.lit(False))
         if polls.head_ready in snaps.columns
         else F.lit(False)
     )
-    return _polls(snaps, polls, ready, done, delay).groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=WaitProcessor(keys, outcome, timeout_us),
-        outputStructType=_key_schema(snaps, keys)
-        + ", outcome string, elapsed_us bigint, last_state string, last_head_ready boolean",
+    found = _polls(snaps, polls, ready, done, delay).groupBy(KEY).transformWithStateInPandas(
+        statefulProcessor=WaitProcessor(outcome, timeout_us, bucket_us, forget_us),
+        outputStructType=f"{KEY} string, outcome string, elapsed_us bigint, last_state string, last_head_ready boolean",
         outputMode="Append",
         timeMode="EventTime",
     )
+    return _with_keys(found, snaps, polls.keys)
 
 
 def wait_ready_stream(
-    snaps: DataFrame, timeout_us: int, polls: Polls = DEFAULT_POLLS, delay: str = DELAY
+    snaps: DataFrame,
+    timeout_us: int,
+    polls: Polls = DEFAULT_POLLS,
+    delay: str = DELAY,
+    bucket_us: int = BUCKET_US,
+    forget_us: int | None = None,
 ) -> DataFrame:
     """Streaming ``wait_ready``: READY or TIMEOUT when the watermark passes the poll or the limit.
 
     ``delay`` is how late polls may come; the earliest poll of a resource starts its clock.
     """
     done = F.coalesce((F.col(polls.state) == "RUNNING") & F.col(polls.head_ready), F.lit(False))
-    return _wait_stream(snaps, polls, done, "READY", timeout_us, delay)
+    return _wait_stream(snaps, polls, done, "READY", timeout_us, delay, bucket_us, forget_us)
 
 
 def wait_terminal_stream(
@@ -215,31 +311,35 @@ def wait_terminal_stream(
     mode: str = "CRD",
     polls: Polls = DEFAULT_POLLS,
     delay: str = DELAY,
+    bucket_us: int = BUCKET_US,
+    forget_us: int | None = None,
 ) -> DataFrame:
     """Streaming ``wait_terminal``."""
     if mode == "DASHBOARD":
         snaps = snaps.withColumn(polls.state, F.upper(F.coalesce(F.col(polls.state), F.lit(""))))
-    return _wait_stream(snaps, polls, is_terminal(polls.state), "TERMINAL", timeout_us, delay).drop(
-        "last_head_ready"
-    )
+    done = F.coalesce(is_terminal(polls.state), F.lit(False))
+    return _wait_stream(snaps, polls, done, "TERMINAL", timeout_us, delay, bucket_us, forget_us).drop("last_head_ready")
 
 
 def transitions_stream(
-    snaps: DataFrame, kind: str, polls: Polls = DEFAULT_POLLS, delay: str = DELAY
+    snaps: DataFrame,
+    kind: str,
+    polls: Polls = DEFAULT_POLLS,
+    delay: str = DELAY,
+    bucket_us: int = BUCKET_US,
+    forget_us: int | None = None,
 ) -> DataFrame:
     """Streaming ``transitions``; ``at_us`` is the time of the poll that showed the new state.
 
     ``delay`` is how late polls may come; a change is emitted when the watermark passes its poll.
     """
     _require_rocksdb(snaps)
-    keys = polls.keys
     no = F.lit(False)
-    edges = _polls(snaps, polls, no, no, delay).groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=EdgeProcessor(keys),
-        outputStructType=_key_schema(snaps, keys)
-        + ", at_us bigint, seq bigint, from_state string, to_state string, dwell_us bigint",
+    edges = _polls(snaps, polls, no, no, delay).groupBy(KEY).transformWithStateInPandas(
+        statefulProcessor=EdgeProcessor(bucket_us, forget_us),
+        outputStructType=f"{KEY} string, at_us bigint, seq bigint, from_state string, to_state string, dwell_us bigint",
         outputMode="Append",
         timeMode="EventTime",
     )
     legal = is_legal_edge(F.lit(kind), "from_state", "to_state")
-    return edges.withColumn("legal", F.coalesce(legal, F.lit(False)))
+    return _with_keys(edges, snaps, polls.keys).withColumn("legal", F.coalesce(legal, F.lit(False)))
