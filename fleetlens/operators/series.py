@@ -12,10 +12,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import ColumnLike, col
+from fleetlens.functions.columns import ColumnLike, col, whole_div
 from fleetlens.functions.states import is_legal_edge, is_terminal
 from fleetlens.operators.errors import is_transient
-from fleetlens.operators.skew import HOT_ROWS, SLICE, previous_row, sliced_only, slice_hot_groups, with_stats
+from fleetlens.operators.skew import HOT_ROWS, SLICE, slice_hot_groups, with_stats
 
 
 @dataclass(frozen=True)
@@ -37,6 +37,11 @@ class Polls:
 
 DEFAULT_POLLS = Polls()
 
+# Polls of one resource are put in order within cells of this length: thirty days, a million
+# polls at one every two or three seconds.
+CELL_US = 30 * 86_400_000_000
+# The cell of polls without a time, before all others.
+NO_CELL = -(1 << 63)
 
 
 def micros(ts: ColumnLike) -> Column:
@@ -75,7 +80,7 @@ def _wait(
         ]
 
     if started_at is None:
-        sliced = slice_hot_groups(snaps, polls.keys, polls.ts, hot_rows, polls.order)
+        sliced = slice_hot_groups(snaps, polls.keys, polls.ts, polls.order, hot_rows)
         rows = with_stats(sliced, ["_from"])
         partial = rows.groupBy(*polls.keys, SLICE).agg(*verdicts(F.col("_from")))
         merged = partial.groupBy(*polls.keys).agg(
@@ -142,36 +147,65 @@ def transitions(
     snaps: DataFrame,
     kind: ColumnLike,
     polls: Polls = DEFAULT_POLLS,
-    hot_rows: int = HOT_ROWS,
+    cell_us: int = CELL_US,
+    seq_block: int | None = None,
 ) -> DataFrame:
     """State changes between consecutive polls of a resource.
 
     ``dwell_us`` is the time since the previous change (or the first poll), and
-    ``legal`` tells whether the edge is in the table of legal edges. Hot
-    resources are read slice by slice, so no task sorts one of them whole.
+    ``legal`` tells whether the edge is in the table of legal edges.
+
+    The polls of a resource are cut into cells of time, whatever their number, and each
+    cell is put in order by itself. One row per cell goes on: its first and last state and
+    its last change. Those rows, in order, tell every cell what came before it. So a
+    resource that holds most of all polls is as many groups as it has cells. With cells of
+    one microsecond, polls of one instant are cut too, by ``seq_block`` sequence numbers.
     """
-    keys = polls.keys
+    if seq_block is not None and cell_us != 1:
+        raise ValueError("only cells of one instant are in the order of their sequence numbers")
+    at = micros(polls.ts)
+    cell = [F.coalesce(whole_div(at, cell_us), F.lit(NO_CELL)).alias("_cell")]
+    if seq_block is not None:
+        cell.append(F.coalesce(whole_div(F.col(polls.seq).cast("bigint"), seq_block), F.lit(NO_CELL)).alias("_block"))
+    cells_in_order = ["_cell", "_block"][: len(cell)]
+    place = ["_key", *cells_in_order]
     needed = snaps.select(
-        *keys, polls.ts, polls.seq, F.col(polls.state).alias("_state"), col(kind).alias("_kind")
+        # NULLs inside a struct are equal, and the struct itself is never NULL.
+        F.struct(*polls.keys).alias("_key"),
+        *cell,
+        polls.ts, polls.seq, at.alias("_us"), F.col(polls.state).alias("_state"), col(kind).alias("_kind"),
     )
-    rows = slice_hot_groups(needed, keys, polls.ts, hot_rows=hot_rows).rows
-    cut_rows = sliced_only(rows)
-
-    def change_points(part: DataFrame) -> DataFrame:
-        stated = previous_row(part, cut_rows, keys, polls.order, F.struct("_state"), "_prev")
-        changed = ~F.col("_prev._state").eqNullSafe(F.col("_state"))
-        return stated.where(F.col("_prev").isNull() | changed)
-
-    entered = previous_row(
-        change_points(rows), change_points(cut_rows), keys, polls.order, F.struct(polls.ts), "_entered"
+    in_cell = Window.partitionBy(*place).orderBy(*polls.order)
+    before = in_cell.rowsBetween(Window.unboundedPreceding, -1)
+    rows = needed.withColumn("_prev", F.lag(F.struct("_state")).over(in_cell))
+
+    def differs(other: str) -> Column:
+        return ~F.col(f"{other}._state").eqNullSafe(F.col("_state"))
+
+    order = F.struct(*polls.order)
+    cells = rows.groupBy(*place).agg(
+        F.min_by(F.struct("_state", "_us"), order).alias("_first"),
+        F.max_by(F.struct("_state"), order).alias("_last"),
+        F.max(F.when(F.col("_prev").isNotNull() & differs("_prev"), F.col("_us"))).alias("_moved"),
     )
-    return entered.where(F.col("_prev").isNotNull()).select(
-        *keys,
+    in_order = Window.partitionBy("_key").orderBy(*cells_in_order)
+    told = cells.withColumn("_carried", F.lag("_last").over(in_order))
+    opens = F.col("_carried").isNull() | ~F.col("_carried._state").eqNullSafe(F.col("_first._state"))
+    entered = F.coalesce("_moved", F.when(opens, F.col("_first._us")))
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    told = told.withColumn("_since", F.last(entered, ignorenulls=True).over(earlier)).select(*place, "_carried", "_since")
+
+    stated = rows.join(told, place).withColumn("_prev", F.coalesce("_prev", "_carried"))
+    opened = F.when(F.col("_prev").isNull() | differs("_prev"), F.col("_us"))
+    since = F.coalesce(F.last(opened, ignorenulls=True).over(before), F.col("_since"))
+    changes = stated.withColumn("_since", since).where(F.col("_prev").isNotNull() & differs("_prev"))
+    return changes.select(
+        *[F.col(f"_key.`{key}`").alias(key) for key in polls.keys],
         polls.ts,
         polls.seq,
         F.col("_prev._state").alias("from_state"),
         F.col("_state").alias("to_state"),
-        (micros(polls.ts) - micros(F.col("_entered")[polls.ts])).alias("dwell_us"),
+        (F.col("_us") - F.col("_since")).alias("dwell_us"),
         F.coalesce(is_legal_edge("_kind", "_prev._state", "_state"), F.lit(False)).alias("legal"),
     )
 
@@ -193,7 +227,7 @@ def progress_trace(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One progress row per poll: state, time since the first poll, message text."""
-    sliced = slice_hot_groups(snaps, polls.keys, polls.ts, hot_rows, polls.order)
+    sliced = slice_hot_groups(snaps, polls.keys, polls.ts, polls.order, hot_rows)
     return with_stats(sliced, ["_from"]).select(
         *polls.keys,
         polls.ts,

@@ -1,11 +1,10 @@
 """Splitting hot groups so that no task has to hold one of them whole.
 
-A resource may hold a large share of all poll rows. Operators that need the
-rows of one resource in order cut such a group at quantiles of its times into
-slices of equal counts; those that need them next to the statistics of the
-resource deal them out by hash. Both then work on ``(key, slice)``. Groups below
-the threshold keep the single slice 0. The answer never depends on where the cuts
-fall. Any number of groups is cut, and a NULL in a key is a value like any other.
+A resource may hold a large share of all poll rows. Operators that need the rows of
+one resource next to the statistics of the resource deal them out by hash, and work
+on ``(key, slice)``. Groups below the threshold keep the single slice 0. The answer
+never depends on the slices. Any number of groups is cut, and a NULL in a key is a
+value like any other.
 """
 
 from __future__ import annotations
@@ -15,12 +14,10 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 4_000_000
-# A hot group is cut at this many quantiles less one.
-TIME_SLICES = 256
 
 SLICE = "_slice"
 SLICES = "_slices"
@@ -36,47 +33,24 @@ class Sliced:
 
 
 def slice_hot_groups(
-    rows: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    hot_rows: int = HOT_ROWS,
-    deal_by: Sequence[str] = (),
+    rows: DataFrame, keys: Sequence[str], ts: str, deal_by: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> Sliced:
-    """Cut every group of more than ``hot_rows`` rows.
+    """Cut every group of more than ``hot_rows`` rows into slices of about that many, in no order.
 
-    Slices are consecutive in time and hold about equally many rows, however the
-    times are spread: the cuts are approximate quantiles, combined on the map side.
-    With ``deal_by`` slices hold about ``hot_rows`` rows in no order: rows are dealt
-    out by a hash of those columns.
-
-    The statistics of a key are its row count ``_n`` and its first time ``_from``
-    in microseconds. They are combined on the map side, so one row per key and
-    input task is shuffled.
+    Rows are dealt out by a hash of ``deal_by``. The statistics of a key are its row count
+    ``_n`` and its first time ``_from`` in microseconds. They are combined on the map side,
+    so one row per key and input task is shuffled.
     """
     keys = list(keys)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_from"))
-    shares = F.ceil(F.col("_n") / hot_rows).cast("int") if deal_by else F.lit(TIME_SLICES)
+    shares = F.ceil(F.col("_n") / hot_rows).cast("int")
     stats = stats.withColumn(SLICES, F.when(F.col("_n") > hot_rows, shares).otherwise(F.lit(1)))
     hot = stats.where(F.col("_n") > hot_rows).select(*keys, SLICES)
-    if deal_by:
-        tagged = join_null_safe(rows, hot, keys, "left")
-        position = F.pmod(F.xxhash64(*deal_by), F.col(SLICES))
-    else:
-        shares_below = F.array(*[F.lit(i / TIME_SLICES) for i in range(1, TIME_SLICES)])
-        cuts = (
-            join_null_safe(rows, hot, keys, "inner")
-            .groupBy(*keys, SLICES)
-            .agg(F.percentile_approx(micros, shares_below, 10_000).alias("_cuts"))
-        )
-        tagged = join_null_safe(rows, cuts, keys, "left")
-        position = F.size(F.filter("_cuts", lambda cut: cut < micros))
-    sliced = tagged.withColumns(
-        {
-            SLICE: F.when(F.col(SLICES).isNotNull(), F.coalesce(position.cast("int"), F.lit(0))).otherwise(F.lit(0)),
-            SLICES: F.coalesce(F.col(SLICES), F.lit(1)),
-        }
-    ).drop("_cuts")
+    position = F.pmod(F.xxhash64(*deal_by), F.col(SLICES)).cast("int")
+    sliced = join_null_safe(rows, hot, keys, "left").withColumns(
+        {SLICE: F.coalesce(position, F.lit(0)), SLICES: F.coalesce(F.col(SLICES), F.lit(1))}
+    )
     return Sliced(sliced, stats, keys)
 
 
@@ -99,36 +73,3 @@ def with_stats(sliced: Sliced, columns: Sequence[str]) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1)).alias(SLICE),
     )
     return join_null_safe(sliced.rows, spread, [*sliced.keys, SLICE], "left")
-
-
-def sliced_only(rows: DataFrame) -> DataFrame:
-    """Rows of the groups that were cut; nothing is read for it when no group was."""
-    return rows.where(F.col(SLICES) > 1)
-
-
-def previous_row(
-    rows: DataFrame,
-    cut_rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: Column,
-    name: str,
-) -> DataFrame:
-    """The value of the preceding row of the same key, across slice borders too.
-
-    ``value`` must not be NULL (use a struct). Within a slice this is ``lag``;
-    the first row of a slice takes the last value of the nearest earlier slice,
-    found in ``cut_rows``, the part of ``rows`` whose groups were cut.
-    """
-    keys = list(keys)
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    borders = (
-        cut_rows.groupBy(*keys, SLICE)
-        .agg(F.max_by(value, F.struct(*order)).alias("_last"))
-        .withColumn("_before", F.lag("_last").over(across))
-        .drop("_last")
-    )
-    lagged = rows.withColumn(name, F.lag(value).over(in_slice))
-    joined = join_null_safe(lagged, borders, [*keys, SLICE], "left")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.col("_before"))).drop("_before")

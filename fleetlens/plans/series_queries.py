@@ -124,7 +124,14 @@ def transitions(spark, sf_dir):
 
 @query("transitions_hot_keys", TRANSITIONS_SQL)
 def transitions_hot_keys(spark, sf_dir):
-    return _transitions(spark, sf_dir, hot_rows=SMALL_HOT_ROWS)
+    """Cells of an hour, so that every resource has many."""
+    return _transitions(spark, sf_dir, cell_us=3_600_000_000)
+
+
+@query("transitions_ties", TRANSITIONS_SQL)
+def transitions_ties(spark, sf_dir):
+    """Cells of one instant, cut by sequence numbers."""
+    return _transitions(spark, sf_dir, cell_us=1, seq_block=2)
 
 
 PROGRESS_SQL = f"""WITH {CLUSTER_POLLS_SQL}

@@ -13,9 +13,8 @@ PYTHON = {
     "wait_ready_stream", "wait_terminal_stream", "transitions_stream", "transitions_stream_shuffled",
 }
 # These run jobs when they are called: they write a dump or drain a stream first.
-EAGER = {name for name in REGISTERED if name.startswith(("read_", "write_")) or name in {
-    "wait_ready_stream", "wait_terminal_stream", "transitions_stream", "transitions_stream_shuffled", "log_follow", "progress_heartbeat",
-    "state_counts_stream", "on_progress"}}
+EAGER = {name for name in REGISTERED if name.startswith(("read_", "write_", "landed_", "snapshots_")) or "_stream" in name or name in {
+    "log_follow", "progress_heartbeat", "on_progress"}}
 LAZY = sorted(set(REGISTERED) - EAGER)
 
 
@@ -31,6 +30,15 @@ def test_no_pairwise_joins_and_no_stray_python(spark, name):
         assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", text)
 
 
+def test_transitions_read_and_shuffle_the_polls_once(spark):
+    """With many cells per resource too: the border rows come out of the same shuffle."""
+    for name in ("transitions", "transitions_hot_keys", "transitions_ties"):
+        df = entry_point.queries()[name](spark, SF)
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert text.count("FileScan") <= 2 and len(re.findall(r"\bExchange ", text)) <= 4, name
+
+
 def test_rank_filters_are_pushed_below_the_shuffle(spark):
     for name in ("latest_snapshot", "log_tail", "number_attempts"):
         text = plan(spark, name)

@@ -89,10 +89,11 @@ def brute_transitions(polls):
     return sorted(out, key=lambda r: [str(v) for v in r])
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 10, 1000])
-def test_transitions_do_not_depend_on_slices(spark, rows, hot_rows):
-    polls = random_polls(hot_rows)
-    got = series.transitions(snaps(spark, *polls), F.lit("cluster"), POLLS, hot_rows=hot_rows)
+@pytest.mark.parametrize("cell", [(1, 1), (1, 3), (1, None), (10 * SECOND, None), (series.CELL_US, None)])
+def test_transitions_do_not_depend_on_cells(spark, rows, cell):
+    """Cells of an instant, cut by sequence or not, of some polls, and of all."""
+    polls = random_polls(cell[0] % 1000)
+    got = series.transitions(snaps(spark, *polls), F.lit("cluster"), POLLS, *cell)
     assert rows(got, "name", "seq", "from_state", "to_state", "dwell_us") == brute_transitions(polls)
 
 
@@ -183,17 +184,37 @@ def test_waits_and_traces_take_null_keys(spark):
         assert got == {None: ("TERMINAL", 60 * SECOND), "n": ("TIMEOUT", None)}
         trace = series.progress_trace(df, "job", keyed, hot_rows=hot_rows).collect()
         assert len(trace) == 8 and all(r.elapsed_us is not None for r in trace)
-        edges = series.transitions(df, F.lit("job"), keyed, hot_rows=hot_rows).collect()
+        edges = series.transitions(df, F.lit("job"), keyed, 60 * SECOND * hot_rows).collect()
         assert [(r.namespace, r.from_state, r.to_state) for r in edges if r.seq == 1] == [(None, "RUNNING", "SUCCEEDED")]
 
 
-def test_slices_are_even_whatever_the_times(spark):
-    """One stray poll long before the others doesn't put them all in one slice; over a thousand keys are cut."""
+def test_ties_and_hot_resources_are_cut(spark, rows):
+    """Twenty thousand polls of one resource at one instant: groups of a hundred, and the same changes."""
+    crowd = spark.range(20_000).selectExpr(
+        "0L AS name", "id AS seq", "timestamp_seconds(1700000000) AS at", "IF(id % 7 = 0, 'RUNNING', 'SUSPENDED') AS state", "false AS head_ready"
+    )
+    polls = series.Polls(("name",), "at", "seq", "state", "head_ready")
+    got = series.transitions(crowd, F.lit("cluster"), polls, 1, 100)
+    assert got.count() == 2 * (20_000 // 7) and got.where("dwell_us <> 0").isEmpty()
+    sizes = crowd.groupBy(F.expr("seq DIV 100")).count().agg(F.max("count")).first()[0]
+    assert sizes == 100
+    with pytest.raises(ValueError):
+        series.transitions(crowd, F.lit("cluster"), polls, 1000, 100)
+
+
+def test_polls_without_a_time_come_first(spark, rows):
+    df = spark.createDataFrame(
+        [("a", None, 5, "CREATING"), ("a", 3, 1, "RUNNING"), ("a", 7200, None, "FAILED"), (None, 1, 1, "RUNNING"), (None, 9000, 2, "FAILED")],
+        "name string, t long, seq long, state string",
+    ).selectExpr("name", "timestamp_seconds(t) AS at", "seq", "state", "false AS head_ready")
+    polls = series.Polls(("name",), "at", "seq", "state", "head_ready")
+    whole = rows(series.transitions(df, F.lit("cluster"), polls))
+    assert len(whole) == 3 and whole == rows(series.transitions(df, F.lit("cluster"), polls, 3600 * SECOND))
+
+
+def test_many_hot_keys_are_dealt_out(spark):
     from fleetlens.operators.skew import slice_hot_groups
 
-    crowd = spark.range(20_000).selectExpr("0L AS k", "id AS seq", "timestamp_seconds(IF(id = 0, 0, 1700000000 + id)) AS ts")
-    sizes = [r["count"] for r in slice_hot_groups(crowd, ["k"], "ts", hot_rows=1000).rows.groupBy("_slice").count().collect()]
-    assert len(sizes) > 100 and max(sizes) <= 3 * sum(sizes) / len(sizes)
     many = spark.range(12_000).selectExpr("id % 1200 AS k", "id AS seq", "timestamp_seconds(id) AS ts")
-    stats = slice_hot_groups(many, ["k"], "ts", hot_rows=5, deal_by=["seq"]).stats
+    stats = slice_hot_groups(many, ["k"], "ts", ["seq"], hot_rows=5).stats
     assert stats.where("_slices = 2").count() == 1200
