@@ -37,46 +37,92 @@ def escape_key(key: ColumnLike) -> Column:
     return F.replace(F.replace(col(key), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
 
 
-def path_prefixes(path: ColumnLike, with_self: bool) -> Column:
-    """All proper ancestors of a path like ``a/b/c``, with the path itself on request."""
-    steps = F.split(col(path), PATH_SEPARATOR)
-    last = F.size(steps) if with_self else F.size(steps) - 1
-    lengths = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(lengths, lambda n: F.array_join(F.slice(steps, F.lit(1), n), PATH_SEPARATOR))
+# Sorts before everything that a path code can hold besides.
+_BELOW = "\x00"
 
 
-def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id") -> DataFrame:
+def path_code(path: ColumnLike) -> Column:
+    """A path as a text that sorts before all paths below it, and those before any other.
+
+    Steps end with the smallest character; where a key holds it, it is escaped.
+    """
+    escaped = F.replace(F.replace(col(path), F.lit("\x01"), F.lit("\x01\x02")), F.lit(_BELOW), F.lit("\x01\x01"))
+    return F.replace(escaped, F.lit(PATH_SEPARATOR), F.lit(_BELOW))
+
+
+def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id", steps: int = 1) -> DataFrame:
     """Overlay documents held as leaf rows ``(id, path, value)``.
 
     Objects merge key by key; anything else in the override replaces what is in
     the base: scalars, lists and nulls whole. An empty object is a leaf with the
-    value ``{}``. Paths are joined with ``/`` and escaped by ``escape_key``.
+    value ``{}``. Paths are joined with ``/`` and escaped by ``escape_key``. No leaf
+    of one document lies below another.
+
+    The leaves of both sides are put in the order of their path codes, in which what
+    lies below a path follows it at once. So the last override leaf up to a base leaf
+    is the only one that can be at or above it, and the next one the only one that need
+    be looked at below it: two running values decide, and nothing is joined or exploded.
 
-    Every join is an equality on ``(id, path)``. All leaves of a very big document
-    share its upper ancestors; such a key lies on the left side of a semi or anti
-    join, which adaptive skew splitting cuts.
+    Leaves meet only below the same first step, so a document is cut by it. One too big
+    for that is cut by its first ``steps`` steps; then a row for each cut carries the
+    running values on.
     """
-    keys = [id_column, "path"]
-    is_empty = F.col("value") == EMPTY_OBJECT
-
-    # An override value hides the base leaves at or below its path.
-    replacing = override.where(~is_empty | F.col("value").isNull()).select(
-        F.col(id_column), F.col("path").alias("hider")
-    )
-    base_steps = base.select(*keys, F.explode(path_prefixes("path", True)).alias("hider"))
-    hidden = base_steps.join(replacing, [id_column, "hider"], "left_semi").select(*keys)
-
-    # An override leaf replaces a base leaf at its own path or at one of its ancestors.
-    override_steps = override.select(F.col(id_column), F.explode(path_prefixes("path", True)).alias("path"))
-    kept = base.join(hidden.unionByName(override_steps), keys, "left_anti")
-
-    # An empty object changes nothing where the base already has entries below it.
-    empty = override.where(is_empty)
-    inner = base.select(F.col(id_column), F.explode(path_prefixes("path", False)).alias("path"))
-    blocked = inner.join(empty.select(*keys), keys, "left_semi").distinct()
-    empty = empty.join(blocked, keys, "left_anti")
-    added = override.where(~is_empty | F.col("value").isNull()).unionByName(empty)
-    return kept.select(*keys, "value").unionByName(added.select(*keys, "value"))
+    if steps < 1:
+        raise ValueError("documents are cut by at least one step")
+    is_empty = F.coalesce(F.col("value") == EMPTY_OBJECT, F.lit(False))
+    sides = base.select(id_column, "path", "value", F.lit(False).alias("_over")).unionByName(
+        override.select(id_column, "path", "value", F.lit(True).alias("_over"))
+    )
+    coded = sides.withColumn("_code", path_code("path")).withColumn("_cell", F.substring_index("_code", _BELOW, steps))
+    over, code = F.col("_over"), F.col("_code")
+    place = [id_column, "_cell"]
+    # An override leaf stands before the base leaf of its path.
+    onwards = Window.partitionBy(*place).orderBy("_code", over.desc())
+    backwards = Window.partitionBy(*place).orderBy(code.desc(), over)
+    running = coded.withColumns(
+        {
+            "_above": F.last(F.when(over, F.struct(code.alias("code"), (~is_empty).alias("replaces"))), True).over(onwards),
+            "_over_below": F.last(F.when(over, code), True).over(backwards),
+            "_base_below": F.last(F.when(~over, code), True).over(backwards),
+        }
+    )
+    if steps > 1:
+        running = _carried_on(running, coded, id_column)
+
+    def below(inner: ColumnLike, top: ColumnLike) -> Column:
+        return F.coalesce(F.startswith(col(inner), F.concat(col(top), F.lit(_BELOW))), F.lit(False))
+
+    same = F.coalesce(F.col("_above.code") == code, F.lit(False))
+    hidden = F.coalesce(F.col("_above.replaces"), F.lit(False)) & below("_code", "_above.code")
+    gone = F.when(over, is_empty & below("_base_below", "_code")).otherwise(same | hidden | below("_over_below", "_code"))
+    return running.where(~gone).select(id_column, "path", "value")
+
+
+def _carried_on(running: DataFrame, coded: DataFrame, id_column: str) -> DataFrame:
+    """The running values across the cuts of a document."""
+    over, code = F.col("_over"), F.col("_code")
+    is_empty = F.coalesce(F.col("value") == EMPTY_OBJECT, F.lit(False))
+    cuts = coded.groupBy(F.struct(id_column).alias("_id"), "_cell").agg(
+        F.max(F.when(over, F.struct(code.alias("code"), (~is_empty).alias("replaces")))).alias("above"),
+        F.min(F.when(over, code)).alias("over_below"),
+        F.min(F.when(~over, code)).alias("base_below"),
+    )
+    before = Window.partitionBy("_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("_id").orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    told = cuts.select(
+        "_id", "_cell",
+        F.last("above", True).over(before).alias("_far_above"),
+        F.last("over_below", True).over(after).alias("_far_over"),
+        F.last("base_below", True).over(after).alias("_far_base"),
+    )
+    joined = running.withColumn("_id", F.struct(id_column)).join(told, ["_id", "_cell"])
+    return joined.withColumns(
+        {
+            "_above": F.coalesce("_above", "_far_above"),
+            "_over_below": F.coalesce("_over_below", "_far_over"),
+            "_base_below": F.coalesce("_base_below", "_far_base"),
+        }
+    )
 
 
 def merge_leaves(base: Column, override: Column) -> Column:

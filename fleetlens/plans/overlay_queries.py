@@ -51,6 +51,15 @@ def deep_merge(spark, sf_dir):
     return overlay.deep_merge(base, override)
 
 
+@query("deep_merge_cut", MERGED_SQL)
+def deep_merge_cut(spark, sf_dir):
+    """The same documents, each cut by the first two steps of its paths."""
+    orders = spread_table(spark, sf_dir, "orders")
+    base = orders.selectExpr("o_orderkey AS id", f"inline({BASE_LEAVES})")
+    override = orders.selectExpr("o_orderkey AS id", f"inline({OVERRIDE_LEAVES})")
+    return overlay.deep_merge(base, override, steps=2)
+
+
 @query("merge_leaves", MERGED_SQL)
 def merge_leaves(spark, sf_dir):
     docs = spread_table(spark, sf_dir, "orders").selectExpr(

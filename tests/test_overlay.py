@@ -48,12 +48,25 @@ def pairs(count=300):
     return fixed + [(random_document(rng), random_document(rng)) for _ in range(count)]
 
 
-def test_deep_merge_equals_recursive_merge(spark):
+def test_path_codes_keep_what_lies_below_together(spark):
+    """Whatever characters keys hold: a path is followed at once by all that lies below it."""
+    parts = ["a", "a!", "a\x00", "a\x01", "a\x01\x02", "\x00", "b", "ä", "a~1b", " "]
+    paths = [*parts, *(f"{x}/{y}" for x in parts for y in parts), *(f"{x}/{y}/z" for x in parts for y in parts)]
+    rows = spark.createDataFrame([(p,) for p in paths], "path string").orderBy(overlay.path_code("path")).collect()
+    found = [r.path for r in rows]
+    assert sorted(found) == sorted(paths)
+    for k, top in enumerate(found):
+        inner = [p.startswith(top + "/") for p in found]
+        assert inner[k + 1 :] == sorted(inner[k + 1 :], reverse=True) and not any(inner[:k])
+
+
+@pytest.mark.parametrize("steps", [1, 2, 3])
+def test_deep_merge_equals_recursive_merge(spark, steps):
     documents_ = pairs()
     base = spark.createDataFrame([(i, *leaf) for i, (b, _) in enumerate(documents_) for leaf in leaves(b)], LEAVES)
     override = spark.createDataFrame([(i, *leaf) for i, (_, o) in enumerate(documents_) for leaf in leaves(o)], LEAVES)
     expected = sorted((i, *leaf) for i, (b, o) in enumerate(documents_) for leaf in leaves(merged(b, o)))
-    assert sorted(tuple(r) for r in overlay.deep_merge(base, override).collect()) == expected
+    assert sorted(tuple(r) for r in overlay.deep_merge(base, override, steps=steps).collect()) == expected
 
 
 def test_merge_leaves_equals_recursive_merge(spark):

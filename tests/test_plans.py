@@ -39,6 +39,11 @@ def test_transitions_read_and_shuffle_the_polls_once(spark):
         assert text.count("FileScan") <= 2 and len(re.findall(r"\bExchange ", text)) <= 4, name
 
 
+def test_deep_merge_shuffles_each_leaf_once(spark):
+    text = plan(spark, "deep_merge").split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 2 and len(re.findall(r"\bExchange ", text)) == 1 and "Join" not in text
+
+
 def test_rank_filters_are_pushed_below_the_shuffle(spark):
     for name in ("latest_snapshot", "log_tail", "number_attempts"):
         text = plan(spark, name)
