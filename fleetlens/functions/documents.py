@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetlens.functions.columns import ColumnLike, blank_to_null, col
 
@@ -89,44 +85,40 @@ def resolve_namespace(*candidates: ColumnLike) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in candidates], F.lit("default"))
 
 
-def _overlay(base, override):
-    if not (isinstance(base, dict) and isinstance(override, dict)):
-        return override
-    joint = {key: _overlay(base[key], override[key]) for key in base.keys() & override.keys()}
-    return {**base, **override, **joint}
-
-
-def _no_json(constant: str):
-    raise ValueError(f"{constant} is no JSON")
-
-
-def _overlaid(base: str | None, override: str | None) -> str | None:
-    if base is None or override is None:
-        return None
-    try:
-        over = json.loads(override, parse_constant=_no_json)
-        return json.dumps(_overlay(json.loads(base), over)) if isinstance(over, dict) else None
-    except (ValueError, RecursionError):
-        return None
+# Objects that lie in both documents are merged down to this depth; manifests have about ten levels.
+MERGE_DEPTH = 32
+# Stands for objects nested more deeply than that, until the document that holds it is given up.
+_TOO_DEEP = "\x00nested too deeply to be merged\x00"
+_ENTRIES = "map<string,variant>"
 
 
-@F.pandas_udf(T.StringType())
-def _merge_json_text(base: pd.Series, override: pd.Series) -> pd.Series:
-    return pd.Series([_overlaid(b, o) for b, o in zip(base, override, strict=True)], dtype=object)
+def _entries(value: Column) -> Column:
+    """The entries of a variant that is an object, else NULL."""
+    return F.try_variant_get(value, "$", _ENTRIES)
 
 
-# Said to be nondeterministic so that it stays in a projection of its own and runs once. Without
-# that, the optimizer puts it into operators around a later join, which can't evaluate it.
-_merge_once = _merge_json_text.asNondeterministic()
+def _merged(base: Column, override: Column, depth: int) -> Column:
+    left, right = _entries(base), _entries(override)
+    if not depth:
+        both = F.to_variant_object(F.array(F.lit(_TOO_DEEP)))
+    else:
+        # A key that a side lacks is NULL there; a null in the document is a variant.
+        joint = F.map_zip_with(
+            left, right, lambda _, b, o: F.when(o.isNull(), b).when(b.isNull(), o).otherwise(_merged(b, o, depth - 1))
+        )
+        both = F.to_variant_object(joint)
+    return F.when(left.isNotNull() & right.isNotNull(), both).otherwise(override)
 
 
-def merge_json(base: ColumnLike, override: ColumnLike) -> Column:
+def merge_json(base: ColumnLike, override: ColumnLike, depth: int = MERGE_DEPTH) -> Column:
     """A JSON document overlaid with free-form overrides, NULL where these are no JSON object.
 
-    A merge of documents of any depth is a recursion, which no built-in expression has.
-    Only documents that have overrides are sent to Python; the rest stay in the JVM. For
-    overrides kept as leaf rows use ``overlay.deep_merge``.
+    Objects merge key by key, anything else in the override replaces what is in the base. An
+    object with a key twice is no JSON here. So is an override with more than ``depth`` levels
+    of objects that the base has too. For overrides kept as leaf rows use ``overlay.deep_merge``.
     """
-    has_override = blank_to_null(override).isNotNull()
-    merged = _merge_once(F.when(has_override, col(base)), blank_to_null(override))
-    return F.when(has_override, merged).otherwise(col(base))
+    given = blank_to_null(override)
+    over = F.try_parse_json(given)
+    merged = F.to_json(F.when(_entries(over).isNotNull(), _merged(F.try_parse_json(col(base)), over, depth)))
+    whole = F.when(~merged.contains("\\u0000nested too deeply"), merged)
+    return F.when(given.isNull(), col(base)).when(col(base).isNotNull(), whole)

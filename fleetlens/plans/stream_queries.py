@@ -117,6 +117,40 @@ def log_follow(spark, sf_dir):
     return drained(flows.log_follow(lines))
 
 
+@query(
+    "log_follow_until_end",
+    f"""WITH {JOB_POLLS_SQL}, ends AS (
+      SELECT user_id, min(us) AS end_us FROM polls WHERE state IN ('SUCCEEDED', 'FAILED', 'STOPPED') GROUP BY 1)
+    SELECT user_id, event_id, event_type AS line FROM polls LEFT JOIN ends USING (user_id)
+    WHERE (end_us IS NULL OR us <= end_us) AND us <= {PASSED}""",
+)
+def log_follow_until_end(spark, sf_dir):
+    """Every event is a line of its user's log and a poll of its user's job."""
+    lines = table_stream(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").alias("logged_at"), F.col("event_type").alias("line"))
+    polls = job_polls(table_stream(spark, sf_dir, "events"))
+    followed = flows.log_follow_until_end(lines, polls, ["user_id"], polls=EVENT_POLLS, horizon="1000 days")
+    return drained(followed).drop("logged_at")
+
+
+BEAT_US = 6 * 3_600_000_000
+
+
+@query(
+    "heartbeat_stream",
+    f"""WITH {CLUSTER_POLLS_SQL}, cells AS (
+      SELECT user_id, us // {BEAT_US} AS k, max_by(state, (us, event_id)) AS state, count(*) AS polls FROM polls GROUP BY 1, 2),
+    spans AS (SELECT user_id, unnest(range(min(k), {PASSED} // {BEAT_US})) AS k FROM cells GROUP BY 1)
+    SELECT user_id, k * {BEAT_US} AS start_us, coalesce(polls, 0) AS polls,
+      last_value(state IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY k) AS state
+    FROM spans LEFT JOIN cells USING (user_id, k)""",
+)
+def heartbeat_stream(spark, sf_dir):
+    """A row per user and quarter of a day, silent ones included."""
+    polls = cluster_polls(table_stream(spark, sf_dir, "events"))
+    beats = drained(stateful.heartbeat_stream(polls, BEAT_US, EVENT_POLLS))
+    return beats.select("user_id", F.unix_micros("window_start").alias("start_us"), "polls", "state")
+
+
 # An append-mode window is final once the latest event passes its end by the delay.
 CLOSED = "epoch_us(window_end) <= (SELECT max(epoch_us(ts)) FROM events) - {0}"
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetlens import schemas
+from fleetlens.functions.states import is_terminal
 from fleetlens.operators.series import DEFAULT_POLLS, Polls
 
 log = logging.getLogger(__name__)
@@ -32,13 +33,41 @@ def log_follow(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.where(F.col(line) != "")
 
 
+def log_follow_until_end(
+    lines: DataFrame,
+    snaps: DataFrame,
+    keys: Sequence[str] = ("job_id",),
+    at: str = "logged_at",
+    line: str = "line",
+    polls: Polls = DEFAULT_POLLS,
+    delay: str = "1 minute",
+    horizon: str = "1 day",
+) -> DataFrame:
+    """Log lines as they come until their job has ended, without the empty ones.
+
+    A line is left out if a poll before its time shows the job in a terminal state; such a
+    poll counts for ``horizon``, in which a log should have ended too. Both streams may be
+    ``delay`` late: a line is given once the watermark has passed its time, because a poll
+    before it could come until then. Only terminal polls, and lines not yet given, are held.
+    """
+    ended = snaps.where(is_terminal(polls.state)).select(
+        *[F.col(key).alias(f"ended_{key}") for key in keys], F.col(polls.ts).cast("timestamp").alias("ended_at")
+    ).withWatermark("ended_at", delay)
+    timed = log_follow(lines, line).withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
+    after_end = F.expr(f"ended_at < `{at}` AND ended_at >= `{at}` - INTERVAL {horizon}")
+    for key in keys:
+        after_end = F.col(key).eqNullSafe(F.col(f"ended_{key}")) & after_end
+    joined = timed.join(ended, after_end, "left_outer")
+    return joined.where("ended_at IS NULL").select(*lines.columns)
+
+
 def progress_heartbeat(
     snaps: DataFrame,
     interval: str = "10 seconds",
     polls: Polls = DEFAULT_POLLS,
     delay: str = "10 seconds",
 ) -> DataFrame:
-    """Latest status of every resource per interval."""
+    """Latest status per interval of the resources polled in it; ``heartbeat_stream`` has silent ones too."""
     newest = F.struct(*polls.order)
     timed = snaps.withColumn(polls.ts, F.col(polls.ts).cast("timestamp")).withWatermark(polls.ts, delay)
     beats = timed.groupBy(F.window(polls.ts, interval), *polls.keys).agg(

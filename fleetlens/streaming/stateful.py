@@ -1,14 +1,15 @@
-"""Waits and state changes over a stream of polls, in the order of their times.
+"""Waits, state changes and heartbeats over a stream of polls, in the order of their times.
 
-These two rules need ordered state per resource and a timer, which no built-in
+These rules need ordered state per resource and a timer, which no built-in
 streaming aggregate has. Polls are held in RocksDB until the watermark has passed
 them, so they are folded in order of time and sequence however they arrive within
 ``delay``; later ones are left out by Spark.
 
 Held polls lie in pages by time bucket, and each bucket has its own timer. Polls that
-arrive are appended as a page, without reading what is held; a timer reads the pages
-of one bucket, and what the watermark has not passed stays there. A task thus holds
-one bucket of one resource at a time, however many polls of it a batch brings.
+arrive are appended as a page, without reading what is held. The first timer that the
+watermark passes takes the due buckets of its resource, one after the other; of the last
+one, what is not due stays. A task thus holds one bucket of one resource at a time,
+however many polls of it a batch brings.
 
 A poll without a time or a sequence has no place in an order and is left out. NULL in
 a key is a value like any other.
@@ -42,6 +43,8 @@ BUCKET_KEY = "bucket bigint"
 BUCKET_STATE = "pages int, first bigint"
 WAIT_STATE = "start bigint, state string, ready boolean, closed boolean"
 EDGE_STATE = "state string, entered bigint, last bigint"
+BEAT_STATE = "state string, close bigint, polls bigint, last bigint"
+FRAME_ROWS = 10_000
 BUCKET_US = 600_000_000
 
 
@@ -97,6 +100,7 @@ class InOrder(StatefulProcessor):
         self.handle = handle
         self.pages = handle.getMapState("pages", PAGE_KEY, PAGE_STATE)
         self.buckets = handle.getMapState("buckets", BUCKET_KEY, BUCKET_STATE)
+        self.seen = handle.getValueState("seen", "passed bigint")
         self.state = handle.getValueState("state", self.state_schema)
 
     def fold(self, key: tuple, polls: list[tuple], passed: int) -> Iterator[pd.DataFrame]:
@@ -145,6 +149,7 @@ class InOrder(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if self.finished():
             return
+        self.seen.clear()
         for chunk in rows:
             numbers = [chunk[name].astype(int).tolist() for name in POLL_COLUMNS[:2]]
             flags = [chunk[name].astype(bool).tolist() for name in POLL_COLUMNS[3:]]
@@ -158,19 +163,21 @@ class InOrder(StatefulProcessor):
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Timers come in the order of their times, so buckets are folded in that order."""
+        """Folds all that is due; further timers of the same watermark find nothing new."""
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        at = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        # A timer is at most a millisecond later than its poll, which may lie before a border.
-        for bucket in sorted({(at - 1) // self.bucket_us, at // self.bucket_us}):
+        if self.seen.exists() and self.seen.get()[0] == passed:
+            return
+        self.seen.update((passed,))
+        for bucket in sorted(key[0] for key, held in self.buckets.iterator() if held[1] <= passed):
             polls = self.due(bucket, passed)
-            folded = min(passed, max(at, (bucket + 1) * self.bucket_us - 1) if polls else at)
-            yield from self.fold(key, polls, folded)
-            until = self.kept_until()
-            if until is not None and until <= folded:
-                self.state.clear()
-            elif until is not None:
-                self.timer(until)
+            yield from self.fold(key, polls, min(passed, (bucket + 1) * self.bucket_us - 1))
+        yield from self.fold(key, [], passed)
+        until = self.kept_until()
+        if until is not None and until <= passed:
+            self.state.clear()
+            self.seen.clear()
+        elif until is not None:
+            self.timer(until)
 
     def rows(self, key: tuple, columns: dict[str, list]) -> pd.DataFrame:
         """A frame whose rows all belong to one key; missing values stay missing in every type."""
@@ -271,6 +278,51 @@ class EdgeProcessor(InOrder):
             yield self.rows(key, found)
 
 
+class BeatProcessor(InOrder):
+    """Emits the status of a resource at the end of every interval since its first poll."""
+
+    state_schema = BEAT_STATE
+
+    def __init__(self, interval_us: int, bucket_us: int = BUCKET_US, silent_us: int | None = None):
+        super().__init__(bucket_us, silent_us)
+        self.interval_us = interval_us
+
+    def kept_until(self) -> int | None:
+        stored = self.stored()
+        return None if self.forget_us is None or stored is None else stored[3] + self.forget_us + self.interval_us
+
+    def fold(self, key, polls, passed):
+        stored = self.stored()
+        if stored is None and not polls:
+            return
+        state, close, count, last = stored or (None, None, 0, None)
+        found: dict[str, list] = {"close_us": [], "state": [], "polls": []}
+
+        def beats(until: int) -> Iterator[pd.DataFrame]:
+            """Closes the intervals that end by then, as long as the resource isn't given up."""
+            nonlocal close, count
+            while close <= until and (self.forget_us is None or close <= last + self.forget_us + self.interval_us):
+                for name, value in zip(found, (close, state, count), strict=True):
+                    found[name].append(value)
+                close, count = close + self.interval_us, 0
+                if len(found["polls"]) == FRAME_ROWS:
+                    yield self.rows(key, found)
+                    for values in found.values():
+                        values.clear()
+
+        for at, _, now, _, _ in polls:
+            if close is not None:
+                yield from beats(at)
+            if close is None or close <= at:
+                close, count = (at // self.interval_us + 1) * self.interval_us, 0
+            state, count, last = now, count + 1, at
+        yield from beats(passed)
+        if found["polls"]:
+            yield self.rows(key, found)
+        self.state.update((state, close, count, last))
+        self.timer(close)
+
+
 def _wait_stream(
     snaps: DataFrame, polls: Polls, done, outcome: str, timeout_us: int, delay: str, bucket_us: int, forget_us: int | None
 ) -> DataFrame:
@@ -343,3 +395,34 @@ def transitions_stream(
     )
     legal = is_legal_edge(F.lit(kind), "from_state", "to_state")
     return _with_keys(edges, snaps, polls.keys).withColumn("legal", F.coalesce(legal, F.lit(False)))
+
+
+def heartbeat_stream(
+    snaps: DataFrame,
+    interval_us: int,
+    polls: Polls = DEFAULT_POLLS,
+    delay: str = DELAY,
+    bucket_us: int = BUCKET_US,
+    silent_us: int | None = None,
+) -> DataFrame:
+    """The status of every resource per interval, also of those that were silent in it.
+
+    One row for each interval since that of a resource's first poll: the state of the last
+    poll before its end, and the polls in it, which may be none. A resource that has been
+    silent for ``silent_us`` is given up until its next poll. Rows are final when the
+    watermark has passed the end of their interval.
+    """
+    _require_rocksdb(snaps)
+    no = F.lit(False)
+    beats = _polls(snaps, polls, no, no, delay).groupBy(KEY).transformWithStateInPandas(
+        statefulProcessor=BeatProcessor(interval_us, bucket_us, silent_us),
+        outputStructType=f"{KEY} string, close_us bigint, state string, polls bigint",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    found = _with_keys(beats, snaps, polls.keys)
+    closes = F.col("close_us")
+    return found.select(
+        F.timestamp_micros(closes - interval_us).alias("window_start"), F.timestamp_micros(closes).alias("window_end"),
+        *polls.keys, "state", "polls",
+    )

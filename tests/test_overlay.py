@@ -309,3 +309,29 @@ def test_other_records(spark):
 
 def test_all_rules_are_there():
     assert [r.rule_id for r in RULES] == [f"V{i:02d}" for i in range(1, 23)]
+
+
+def test_merge_json_equals_recursive_merge(spark):
+    from fleetlens.functions.documents import merge_json
+
+    documents_ = pairs()
+    df = spark.createDataFrame([(i, json.dumps(b), json.dumps(o)) for i, (b, o) in enumerate(documents_)], "i int, b string, o string")
+    got = {r.i: json.loads(r.m) for r in df.select("i", merge_json("b", "o").alias("m")).collect()}
+    assert got == {i: merged(b, o) for i, (b, o) in enumerate(documents_)}
+
+
+def test_merge_json_gives_up_what_it_cannot_merge(spark):
+    from fleetlens.functions.documents import merge_json
+
+    def deep(levels, value):
+        return json.dumps(value) if not levels else '{"k": ' + deep(levels - 1, value) + "}"
+
+    cases = [
+        (deep(32, 1), deep(32, 2), json.loads(deep(32, 2))), (deep(33, 1), deep(33, 2), None), (deep(3, 1), deep(200, 2), json.loads(deep(200, 2))),
+        ('{"a": 1}', '{"a": 1, "a": 2}', None), ('{"a": 1}', "[1]", None), ('{"a": 1}', '{"a": NaN}', None), ('{"a": 1}', "", {"a": 1}),
+        ('{"a": 1}', None, {"a": 1}), (None, "{}", None), ('{"a": {"b": null}}', '{"a": {"c": null}}', {"a": {"b": None, "c": None}}),
+        ('{"a": "x"}', '{"b": "\\u0000"}', {"a": "x", "b": "\x00"}),
+    ]
+    df = spark.createDataFrame([(i, b, o) for i, (b, o, _) in enumerate(cases)], "i int, b string, o string")
+    got = {r.i: r.m and json.loads(r.m) for r in df.select("i", merge_json("b", "o").alias("m")).collect()}
+    assert got == {i: want for i, (_, _, want) in enumerate(cases)}

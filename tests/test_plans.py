@@ -9,7 +9,7 @@ from fleetlens.plans.registry import REGISTERED
 
 SF = "/root/testdata/sf0.001"
 PYTHON = {
-    "service_status", "service_replicas", "list_view_services", "desired_state_jobs", "deployment_outcomes",
+    "service_status", "service_replicas", "list_view_services",
     "wait_ready_stream", "wait_terminal_stream", "transitions_stream", "transitions_stream_shuffled",
 }
 # These run jobs when they are called: they write a dump or drain a stream first.
