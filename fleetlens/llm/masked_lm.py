@@ -8,16 +8,22 @@ class beyond the text) and predicts the word's class; within a class, a word has
 of the class's count in the corpus. A document's score is the sum of log P(word | both
 sides) over all its words.
 
-Tasks hold the ``buckets`` most frequent words. All others are in the last class; their
-counts are joined to the words of each text, so no word takes over another's count.
+Every distinct text is cut into words once and kept as one class per word (a byte or two a
+token), with how often it occurs. Tasks hold the ``buckets`` most frequent words. All others are
+in the last class; their counts are joined to the words of each text, so no word takes over
+another's count.
 
 The counts and the network cover all documents. The network is trained by rounds of
-parameter averaging: every task runs minibatch descent over all its texts from the common
-start, and the results are averaged with the tokens as weights. Weighted parameters are
-summed as whole numbers, so the order of tasks does not matter. Only tables of fixed size
-(counts of the words that tasks hold, parameters) reach the driver.
-
-A null text, or one without a word, has no token: log_prob 0, mean null.
+parameter averaging: distinct texts are dealt by a hash of the text into shards of about
+``shard_tokens`` tokens, each shard's texts are put in the order of that hash, a network goes
+through them in small steps from the common start, and the results are averaged with the tokens
+as weights. A text weighs as often as it occurs. Shards, their order, and the sums (whole numbers)
+depend on the corpus alone, so scores do not depend on how its rows are split or ordered. Only
+tables of fixed size (counts of the words that tasks hold, parameters) reach the driver.
+
+A null text, or one without a word, has no token: log_prob 0, mean null. Repeated rows and copies
+have equal scores. Words of equal count are ranked by their hash. Texts are never cut: a very long
+one takes a byte or two a token in a task. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.decontamination import text_key
-from fleetlens.llm.shared import small, written
+from fleetlens.llm.shared import written
 
 FIXED = 1 << 20
 BLOCK = 1 << 13
@@ -44,12 +50,17 @@ HELD = 1 << 17
 class Shape:
     """Sizes of what every task holds; the table of word counts follows the corpus."""
 
-    buckets: int = 1 << 16
+    buckets: int = 1 << 18
     classes: int = 96
     frequent: int = 64
     reach: int = 2
     hidden: int = 16
 
+    @property
+    def coding(self) -> str:
+        """How a class is kept: a byte, or two."""
+        return "u1" if self.classes <= 1 << 8 else "<u2"
+
 
 def words_of(text: str | None) -> list[bytes]:
     """The words between blanks, A-Z lower-cased."""
@@ -120,26 +131,40 @@ def vocabulary(counts: DataFrame, shape: Shape) -> Vocabulary:
     return Vocabulary(hashes, np.append(classes, shape.classes - 1).astype(np.int16), within, int(sums[-1]))
 
 
-def rare_shares(texts: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
-    """(key, log_rare): summed log P(word | last class) of the words of a text that tasks don't hold."""
-    rare = len(words.hashes)
+CODED = "key binary, n_tokens long, classes binary, within double, rare array<long>, times array<long>"
+
 
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def coded_texts(texts: DataFrame, words: Vocabulary, coding: str) -> DataFrame:
+    """(key, n, n_tokens, classes, within, rare, times): every distinct text but null, cut into words once.
+
+    ``n`` is how often it occurs, ``within`` the summed log P(word | class) of the words that
+    tasks hold; ``rare`` are the hashes of the others, with how often the text has them.
+    """
+    unheld = len(words.hashes)
+
+    def code(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = words.index()
         for frame in frames:
+            out = []
             for key, text in zip(frame["key"], frame["text"], strict=True):
-                found = Counter(w for w in words_of(text) if index[w] == rare)
-                if found:
-                    yield pd.DataFrame({"key": [key] * len(found), "w": [word_hash(w) for w in found], "times": list(found.values())})
+                found = words_of(text)
+                places = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
+                rare = Counter(found[i] for i in np.flatnonzero(places == unheld))
+                within = float(words.within[places].sum(dtype="f8"))
+                classes = words.classes[places].astype(coding).tobytes()
+                out.append((key, len(found), classes, within, [word_hash(w) for w in rare], list(rare.values())))
+            yield pd.DataFrame(out, columns=["key", "n_tokens", "classes", "within", "rare", "times"])
+
+    cut = texts.where("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), "text").mapInPandas(code, CODED)
+    same = [F.first(name).alias(name) for name in ("n_tokens", "classes", "within", "rare", "times")]
+    return cut.groupBy("key").agg(F.count("*").alias("n"), *same)
+
 
-    found = texts.select(text_key(F.col("text")).alias("key"), "text").where("text IS NOT NULL")
-    return (
-        found.mapInPandas(find, "key binary, w long, times long")
-        .distinct()
-        .join(counts, "w")
-        .groupBy("key")
-        .agg(F.sum(F.col("times") * F.log(F.col("n") / F.lit(float(max(1, words.last_total))))).alias("log_rare"))
-    )
+def rare_shares(coded: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
+    """(key, log_rare): summed log P(word | last class) of the words of a text that tasks don't hold."""
+    found = coded.select("key", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("key", F.col("r.rare").alias("w"), "r.times")
+    share = F.col("times") * F.log(F.col("n") / F.lit(float(max(1, words.last_total))))
+    return found.join(counts, "w").groupBy("key").agg(F.sum(share).alias("log_rare"))
 
 
 class WindowNetwork:
@@ -191,12 +216,14 @@ class WindowNetwork:
             chosen = logits[np.arange(len(logits)), classes[i : i + BLOCK]]
             yield chosen - np.log(np.exp(logits).sum(1))
 
-    def descend(self, context: np.ndarray, classes: np.ndarray, rate: float) -> None:
+    def descend(self, context: np.ndarray, classes: np.ndarray, rate: float, weights: np.ndarray | None = None) -> None:
         """One step down the slope of a block's mean loss, summed by parameter row."""
         hidden, logits = self._forward(context)
         p = np.exp(logits)
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(classes)), classes] -= 1
+        if weights is not None:
+            p *= (weights / weights.mean()).astype("f4")[:, None]
         back = (p @ self.out.T) * (1 - hidden * hidden)
         scale = np.float32(rate / len(classes))
         self.out -= scale * (hidden.T @ p)
@@ -209,43 +236,48 @@ class WindowNetwork:
             self.sides -= (scale * slope).astype("f4")
 
 
-def _stream(texts: Iterator[pd.DataFrame], words: Vocabulary) -> Iterator[np.ndarray]:
-    index = words.index()
-    for frame in texts:
-        for text in frame["text"]:
-            found = words_of(text)
-            places = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
-            classes = words.classes[places].astype(np.int64)
-            for i in range(0, len(classes), BLOCK):
-                yield classes[i : i + BLOCK]
-
-
-def train(texts: DataFrame, words: Vocabulary, shape: Shape, rounds: int = 1, rate: float = 4.0, batch: int = 1024) -> WindowNetwork:
-    """Averages the networks of all tasks, weighted by tokens, ``rounds`` times."""
+def train(
+    coded: DataFrame, shape: Shape, rounds: int = 2, rate: float = 4.0, batch: int = 1024, shard_tokens: int = 1 << 21
+) -> WindowNetwork:
+    """Averages the networks of all shards, weighted by tokens, ``rounds`` times."""
     start = WindowNetwork(shape).parameters()
-    for k in range(rounds):
-        given, step = start, rate / (1 + k)
-
-        def descend(frames: Iterator[pd.DataFrame], given=given, step=step) -> Iterator[pd.DataFrame]:
-            net, tokens = WindowNetwork(shape, given), 0
-            context, classes, held = [], [], 0
-            for piece in _stream(frames, words):
-                context.append(net.contexts(piece))
-                classes.append(piece)
-                held += len(piece)
+    total = coded.agg(F.sum("n_tokens")).first()[0] or 0
+    shards = max(1, -(-total // shard_tokens))
+    dealt = coded.where("n_tokens > 0").select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "n", "classes")
+    def descend(shard: pd.DataFrame, given: np.ndarray, step: float) -> pd.DataFrame:
+        net, tokens = WindowNetwork(shape, given), 0
+        context, classes, weights, held = [], [], [], 0
+
+        def move() -> None:
+            nonlocal context, classes, weights, held
+            size = min(1.0, held / batch)
+            net.descend(np.concatenate(context), np.concatenate(classes), step * size, np.concatenate(weights))
+            context, classes, weights, held = [], [], [], 0
+
+        for n, packed in shard.sort_values("key")[["n", "classes"]].itertuples(index=False):
+            text = np.frombuffer(packed, shape.coding).astype(np.int64)
+            tokens += int(n) * len(text)
+            for i in range(0, len(text), BLOCK):
+                # Words beyond the block are part of its contexts.
+                low, high = max(0, i - shape.reach), i + BLOCK + shape.reach
+                piece = net.contexts(text[low:high])
+                inner = slice(i - low, i - low + len(text[i : i + BLOCK]))
+                context.append(piece[inner])
+                classes.append(text[i : i + BLOCK])
+                weights.append(np.full(len(text[i : i + BLOCK]), float(n)))
+                held += len(text[i : i + BLOCK])
                 if held >= batch:
-                    net.descend(np.concatenate(context), np.concatenate(classes), step)
-                    tokens, context, classes, held = tokens + held, [], [], 0
-            if held:
-                net.descend(np.concatenate(context), np.concatenate(classes), step * held / batch)
-                tokens += held
-            if tokens:
-                moved = np.rint((net.parameters() - given) * FIXED).astype(np.int64)
-                yield pd.DataFrame({"at": np.arange(-1, len(moved)), "v": np.concatenate([[1], moved]) * np.int64(tokens)})
+                    move()
+        if held:
+            move()
+        moved = np.rint((net.parameters() - given) * FIXED).astype(np.int64)
+        return pd.DataFrame({"at": np.arange(-1, len(moved)), "v": np.concatenate([[1], moved]) * np.int64(tokens)})
 
+    for k in range(rounds):
+        given, step = start, rate / (1 + k)
         summed = (
-            texts.select("text")
-            .mapInPandas(descend, "at long, v long")
+            dealt.groupBy("shard")
+            .applyInPandas(lambda shard: descend(shard, given, step), "at long, v long")
             .groupBy("at")
             .agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v"))
             .collect()
@@ -257,33 +289,39 @@ def train(texts: DataFrame, words: Vocabulary, shape: Shape, rounds: int = 1, ra
     return WindowNetwork(shape, start)
 
 
-def score_documents(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, text_col: str = "text", max_broadcast: int = 200_000) -> DataFrame:
+def score_texts(coded: DataFrame, counts: DataFrame, words: Vocabulary, net: WindowNetwork, coding: str) -> DataFrame:
+    """(key, n_tokens, log_prob) of every distinct text."""
+
+    @F.pandas_udf("double")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts = (np.frombuffer(packed, coding).astype(np.int64) for packed in batch)
+            yield pd.Series([sum((float(x.sum(dtype="f8")) for x in net.log_probabilities(t)), 0.0) for t in texts], dtype="f8")
+
+    scored = coded.select("key", "n_tokens", (known("classes") + F.col("within")).alias("log_known"))
+    shares = rare_shares(coded, counts, words)
+    log_prob = F.col("log_known") + F.coalesce("log_rare", F.lit(0.0))
+    return scored.join(shares, "key", "left").select("key", "n_tokens", log_prob.alias("log_prob"))
+
+
+def score_documents(docs: DataFrame, shape: Shape = Shape(), rounds: int = 2, text_col: str = "text", shard_tokens: int = 1 << 21) -> DataFrame:
     """Adds ``n_tokens``, ``log_prob`` (summed) and ``mean_log_prob`` to the documents."""
     texts = docs.select(F.col(text_col).alias("text"))
     counts = written(word_counts(texts), "word_counts")
     words = vocabulary(counts, shape)
-    net = train(texts, words, shape, rounds)
-    rare = small(written(rare_shares(texts, counts, words), "rare"), max_broadcast)
-
-    @F.pandas_udf("n_tokens long, log_prob double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = words.index()
-        for batch in batches:
-            out = []
-            for text in batch:
-                found = words_of(text)
-                places = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
-                known = sum(float(x.sum(dtype="f8")) for x in net.log_probabilities(words.classes[places].astype(np.int64)))
-                out.append((len(found), known + float(words.within[places].sum(dtype="f8"))))
-            yield pd.DataFrame(out, columns=["n_tokens", "log_prob"])
-
-    scored = docs.withColumns({"__lm": score(F.col(text_col)), "__key": text_key(F.col(text_col))})
-    scored = scored.join(rare.select(F.col("key").alias("__key"), F.col("log_rare").alias("__rare")), "__key", "left")
-    log_prob = F.col("__lm.log_prob") + F.coalesce("__rare", F.lit(0.0))
-    return scored.withColumns(
-        {
-            "n_tokens": F.col("__lm.n_tokens"),
-            "log_prob": log_prob,
-            "mean_log_prob": log_prob / F.nullif(F.col("__lm.n_tokens"), F.lit(0)),
-        }
-    ).drop("__lm", "__key", "__rare")
+    coded = written(coded_texts(texts, words, shape.coding), "coded", merged=False)
+    net = train(coded, shape, rounds, shard_tokens=shard_tokens)
+    scores = written(score_texts(coded, counts, words, net, shape.coding), "scores")
+
+    # A caller's columns travel in a struct, so that no name can clash.
+    own = [F.col(f"`{name}`") for name in docs.columns]
+    keyed = docs.where(F.col(text_col).isNotNull()).select(F.struct(*own).alias("row"), text_key(F.col(text_col)).alias("key"))
+    nothing = docs.where(F.col(text_col).isNull()).select(F.struct(*own).alias("row"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("log_prob"))
+    found = keyed.join(scores, "key").select("row", "n_tokens", "log_prob").unionByName(nothing)
+    added = {
+        "n_tokens": F.col("n_tokens"),
+        "log_prob": F.col("log_prob"),
+        "mean_log_prob": F.col("log_prob") / F.nullif("n_tokens", F.lit(0)),
+    }
+    kept = [F.col(f"row.`{name}`").alias(name) for name in docs.columns if name not in added]
+    return found.select(*kept, *[value.alias(name) for name, value in added.items()])
