@@ -219,11 +219,11 @@ def _errors(spark, sf_dir):
 @query(
     "classify_errors",
     f"""WITH {ERRORS_SQL} SELECT event_id, kind, http_status, category, transient,
-      length(category) > 0 AS has_remediation FROM errors""",
+      CASE category {" ".join(f"WHEN '{name}' THEN '{text}'" for name, text in errors.REMEDIATION.items())} END
+        AS remediation FROM errors""",
 )
 def classify_errors(spark, sf_dir):
-    rows = _errors(spark, sf_dir)
-    return rows.withColumn("has_remediation", F.length("remediation") > 0).drop("remediation", "exception")
+    return _errors(spark, sf_dir).drop("exception")
 
 
 @query(

@@ -182,7 +182,7 @@ def endpoint_of_jobs(spark, sf_dir):
       CASE WHEN found THEN CAST(p_size + 1 AS VARCHAR) END AS cpu,
       CASE WHEN found AND p_size >= 10 THEN p_size || 'Gi' END AS memory,
       CASE WHEN found AND p_type = 'ECONOMY' THEN p_brand END AS brand,
-      CASE WHEN found THEN CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE 0 END END AS tolerations,
+      CASE WHEN found THEN CASE WHEN p_type = 'ECONOMY' THEN '[{"key":"ECONOMY"}]' ELSE '[]' END END AS tolerations,
       CASE WHEN found AND p_type = 'PROMO' THEN 'q-' || p_brand END AS queue,
       CASE WHEN found AND p_type = 'PROMO' AND p_size > 25 THEN 'high' END AS priority_class,
       CASE WHEN NOT found THEN 'hardware profile not found: gone' END AS profile_error
@@ -209,7 +209,7 @@ def hardware_profiles(spark, sf_dir):
     )
     return joins.apply_hardware_profiles(requests, profiles).selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "resources['cpu'] AS cpu", "resources['memory'] AS memory",
-        "node_selector['brand'] AS brand", "size(tolerations) AS tolerations", "queue", "priority_class",
+        "node_selector['brand'] AS brand", "to_json(tolerations) AS tolerations", "queue", "priority_class",
         "profile_error",
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.documents import merge_env, queue_labels, tracking_env
 from fleetlens.operators import overlay
-from fleetlens.operators.validation import validate
+from fleetlens.operators.validation import RULES, validate
 from fleetlens.plans.bindings import spread_table, table
 from fleetlens.plans.registry import query
 
@@ -313,15 +313,18 @@ def claims(spark, sf_dir):
     return overlay.claims(requests)
 
 
+MESSAGES = {rule.rule_id: "'" + rule.message.replace("'", "''") + "'" for rule in RULES}
+
+
 def _rule_rows(source: str, kind: str, key: str, rules: dict[str, str]) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{kind}' AS kind, {key} AS name, '{rule}' AS rule_id FROM {source} WHERE {broken}"
+        f"SELECT '{kind}' AS kind, {key} AS name, '{rule}' AS rule_id, {MESSAGES[rule]} AS message FROM {source} WHERE {broken}"
         for rule, broken in rules.items()
     )
 
 
 def _violations(requests, kind):
-    return validate(requests, kind, ("name",)).drop("message")
+    return validate(requests, kind, ("name",))
 
 
 @query(

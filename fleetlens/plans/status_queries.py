@@ -81,13 +81,16 @@ CLUSTER_STATUS_SQL = f"""SELECT 'c' || o_orderkey AS name,
   CASE WHEN o_orderstatus = 'P' THEN '' ELSE '2.41.0' END AS version,
   CASE WHEN o_orderstatus = 'O' THEN 'http://10.0.0.' || o_custkey || ':8265' END AS dashboard_url,
   CASE o_orderpriority WHEN '1-URGENT' THEN {AS_OF_US} - epoch_us(o_orderdate)
-    WHEN '2-HIGH' THEN {AS_OF_US} - epoch_us(o_orderdate) + 7200000000 ELSE 0 END AS age_us
+    WHEN '2-HIGH' THEN {AS_OF_US} - epoch_us(o_orderdate) + 7200000000 ELSE 0 END AS age_us,
+  CASE WHEN o_orderstatus = 'P' THEN '[]' ELSE '[{{"type":"HeadPodReady","status":"' ||
+    CASE WHEN o_totalprice >= 150000 THEN 'True' ELSE 'False' END || '"}},{{"type":"Other","status":"True"}}]' END AS conditions
 FROM orders"""
 
 
 @query("cluster_status", CLUSTER_STATUS_SQL)
 def cluster_status(spark, sf_dir):
-    return status.cluster_status(_cluster_documents(spark, sf_dir), AS_OF).drop("conditions")
+    found = status.cluster_status(_cluster_documents(spark, sf_dir), AS_OF)
+    return found.withColumn("conditions", F.to_json("conditions"))
 
 
 AGE_LABEL = """CASE WHEN {0} // 1000000 < 60 THEN {0} // 1000000 || 's'
