@@ -188,6 +188,38 @@ def read_metrics_rejected(spark, sf_dir):
     return readers.read_rejected(spark, _metrics_dump(spark, sf_dir), readers.METRIC_LINES)
 
 
+# Sixteen log files, each the texts of the documents of one remainder, one after the other.
+LOG_FILES_SQL = """logs AS (
+  SELECT doc_id % 16 AS log, row_number() OVER (PARTITION BY doc_id % 16 ORDER BY doc_id, pos) - 1 AS line_no, line
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+    FROM documents)
+  UNION ALL SELECT doc_id % 16, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT), '' FROM documents GROUP BY 1)"""
+
+
+def _log_lines(spark, sf_dir):
+    folder = shared_folder(spark)
+    logs = table(spark, sf_dir, "documents").selectExpr("doc_id % 16 AS log", "doc_id", "text AS value")
+    ordered = logs.repartition("log").sortWithinPartitions("log", "doc_id").select("log", "value")
+    ordered.write.partitionBy("log").option("lineSep", "\n").text(folder)
+    log = F.regexp_extract("file", "/log=([0-9]+)/", 1).cast("bigint")
+    return readers.read_log(spark, f"{folder}/*/*.txt").select(log.alias("log"), "line_no", "line")
+
+
+@query("read_log", f"WITH {LOG_FILES_SQL} SELECT log, line_no, line FROM logs")
+def read_log(spark, sf_dir):
+    """Lines of log files numbered by the ranges that tasks read."""
+    return _log_lines(spark, sf_dir)
+
+
+@query(
+    "read_log_tail",
+    f"""WITH {LOG_FILES_SQL} SELECT log, line_no, line FROM
+      (SELECT *, row_number() OVER (PARTITION BY log ORDER BY line_no DESC) AS n FROM logs) WHERE n <= 100""",
+)
+def read_log_tail(spark, sf_dir):
+    return series.log_tail(_log_lines(spark, sf_dir), 100, "log")
+
+
 @query("write_view", status_queries.CLUSTER_LIST_SQL)
 def write_views(spark, sf_dir):
     view = status_queries.list_view_clusters(spark, sf_dir)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens import schemas
@@ -207,3 +207,33 @@ def available_resources(metrics: DataFrame, payload: str = "payload") -> DataFra
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Cluster metrics with their available CPUs and GPUs."""
     return available_resources(_read_rows(spark, path, METRIC_LINES))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """Numbered lines ``(file, line_no, line)`` of log files of any size, as ``log_lines`` numbers those of a text.
+
+    A big file is read by many tasks, each a range of its bytes; a line belongs to the range it
+    begins in. Lines are numbered within their range, and the counts of the ranges before it tell
+    where it starts. So no task needs more than one range, whose size is
+    ``spark.sql.files.maxPartitionBytes``. Only a line feed ends a line. After a trailing one comes
+    a last empty line; a file without a byte has none.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("range"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.col("value").alias("line"),
+        # Follows the order of the lines within a range, which one task reads.
+        F.monotonically_increasing_id().alias("at"),
+    )
+    ranges = lines.groupBy("file", "range").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("line").cast("bigint") + 1).alias("ended"), F.max("bytes").alias("bytes")
+    )
+    before = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("file", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    in_range = F.row_number().over(Window.partitionBy("file", "range").orderBy("at")) - 1
+    numbered = lines.select("file", "range", "line", in_range.alias("within")).join(starts, ["file", "range"])
+    # The lines with a line feed each are as long as a file only if its last byte is one.
+    whole = ranges.groupBy("file").agg(F.sum("n").alias("line_no"), F.sum("ended").alias("ended"), F.max("bytes").alias("bytes"))
+    last = whole.where("ended = bytes").select("file", "line_no", F.lit("").alias("line"))
+    return numbered.select("file", (F.col("start") + F.col("within")).alias("line_no"), "line").unionByName(last)

@@ -120,3 +120,30 @@ def test_broken_lines_are_no_resources(spark):
         kept = parse_resources(dump, "cluster", status_only=status_only)
         assert sorted(r.metadata.name for r in kept.collect()) == ["c", "d"]
         assert rejected_resources(dump, "cluster", status_only=status_only).count() == 4
+
+
+def test_log_files_are_numbered_across_ranges(spark, tmp_path):
+    """Files cut into ranges of 64 bytes give the lines of the whole text, with their numbers."""
+    import random
+
+    rng = random.Random(6)
+    texts = {
+        "plain": "a\nb\nc", "ended": "a\nb\n", "blank": "\n\n\n", "one": "no line feed", "long": "x" * 1000 + "\n" + "y" * 300 + "\nz",
+        "other": "a\rb\r\nc\u2028d\n", "wide": "äöü😀" * 50 + "\n" + "é\n" * 90, "many": "".join("w" * rng.randrange(40) + "\n" for _ in range(500)),
+        "border": ("q" * 63 + "\n") * 20, "after": "\n" + ("q" * 63 + "\n") * 9 + "r",
+    }
+    (tmp_path / "logs").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "logs" / name).write_bytes(text.encode())
+    settings = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = readers.read_log(spark, str(tmp_path / "logs"))
+        assert spark.read.text(str(tmp_path / "logs")).rdd.getNumPartitions() > 100
+        got = sorted((r.file.rsplit("/", 1)[1], r.line_no, r.line) for r in found.collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == sorted((name, k, line) for name, text in texts.items() for k, line in enumerate(text.split("\n")))
