@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fleetlens.operators import joins, overlay
@@ -9,6 +11,8 @@ from fleetlens.operators.validation import validate
 from fleetlens.plans.bindings import as_documents, spread_table, table
 from fleetlens.plans.registry import query
 from fleetlens.sources.readers import ingresses_of, parse_resources, routes_of
+from fleetlens.sources.scratch import shared_folder
+from fleetlens.sources.sinks import write_bucketed
 
 # Orders as desired clusters; every order that is not pending exists already. Existing
 # documents write keys in another order and numbers as decimals; finished ones differ
@@ -19,33 +23,59 @@ EXISTING = """concat('{"name": "', if(o_orderstatus = 'F' AND o_orderpriority =
   '", "head": {"memory": "4Gi", "cpus": 2.0}, "workers": ', CAST(o_custkey AS STRING), '.0}')"""
 
 
-@query(
-    "reconcile",
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'CREATE'
+RECONCILE_SQL = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'CREATE'
       WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'CONFLICT' ELSE 'UNCHANGED' END AS outcome
-    FROM orders""",
-)
-def reconcile(spark, sf_dir):
+    FROM orders"""
+
+
+def _sides(spark, sf_dir):
     orders = spread_table(spark, sf_dir, "orders")
     desired = orders.selectExpr("o_orderkey", f"{DESIRED} AS spec")
-    existing = orders.where("o_orderstatus <> 'P'").selectExpr("o_orderkey", f"{EXISTING} AS spec")
+    return desired, orders.where("o_orderstatus <> 'P'").selectExpr("o_orderkey", f"{EXISTING} AS spec")
+
+
+@query("reconcile", RECONCILE_SQL)
+def reconcile(spark, sf_dir):
+    return joins.reconcile(*_sides(spark, sf_dir), ["o_orderkey"])
+
+
+def _bucketed(rows, keys):
+    """The rows as a bucketed table of their own in the shared folder."""
+    spark = rows.sparkSession
+    return write_bucketed(rows, f"landed_{uuid.uuid4().hex}", shared_folder(spark), keys, 16)
+
+
+@query("reconcile_bucketed", RECONCILE_SQL)
+def reconcile_bucketed(spark, sf_dir):
+    """Both sides landed in buckets first; the join shuffles nothing."""
+    desired, existing = (_bucketed(side, ["o_orderkey"]) for side in _sides(spark, sf_dir))
     return joins.reconcile(desired, existing, ["o_orderkey"])
 
 
-@query(
-    "lookup",
-    """SELECT o_orderkey AS name, o_orderpriority AS namespace, lines,
+LOOKUP_SQL = """SELECT o_orderkey AS name, o_orderpriority AS namespace, lines,
       CASE WHEN lines IS NULL THEN 'JOB_NOT_FOUND' END AS error
     FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS lines FROM lineitem WHERE l_returnflag = 'R'
-      GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
-)
-def lookup(spark, sf_dir):
+      GROUP BY l_orderkey) ON o_orderkey = l_orderkey"""
+
+
+def _requests_and_resources(spark, sf_dir):
     requests = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS name", "o_orderpriority AS namespace")
     counted = (
         table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
         .groupBy(F.col("l_orderkey").alias("name")).agg(F.count(F.lit(1)).alias("lines"))
     )
-    resources = requests.join(counted, "name")
+    return requests, requests.join(counted, "name")
+
+
+@query("lookup", LOOKUP_SQL)
+def lookup(spark, sf_dir):
+    return joins.lookup(*_requests_and_resources(spark, sf_dir), "job")
+
+
+@query("lookup_bucketed", LOOKUP_SQL)
+def lookup_bucketed(spark, sf_dir):
+    """Requests and resources landed in buckets first; the join shuffles nothing."""
+    requests, resources = (_bucketed(side, ["namespace", "name"]) for side in _requests_and_resources(spark, sf_dir))
     return joins.lookup(requests, resources, "job")
 
 

@@ -14,7 +14,7 @@ PYTHON = {
 }
 # These run jobs when they are called: they write a dump or drain a stream first.
 EAGER = {name for name in REGISTERED if name.startswith(("read_", "write_", "landed_", "snapshots_")) or "_stream" in name or name in {
-    "log_follow", "progress_heartbeat", "on_progress"}}
+    "reconcile_bucketed", "lookup_bucketed", "log_follow", "log_follow_until_end", "progress_heartbeat", "on_progress"}}
 LAZY = sorted(set(REGISTERED) - EAGER)
 
 
@@ -44,6 +44,18 @@ def test_deep_merge_shuffles_each_leaf_once(spark):
     assert text.count("FileScan") == 2 and len(re.findall(r"\bExchange ", text)) == 1 and "Join" not in text
 
 
+def test_bucketed_tables_are_joined_without_a_shuffle(spark):
+    """Not by a broadcast either, which is turned off here to stand for large tables."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("reconcile_bucketed", "lookup_bucketed"):
+            text = plan(spark, name)
+            assert "SortMergeJoin" in text and "Exchange" not in text, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_rank_filters_are_pushed_below_the_shuffle(spark):
     for name in ("latest_snapshot", "log_tail", "number_attempts"):
         text = plan(spark, name)
