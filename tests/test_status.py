@@ -210,3 +210,14 @@ def test_unify_jobs(spark, rows):
 def test_declared_replicas_survive_bad_texts(spark, config, want):
     df = spark.createDataFrame([(config,), ("applications: [",)], "c string").select(declared_replicas("c").alias("n"))
     assert [r.n for r in df.collect()] == [want, 0]
+
+
+def test_aliases_are_written_out_within_bounds():
+    from fleetlens.functions import serving
+
+    shared = "x: &d\n- name: d\n  num_replicas: 3\napplications:\n- name: a\n  deployments: *d\n"
+    assert '"num_replicas": 3' in serving._json_of(shared).split("applications")[1]
+    bomb = "a0: &a0 [x, x, x, x, x, x, x, x, x, x]\n" + "".join(
+        f"a{k}: &a{k} [{', '.join([f'*a{k - 1}'] * 10)}]\n" for k in range(1, 12)
+    )
+    assert serving._json_of(bomb) is None
