@@ -300,29 +300,13 @@ def number_attempts(
     )
 
 
-def retry_outcome(
-    attempts: DataFrame,
-    max_attempts: int = 3,
-    backoff: float = 0.5,
-    timeout_us: int = 60_000_000,
-    op: Sequence[str] = ("op_id",),
-    started_at: str = "started_at",
-    status: str = "http_status",
-    exception: str = "exception",
-    finished_at: str | None = None,
+def _judged_attempts(
+    attempts: DataFrame, max_attempts: int, backoff: float, timeout_us: int, keys: list[str],
+    started_at: str, status: str, exception: str, finished_at: str | None,
 ) -> DataFrame:
-    """How each retried operation ended.
-
-    SUCCESS, NON_TRANSIENT (the first such error ends it), TIMEOUT (time was up
-    before an attempt started), EXHAUSTED (attempts used up, or no time left
-    after a failure, seen when ``finished_at`` is given) or INCOMPLETE (the
-    record stops after a transient error). A call succeeded when it has neither
-    an exception nor an error status. ``delay_ceiling_us`` bounds the wait
-    before the next attempt; the jitter itself is random.
-    """
+    """One row per attempt: what would end the operation there, if anything, and the bound of the wait after it."""
     if max_attempts < 1:
         raise ValueError("max_attempts must be at least 1: with none, no call is ever made")
-    keys = list(op)
     ended = micros(finished_at) if finished_at else F.lit(None).cast("bigint")
     tries = (
         attempts.where(F.col("attempt") <= max_attempts)
@@ -352,9 +336,62 @@ def retry_outcome(
         (F.lit(backoff * 1_000_000) * F.pow(F.lit(2.0), F.col("attempt") - 1)).cast("bigint"),
         F.lit(timeout_us) - elapsed,
     )
-    judged = tries.select(
+    return tries.select(
         *keys, "attempt", "call", verdict.alias("verdict"), elapsed.alias("elapsed"), ceiling.alias("ceiling")
     )
+
+
+def retry_attempts(
+    attempts: DataFrame,
+    max_attempts: int = 3,
+    backoff: float = 0.5,
+    timeout_us: int = 60_000_000,
+    op: Sequence[str] = ("op_id",),
+    started_at: str = "started_at",
+    status: str = "http_status",
+    exception: str = "exception",
+    finished_at: str | None = None,
+) -> DataFrame:
+    """Every attempt up to the one that ends its operation: ``(*op, attempt, verdict, elapsed_us, delay_ceiling_us)``.
+
+    The verdict is that of ``retry_outcome``, or RETRY; after those ``delay_ceiling_us`` bounds the
+    wait before the next attempt: the backoff doubled with every attempt, or what is left of the time.
+    """
+    keys = list(op)
+    judged = _judged_attempts(attempts, max_attempts, backoff, timeout_us, keys, started_at, status, exception, finished_at)
+    ending = F.min(F.when(F.col("verdict").isNotNull(), F.col("attempt"))).over(Window.partitionBy(*keys))
+    reached = judged.withColumn("_ending", ending).where(F.col("_ending").isNull() | (F.col("attempt") <= F.col("_ending")))
+    return reached.select(
+        *keys,
+        "attempt",
+        F.coalesce("verdict", F.lit("RETRY")).alias("verdict"),
+        F.col("elapsed").alias("elapsed_us"),
+        F.when(F.col("verdict").isNull(), F.col("ceiling")).alias("delay_ceiling_us"),
+    )
+
+
+def retry_outcome(
+    attempts: DataFrame,
+    max_attempts: int = 3,
+    backoff: float = 0.5,
+    timeout_us: int = 60_000_000,
+    op: Sequence[str] = ("op_id",),
+    started_at: str = "started_at",
+    status: str = "http_status",
+    exception: str = "exception",
+    finished_at: str | None = None,
+) -> DataFrame:
+    """How each retried operation ended.
+
+    SUCCESS, NON_TRANSIENT (the first such error ends it), TIMEOUT (time was up
+    before an attempt started), EXHAUSTED (attempts used up, or no time left
+    after a failure, seen when ``finished_at`` is given) or INCOMPLETE (the
+    record stops after a transient error). A call succeeded when it has neither
+    an exception nor an error status. ``delay_ceiling_us`` bounds the wait
+    before the next attempt; the jitter itself is random.
+    """
+    keys = list(op)
+    judged = _judged_attempts(attempts, max_attempts, backoff, timeout_us, keys, started_at, status, exception, finished_at)
     ending = F.struct("attempt", "verdict", "elapsed", "call", F.lit(0).cast("bigint").alias("ceiling"))
     running = F.struct("attempt", F.lit("INCOMPLETE").alias("verdict"), "elapsed", "call", "ceiling")
     decided = judged.groupBy(*keys).agg(

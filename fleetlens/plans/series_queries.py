@@ -208,7 +208,7 @@ CALL_COLUMNS = (
     "CASE WHEN event_type = 'click' THEN 'ReadTimeoutError' ELSE NULL END AS exception",
 )
 
-RETRY_SQL = f"""WITH calls AS (
+JUDGED_SQL = f"""WITH calls AS (
   SELECT user_id, CAST(ts AS DATE) AS day, epoch_us(ts) AS us, {', '.join(CALL_COLUMNS)},
     row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS attempt FROM events),
 timed AS (
@@ -218,24 +218,42 @@ judged AS (
       WHEN http_status = 200 THEN 'SUCCESS'
       WHEN http_status = 404 THEN 'NON_TRANSIENT'
       WHEN attempt >= 3 THEN 'EXHAUSTED' END AS verdict FROM timed),
-decided AS (
+ceilings AS (SELECT *, least(CAST(500000 * pow(2, attempt - 1) AS BIGINT), 21600000000 - elapsed) AS ceiling FROM judged)"""
+
+RETRY_SQL = f"""{JUDGED_SQL}, decided AS (
   SELECT user_id, day, min(attempt) FILTER (WHERE verdict IS NOT NULL) AS hit, max(attempt) AS latest
   FROM judged GROUP BY user_id, day)
 SELECT d.user_id, d.day, coalesce(verdict, 'INCOMPLETE') AS outcome,
   CAST(CASE WHEN verdict = 'TIMEOUT' THEN attempt - 1 ELSE attempt END AS INTEGER) AS attempts,
   elapsed AS elapsed_us,
   CASE WHEN verdict = 'TIMEOUT' THEN NULL ELSE http_status END AS last_status,
-  CASE WHEN verdict IS NULL THEN least(CAST(500000 * pow(2, attempt - 1) AS BIGINT), 21600000000 - elapsed) END
-    AS delay_ceiling_us
-FROM decided d JOIN judged j ON j.user_id = d.user_id AND j.day = d.day AND j.attempt = coalesce(hit, latest)"""
+  CASE WHEN verdict IS NULL THEN ceiling END AS delay_ceiling_us
+FROM decided d JOIN ceilings j ON j.user_id = d.user_id AND j.day = d.day AND j.attempt = coalesce(hit, latest)"""
 
 
-@query("retry_outcome", RETRY_SQL)
-def retry_outcome(spark, sf_dir):
-    calls = table(spark, sf_dir, "events").selectExpr(
+def _calls(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr(
         "user_id", "event_id", "ts", "CAST(ts AS DATE) AS day", *CALL_COLUMNS
     )
+
+
+@query(
+    "retry_attempts",
+    f"""{JUDGED_SQL}, reached AS (
+      SELECT *, min(attempt) FILTER (WHERE verdict IS NOT NULL) OVER (PARTITION BY user_id, day) AS hit FROM ceilings)
+    SELECT user_id, day, CAST(attempt AS INTEGER) AS attempt, coalesce(verdict, 'RETRY') AS verdict, elapsed AS elapsed_us,
+      CASE WHEN verdict IS NULL THEN ceiling END AS delay_ceiling_us
+    FROM reached WHERE hit IS NULL OR attempt <= hit""",
+)
+def retry_attempts(spark, sf_dir):
+    op = ("user_id", "day")
+    attempts = series.number_attempts(_calls(spark, sf_dir), op, ("ts", "event_id"), 3)
+    return series.retry_attempts(attempts, 3, 0.5, 21_600_000_000, op, started_at="ts")
+
+
+@query("retry_outcome", RETRY_SQL)
+def retry_outcome(spark, sf_dir):
     op = ("user_id", "day")
-    attempts = series.number_attempts(calls, op, ("ts", "event_id"), 3)
+    attempts = series.number_attempts(_calls(spark, sf_dir), op, ("ts", "event_id"), 3)
     return series.retry_outcome(attempts, 3, 0.5, 21_600_000_000, op, started_at="ts")
 

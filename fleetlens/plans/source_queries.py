@@ -147,13 +147,15 @@ def _api_type_dump(spark, sf_dir):
 @query(
     "read_api_types",
     f"""SELECT p_brand || '/' || p_size AS cluster, {inventory_queries.TYPE_NAME} AS crd_name,
-      CASE WHEN p_retailprice < 1000 THEN 'v' || p_name END AS version, {inventory_queries.TYPE_STATUS} AS http_status
+      CASE WHEN p_retailprice < 1000 THEN 'v' || p_name END AS version, 'a' || p_name AS noted,
+      {inventory_queries.TYPE_STATUS} AS http_status
     FROM part""",
 )
 def read_api_types(spark, sf_dir):
     types = readers.read_api_types(spark, _api_type_dump(spark, sf_dir))
     version = F.col("labels")[inventory.VERSION_LABEL].alias("version")
-    return types.select("cluster", "crd_name", version, "http_status")
+    noted = F.col("annotations")[inventory.VERSION_ANNOTATION].alias("noted")
+    return types.select("cluster", "crd_name", version, noted, "http_status")
 
 
 @query("read_api_types_rejected", rejected_sql("http_status"))

@@ -218,3 +218,17 @@ def test_many_hot_keys_are_dealt_out(spark):
     many = spark.range(12_000).selectExpr("id % 1200 AS k", "id AS seq", "timestamp_seconds(id) AS ts")
     stats = slice_hot_groups(many, ["k"], "ts", ["seq"], hot_rows=5).stats
     assert stats.where("_slices = 2").count() == 1200
+
+
+def test_retry_attempts_give_every_wait(spark):
+    """The backoff doubles, is cut by what is left of the time, and nothing follows the deciding attempt."""
+    data = [("a", 1, 0, 503, None), ("a", 2, 10, 200, None), ("a", 3, 11, 503, None),
+            ("b", 1, 0, 503, None), ("b", 2, 59, None, "ReadTimeoutError"), ("b", 3, 61, 200, None), ("c", 1, 0, 404, None)]
+    df = spark.createDataFrame(data, ATTEMPTS).withColumn("started_at", F.timestamp_seconds("at"))
+    rows = series.retry_attempts(df, max_attempts=5, backoff=2.0).collect()
+    assert sorted((r.op_id, r.attempt, r.verdict, r.delay_ceiling_us) for r in rows) == [
+        ("a", 1, "RETRY", 2_000_000), ("a", 2, "SUCCESS", None),
+        ("b", 1, "RETRY", 2_000_000), ("b", 2, "RETRY", 1_000_000), ("b", 3, "TIMEOUT", None), ("c", 1, "NON_TRANSIENT", None),
+    ]
+    outcomes = {r.op_id: r.outcome for r in series.retry_outcome(df, max_attempts=5, backoff=2.0).collect()}
+    assert outcomes == {"a": "SUCCESS", "b": "TIMEOUT", "c": "NON_TRANSIENT"}
