@@ -68,10 +68,10 @@ def capabilities(api_types: DataFrame, nodes: DataFrame, cluster: str = "cluster
         F.max(_denied(status)).alias("_denied"),
         F.max(F.when(_failed(status) & ~_denied(status), status)).alias("_error"),
     )
-    # Not a full join, in which a member without a name would not meet itself.
-    listed_types, listed_nodes = found.columns[1:], ["gpu_types", "gpu_available"]
-    sides = found.unionByName(gpu_types(nodes, cluster), allowMissingColumns=True)
-    joined = sides.groupBy(cluster).agg(*[F.max(c).alias(c) for c in [*listed_types, *listed_nodes]]).fillna(
+    # NULL-safe: a member without a name meets itself too.
+    listed_nodes = gpu_types(nodes, cluster).withColumnRenamed(cluster, "_node_cluster")
+    same = F.col(cluster).eqNullSafe(F.col("_node_cluster"))
+    joined = found.join(listed_nodes, same, "full").withColumn(cluster, F.coalesce(cluster, "_node_cluster")).fillna(
         False, ["_installed", "_queueing", "_platform", "_denied"]
     )
     ok = F.col("_error").isNull()
