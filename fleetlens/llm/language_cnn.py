@@ -9,7 +9,9 @@ labelled texts (those with the smallest hashes), and of each of them at most
 ``per_text`` evenly spaced windows. Its size does not grow with the corpus.
 
 A null text, an empty one, or one without a letter is ``und`` with score 0. Without any
-labelled text every document is ``und``.
+labelled text every document is ``und``. Repeated rows and copies have equal results, and count
+once in the sample under one label. Of equally likely languages the first by name is given. Texts
+are read whole, window by window. An empty table gives no row.
 """
 
 from __future__ import annotations

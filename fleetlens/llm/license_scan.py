@@ -11,7 +11,10 @@ its rarest word, no place is missed.
 A template's coverage is the IDF of its matching words over that of all. All work is
 done inside a row; only document frequencies of licence words are gathered.
 
-Null and empty texts have no word: n_words and n_base 0, no label, score 0.
+Null and empty texts have no word: n_words and n_base 0, no label, score 0. Texts are read whole,
+however long. Repeated rows give a row each. Of the words of a key phrase that are equally rare
+the alphabetically last one is indexed; any of them finds the same places. An empty table gives
+no row; without documents all licence words are equally rare.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ has, or which is itself an entity of the corpus, draw again with the next attemp
 no collision is left. Only they need to be looked up when texts are rewritten; they are
 joined to the texts that hold them by the text's MD5.
 
-Texts without an entity, empty and null ones stay as they are. Copies get equal texts.
+Texts without an entity, empty and null ones stay as they are. Copies and repeated rows get equal
+texts. Texts are read whole, however long. Where entities overlap, the one found first, then the
+kind listed first, stands. An empty table gives no row.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ document passes when it meets the base rules and its score is at least ``thresho
 the same cut for all, without drawing.
 
 A null or empty text has no word and fails the base rules, with score 0. Without a
-trusted text the score is 0. Rows are judged one by one: copies get equal results.
+trusted text the score is 0. Rows are judged one by one: copies get equal results. A score equal
+to the threshold passes. Texts are read whole, however long. An empty table gives no row.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ from word to word), keeps the states that the byte allows, and keeps the states
 
 Rules of the list decide first, the longest wins; a URL that none fits is judged by the
 method's own globs: block if one matches, else allow. A null URL, or one without ``://``,
-has an empty host and path, fits no rule and is allowed. Rows are judged one by one. A
+has an empty host and path, fits no rule and is allowed. Rows are judged one by one, repeated
+ones alike; an empty table gives no row. Of rules of equal length that fit a URL the
+alphabetically first decides. A
 very long URL is stepped through in stripes, so it doesn't widen the grid of its batch.
 """
 

@@ -411,3 +411,12 @@ def test_quality_edges(spark, documents):
     assert rows[3].score == rows[4].score > rows[5].score and rows[3].kept
     assert not quality_ratio.log_ratio(np.zeros(4), np.ones(4)).any()
     assert quality_ratio.judge(docs.limit(0), quality_ratio.log_ratio(target, raw)).count() == 0
+
+
+def test_rules_of_equal_length(spark):
+    """The alphabetically first of two that fit decides, in whatever order they are given."""
+    pages = spark.createDataFrame([(1, "http://a.org/xy/z")], "page_id long, url string")
+    two = (url_automaton.Rule("org", "/xy/", "block"), url_automaton.Rule("a.org", "/x", "allow"))
+    assert len({len(r.name) for r in two}) == 1
+    for rules in (two, two[::-1]):
+        assert url_automaton.judge_urls(pages, rules).first().rule == min(r.name for r in two)
