@@ -2,6 +2,11 @@
 
 Every stage is written as Parquet and read again. Clean documents pass unchanged; the
 last stage adds what the mix takes of each.
+
+Documents with a null or empty text, or without a letter, go in the first stage. Of repeated
+rows, copies and rows of one class one stays in the second, that with the smallest id, or
+one without an id if none has one. Texts are read whole, however long. All stages but the last
+keep further columns, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
