@@ -174,7 +174,7 @@ def test_licenses_equal_brute_force(spark, documents):
                 if key < 0 or found[key : key + len(t.key_words)] != t.key_words:
                     continue
                 same = [w for j, w in enumerate(t.words) if at + j >= 0 and found[at + j : at + j + 1] == [w]]
-                cover = sum(idf[w] for w in same) / sum(idf[w] for w in t.words)
+                cover = sum(idf[w] for w in same) / sum(idf[w] for w in t.words) if len(same) < len(t.words) else 1.0
                 if t.base:
                     base.append((at, t.label))
                 if cover >= 0.5 - 1e-12:
@@ -186,6 +186,35 @@ def test_licenses_equal_brute_force(spark, documents):
     assert license_scan.scan(docs.limit(0), license_scan.rarity(docs.limit(0))).count() == 0
 
 
+def test_license_templates_from_a_table(spark, documents):
+    """Hundreds of templates of shared words: found where they stand, and where one word is lost never."""
+    draw = random.Random(8)
+    notices = {f"l{k}": " ".join(draw.choices("one two three four five six seven".split(), k=9)) for k in range(300)}
+    rows = [(k, n.title(), " ".join(n.split()[2:7])) for k, n in notices.items()] + [(None, "a b", "a"), ("empty", "", "")]
+    templates = license_scan.templates_of(spark.createDataFrame(rows, "label string, notice string, key string"))
+    assert len(templates) == 300
+    texts = [f"x {n} y" for n in list(notices.values())[:40]] + [" ".join(draw.choices("one two three four five".split(), k=400))]
+    docs = documents(texts)
+    for r in license_scan.scan(docs, license_scan.rarity(docs, templates), templates, least=1.0).collect():
+        want = {label for label, n in notices.items() if f" {n} " in f" {texts[r.doc_id]} "}
+        assert set(filter(None, r.labels.split(","))) == want and r.score == (1.0 if want else 0.0)
+    with pytest.raises(ValueError, match="key phrase"):
+        license_scan.templates_of(spark.createDataFrame([("a", "b c", "c b")], "label string, notice string, key string"))
+    with pytest.raises(ValueError, match="more than"):
+        license_scan.templates_of(spark.createDataFrame(rows, "label string, notice string, key string"), most=9)
+
+
+@pytest.mark.parametrize("k", [1, 7, 400])
+def test_smallest_hashes_equal_sorting(spark, k):
+    draw = random.Random(k)
+    hashes = [(lang, draw.getrandbits(64) - (1 << 63)) for lang, n in (("a", 3000), ("b", 5)) for _ in range(n)]
+    cuts = language_cnn.smallest_hashes(spark.createDataFrame(hashes, "lang string, h long"), k, bits=6)
+    for r in cuts.collect():
+        ordered = sorted(h for lang, h in hashes if lang == r.lang)
+        assert r.cut == ordered[: k][-1]
+    assert cuts.count() == 2
+
+
 def water(sizes, most=3.0):
     names = sorted(s for s in sizes if s is not None) + ([None] if None in sizes else [])
     weight = {s: 1 + k % 3 for k, s in enumerate(names)}
