@@ -166,6 +166,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def smallest_hashes(hashes: DataFrame, k: int, bits: int = 16) -> DataFrame:
+    """(lang, cut): the k-th smallest of the distinct hashes ``h`` of every language, or its largest.
+
+    Hashes are counted by their leading bits, and only those up to the range in which the
+    k-th lies are put in order, so that a language with most rows is not one task.
+    """
+    hashes = hashes.withColumn("range", F.shiftright("h", 64 - bits))
+    counts = hashes.groupBy("lang", "range").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = counts.withColumn("before", before).where(F.col("before") < k).select("lang", "range")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    first = hashes.join(ranges, ["lang", "range"]).withColumn("k", rank).where(F.col("k") <= k)
+    return first.groupBy("lang").agg(F.max("h").alias("cut"))
+
+
 def train(labelled: DataFrame, per_language: int = 400, per_text: int = 6, length: int = 128, epochs: int = 6) -> ByteCnn | None:
     """Fits the network to (text, lang); None if no row has both a letter and a label."""
 
@@ -178,11 +193,7 @@ def train(labelled: DataFrame, per_language: int = 400, per_text: int = 6, lengt
         return texts.map(pick)
 
     rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select("lang", "text", F.xxhash64("text").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    cuts = (
-        rows.select("lang", "h").distinct().withColumn("k", rank).where(F.col("k") <= per_language)
-        .groupBy("lang").agg(F.max("h").alias("cut"))
-    )
+    cuts = smallest_hashes(rows.select("lang", "h").distinct(), per_language)
     cuts = small(written(cuts, "cuts"), 10_000)  # a row per language
     chosen = rows.join(cuts, "lang").where(F.col("h") <= F.col("cut"))
     sample = chosen.select("lang", "h", spread("text").alias("windows")).groupBy("lang", "h").agg(F.min("windows").alias("windows")).collect()
