@@ -111,9 +111,9 @@ fitted AS (
 SELECT page_id, host, path, rule,
        CASE rule WHEN 'example.net/en/' THEN 'allow' WHEN 'example.com/de/' THEN 'block'
                  WHEN 'org/fr/' THEN 'allow' WHEN 'net/' THEN 'block'
-       ELSE CASE WHEN regexp_matches(host, 'casino|poker|bets|pills|adult|porn|spam|phish|malware')
-                   OR contains('.' || host, '.ads-') OR contains('.' || host, '.ads.')
-                   OR contains('.' || host, '.tracker.') OR contains(path, '/ads/')
+       ELSE CASE WHEN regexp_matches(host, 'casino|poker|porn|phish|malware')
+                   OR regexp_matches('.' || host || '.', '[.-](bets|betting|pills|adult|spam|ads|tracker)[.-]')
+                   OR contains(path, '/ads/')
                    OR ends_with(path, '.exe') OR ends_with(path, '.apk')
                  THEN 'block' ELSE 'allow' END END AS verdict
 FROM fitted

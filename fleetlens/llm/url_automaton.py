@@ -4,7 +4,8 @@ A rule is a glob over the canonical URL ``.host`` + separator + ``path``. ``*``
 any run, ``?`` for any one byte. All rules are packed into one row of 64-bit words, a
 start bit and a bit per symbol each. Reading a byte shifts the row by one bit (with carry
 from word to word), keeps the states that the byte allows, and keeps the states before a
-``*``. The URLs of a batch step together in numpy.
+``*``. The URLs of a batch step together in numpy; a batch holds as many as fit ``STATE_BYTES``.
+Rules are a tuple, or come from a table of any length that fits a task (``rules_of``).
 
 Rules of the list decide first, the longest wins; a URL that none fits is judged by the
 method's own globs: block if one matches, else allow. A null URL, or one without ``://``,
@@ -53,20 +54,14 @@ RULES = (
     Rule("org", "/fr/", "allow"),
 )
 
+# Fixed values. Blocked anywhere in a host, and only as a whole word of it (not in "alphabets").
+ANYWHERE = ("casino", "poker", "porn", "phish", "malware")
+WHOLE = ("bets", "betting", "pills", "adult", "spam", "ads", "tracker")
+
 # (host glob, path glob): the method's own block list.
 BLOCKED = (
-    ("*casino*", "*"),
-    ("*poker*", "*"),
-    ("*bets*", "*"),
-    ("*pills*", "*"),
-    ("*adult*", "*"),
-    ("*porn*", "*"),
-    ("*spam*", "*"),
-    ("*phish*", "*"),
-    ("*malware*", "*"),
-    ("*.ads-*", "*"),
-    ("*.ads.*", "*"),
-    ("*.tracker.*", "*"),
+    *[(f"*{word}*", "*") for word in ANYWHERE],
+    *[(f"*{before}{word}{after}", "*") for word in WHOLE for before in ".-" for after in (".*", "-*", "")],
     ("*", "*/ads/*"),
     ("*", "*.exe"),
     ("*", "*.apk"),
@@ -84,7 +79,7 @@ class Automaton:
 
     def __init__(self, patterns: list[list[int]]) -> None:
         states = sum(1 + sum(s != STAR for s in p) for p in patterns)
-        self.width = -(-states // 64)
+        self.width = max(1, -(-states // 64))
         self.allowed = np.zeros((SEPARATOR + 1, self.width), np.uint64)
         self.start, self.loop = np.zeros(self.width, np.uint64), np.zeros(self.width, np.uint64)
         self.final: list[tuple[int, np.uint64]] = []
@@ -111,6 +106,8 @@ class Automaton:
         order = np.argsort(-lengths, kind="stable")
         longest = int(lengths.max(initial=0))
         state = np.tile(self.start, (len(codes), 1))
+        if not self.final:
+            return np.empty((len(codes), 0), bool)
         active = len(codes) - np.searchsorted(np.sort(lengths), np.arange(longest), side="right")
         for first in range(0, longest, STRIPE):
             grid = np.zeros((active[first], min(STRIPE, longest - first)), np.int16)
@@ -146,7 +143,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, PARTS, 2), F.lit(""))
 
 
-BATCH = 4096
+#: URLs that step together, and the bytes that their states may take.
+BATCH, STATE_BYTES = 4096, 1 << 22
+
+
+def rules_of(rows: DataFrame, most: int = 100_000) -> tuple[Rule, ...]:
+    """Rules of a table (host, path, verdict), which must have at most ``most`` rows.
+
+    Hosts are lower-cased (A-Z) and lose a leading dot; a null path is any path. Rows
+    without a host are left out. Two verdicts for one rule, or a verdict other than block and
+    allow, are an error.
+    """
+    host = F.regexp_replace(F.translate("host", UPPER, LOWER), r"^\.", "")
+    rows = rows.select(host.alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").where("host <> ''")
+    found = rows.distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rules")
+    rules = tuple(sorted((Rule(*r) for r in found), key=lambda r: (r.name, str(r.verdict))))
+    for rule, following in zip(rules, (*rules[1:], None), strict=True):
+        if rule.verdict not in ("block", "allow") or following and (rule.host, rule.path) == (following.host, following.path):
+            raise ValueError(f"not one verdict, block or allow, for {rule.name}")
+    return rules
 
 
 def judge_urls(
@@ -159,14 +176,15 @@ def judge_urls(
     @F.pandas_udf("rule string, verdict string")
     def verdicts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         automaton = Automaton(patterns)
+        step = max(1, min(BATCH, STATE_BYTES // (8 * automaton.width)))
         for hosts, paths in batches:
             out = []
-            for i in range(0, len(hosts), BATCH):
-                codes = [canonical(h, p) for h, p in zip(hosts[i : i + BATCH], paths[i : i + BATCH], strict=True)]
+            for i in range(0, len(hosts), step):
+                codes = [canonical(h, p) for h, p in zip(hosts[i : i + step], paths[i : i + step], strict=True)]
                 for hit in automaton.matches(codes):
-                    rule = next((r for r, fits in zip(listed, hit, strict=False) if fits), None)
-                    own = "block" if hit[len(listed) :].any() else "allow"
-                    out.append((rule.name, rule.verdict) if rule else (None, own))
+                    first = int(hit.argmax()) if hit.any() else len(patterns)  # listed rules come first, the longest before
+                    own = "block" if first < len(patterns) else "allow"
+                    out.append((listed[first].name, listed[first].verdict) if first < len(listed) else (None, own))
             yield pd.DataFrame(out, columns=["rule", "verdict"])
 
     parts = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})

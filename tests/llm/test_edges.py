@@ -331,6 +331,36 @@ def test_urls(spark):
     assert url_automaton.judge_urls(rows.limit(0)).count() == 0
 
 
+def test_words_of_hosts(spark):
+    blocked = ["adult.com", "x-adult.org", "my.adult", "a.adult-b.com", "ads.x.com", "x.ads-y.com", "onlinecasino7.com", "big-spam.de"]
+    allowed = ["adulteducation.org", "alphabets.com", "hispamerica.es", "spills.com", "uploads.de", "trackers.fr"]
+    pages = spark.createDataFrame([(k, f"http://{h}/a") for k, h in enumerate(blocked + allowed)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_automaton.judge_urls(pages, rules=()).collect()}
+    assert got == {k: "block" if k < len(blocked) else "allow" for k in range(len(got))}
+    assert {r.verdict for r in url_automaton.judge_urls(pages, rules=(), blocked=()).collect()} == {"allow"}
+
+
+def test_thousands_of_rules_from_a_table(spark):
+    draw = random.Random(5)
+    names = ["".join(draw.choices("abc", k=draw.randint(1, 6))) for _ in range(400)]
+    table = {(f"{draw.choice(names)}.{draw.choice(['com', 'net'])}", draw.choice(["", "/", "/en/", "/en/x"])): draw.choice(["block", "allow"]) for _ in range(4000)}
+    rows = [(h.upper() if k % 2 else "." + h, p or None, v) for k, ((h, p), v) in enumerate(table.items())]
+    rules = url_automaton.rules_of(spark.createDataFrame([*rows, (None, "/", "block"), ("", "/", "block")], "host string, path string, verdict string"))
+    assert {(r.host, r.path): r.verdict for r in rules} == table and len(rules) > 1000
+    urls = [f"https://{draw.choice(['', 'www.', 'x'])}{draw.choice(names)}.{draw.choice(['com', 'net'])}{draw.choice(['', '/', '/en/', '/en/xy', '/de'])}" for _ in range(150)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_automaton.judge_urls(pages, rules, blocked=()).collect()}
+    for k, url in enumerate(urls):
+        host, _, path = url.removeprefix("https://").partition("/")
+        path = "/" + path if _ else ""
+        fits = [(h, p) for h, p in table if ("." + host).endswith("." + h) and path.startswith(p)]
+        best = min(fits, key=lambda x: (-len(x[0] + x[1]), x[0] + x[1]), default=None)
+        assert got[k] == (("".join(best), table[best]) if best else (None, "allow")), url
+    for wrong in ([("a", "/", "block"), ("a", "/", "allow")], [("a", "/", "drop")], [("a", "/", None)]):
+        with pytest.raises(ValueError, match="verdict"):
+            url_automaton.rules_of(spark.createDataFrame(wrong, "host string, path string, verdict string"))
+
+
 def test_automaton_equals_regular_expressions():
     draw = random.Random(2)
     globs = ["".join(draw.choices("ab*?", k=draw.randint(1, 40))) for _ in range(60)]
