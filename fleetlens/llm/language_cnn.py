@@ -166,19 +166,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def smallest_hashes(hashes: DataFrame, k: int, bits: int = 16) -> DataFrame:
+def smallest_hashes(hashes: DataFrame, k: int, bits: int = 10) -> DataFrame:
     """(lang, cut): the k-th smallest of the distinct hashes ``h`` of every language, or its largest.
 
-    Hashes are counted by their leading bits, and only those up to the range in which the
-    k-th lies are put in order, so that a language with most rows is not one task.
+    Hashes are counted by their leading bits, twice as many the second time; only the ranges up to
+    that with the k-th are kept, and only their hashes put in order. So no task holds a language:
+    of each it sees 2^bits counts, then at most k more than that, then k and one range's hashes.
     """
-    hashes = hashes.withColumn("range", F.shiftright("h", 64 - bits))
-    counts = hashes.groupBy("lang", "range").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranges = counts.withColumn("before", before).where(F.col("before") < k).select("lang", "range")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    first = hashes.join(ranges, ["lang", "range"]).withColumn("k", rank).where(F.col("k") <= k)
-    return first.groupBy("lang").agg(F.max("h").alias("cut"))
+    by_lang = Window.partitionBy("lang")
+    for leading in (bits, 2 * bits):
+        ranged = hashes.withColumn("range", F.shiftright("h", 64 - leading))
+        counts = ranged.groupBy("lang", "range").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(by_lang.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+        ranges = counts.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < k)
+        hashes = ranged.join(ranges, ["lang", "range"], "left_semi").select("lang", "h")
+    rank = F.row_number().over(by_lang.orderBy("h"))
+    return hashes.withColumn("k", rank).where(F.col("k") <= k).groupBy("lang").agg(F.max("h").alias("cut"))
 
 
 def train(labelled: DataFrame, per_language: int = 400, per_text: int = 6, length: int = 128, epochs: int = 6) -> ByteCnn | None:
