@@ -99,3 +99,33 @@ def test_idle_resources_are_forgotten(spark, rows):
 
     assert edges(None) == [("CREATING", "RUNNING"), ("FAILED", "RUNNING"), ("RUNNING", "FAILED")]
     assert edges(1000 * SECOND) == [("CREATING", "RUNNING"), ("FAILED", "RUNNING")]
+
+
+def test_polls_far_apart_cost_few_calls_to_the_store(spark, rows, monkeypatch):
+    """Polls of one resource that lie in a bucket each are held in one value, up to so many."""
+    polls = [poll(i, "r", 700 * i, "AB"[i // 3 % 2]) for i in range(60)]
+    closing = poll(10_000, "closing", 1_000_000, "CREATING")
+
+    class Unpaged(stateful.EdgeProcessor):
+        def hold(self, bucket, polls):
+            raise MemoryError("a page for every bucket")
+
+    expected = rows(series.transitions(spark.createDataFrame(polls, SCHEMA), F.lit("cluster"), POLLS).drop("at"))
+    with monkeypatch.context() as patched:
+        patched.setattr(stateful, "EdgeProcessor", Unpaged)
+        got = drain(stateful.transitions_stream(as_stream(spark, [*polls, closing], 3), "cluster", POLLS)).drop("at_us")
+        assert rows(got) == expected
+
+
+@pytest.mark.parametrize("batches", [1, 5])
+def test_one_value_or_pages_does_not_matter(spark, rows, monkeypatch, batches):
+    polls = random_polls(["CREATING", "RUNNING", "FAILED"], 160, 2)
+    expected = rows(series.transitions(spark.createDataFrame(polls, SCHEMA), F.lit("cluster"), POLLS).drop("at"))
+
+    class Small(stateful.EdgeProcessor):
+        held_polls = 7
+
+    monkeypatch.setattr(stateful, "EdgeProcessor", Small)
+    stream = as_stream(spark, [*polls, CLOSING], batches)
+    got = drain(stateful.transitions_stream(stream, "cluster", POLLS, "20 seconds", 7 * SECOND)).drop("at_us")
+    assert rows(got) == expected
