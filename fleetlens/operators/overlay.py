@@ -50,7 +50,9 @@ def path_code(path: ColumnLike) -> Column:
     return F.replace(escaped, F.lit(PATH_SEPARATOR), F.lit(_BELOW))
 
 
-def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id", steps: int = 1) -> DataFrame:
+def deep_merge(
+    base: DataFrame, override: DataFrame, id_column: str = "id", steps: int = 1, partitions: int | None = None
+) -> DataFrame:
     """Overlay documents held as leaf rows ``(id, path, value)``.
 
     Objects merge key by key; anything else in the override replaces what is in
@@ -66,6 +68,9 @@ def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id", step
     Leaves meet only below the same first step, so a document is cut by it. One too big
     for that is cut by its first ``steps`` steps; then a row for each cut carries the
     running values on.
+
+    A task sorts the leaves of its part. ``partitions`` says how many parts the leaves are
+    dealt over; without it, it is the session's shuffle partitions.
     """
     if steps < 1:
         raise ValueError("documents are cut by at least one step")
@@ -76,6 +81,8 @@ def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id", step
     coded = sides.withColumn("_code", path_code("path")).withColumn("_cell", F.substring_index("_code", _BELOW, steps))
     over, code = F.col("_over"), F.col("_code")
     place = [id_column, "_cell"]
+    if partitions:
+        coded = coded.repartition(partitions, *place)
     # An override leaf stands before the base leaf of its path.
     onwards = Window.partitionBy(*place).orderBy("_code", over.desc())
     backwards = Window.partitionBy(*place).orderBy(code.desc(), over)
@@ -87,7 +94,7 @@ def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id", step
         }
     )
     if steps > 1:
-        running = _carried_on(running, coded, id_column)
+        running = _carried_on(running, coded, id_column, partitions)
 
     def below(inner: ColumnLike, top: ColumnLike) -> Column:
         return F.coalesce(F.startswith(col(inner), F.concat(col(top), F.lit(_BELOW))), F.lit(False))
@@ -98,7 +105,7 @@ def deep_merge(base: DataFrame, override: DataFrame, id_column: str = "id", step
     return running.where(~gone).select(id_column, "path", "value")
 
 
-def _carried_on(running: DataFrame, coded: DataFrame, id_column: str) -> DataFrame:
+def _carried_on(running: DataFrame, coded: DataFrame, id_column: str, partitions: int | None) -> DataFrame:
     """The running values across the cuts of a document."""
     over, code = F.col("_over"), F.col("_code")
     is_empty = F.coalesce(F.col("value") == EMPTY_OBJECT, F.lit(False))
@@ -107,6 +114,8 @@ def _carried_on(running: DataFrame, coded: DataFrame, id_column: str) -> DataFra
         F.min(F.when(over, code)).alias("over_below"),
         F.min(F.when(~over, code)).alias("base_below"),
     )
+    if partitions:
+        cuts = cuts.repartition(partitions, "_id")
     before = Window.partitionBy("_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("_id").orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
     told = cuts.select(
@@ -115,7 +124,10 @@ def _carried_on(running: DataFrame, coded: DataFrame, id_column: str) -> DataFra
         F.last("over_below", True).over(after).alias("_far_over"),
         F.last("base_below", True).over(after).alias("_far_base"),
     )
-    joined = running.withColumn("_id", F.struct(id_column)).join(told, ["_id", "_cell"])
+    running = running.withColumn("_id", F.struct(id_column))
+    if partitions:
+        running, told = (side.repartition(partitions, "_id", "_cell") for side in (running, told))
+    joined = running.join(told, ["_id", "_cell"])
     return joined.withColumns(
         {
             "_above": F.coalesce("_above", "_far_above"),

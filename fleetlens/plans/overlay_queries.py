@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.documents import merge_env, queue_labels, tracking_env
 from fleetlens.operators import overlay
 from fleetlens.operators.validation import RULES, validate
-from fleetlens.plans.bindings import spread_table, table
+from fleetlens.plans.bindings import parts_for, spread_table, table
 from fleetlens.plans.registry import query
 
 # Orders as documents in leaf form, and overrides chosen by their status and priority.
@@ -48,7 +48,7 @@ def deep_merge(spark, sf_dir):
     orders = spread_table(spark, sf_dir, "orders")
     base = orders.selectExpr("o_orderkey AS id", f"inline({BASE_LEAVES})")
     override = orders.selectExpr("o_orderkey AS id", f"inline({OVERRIDE_LEAVES})")
-    return overlay.deep_merge(base, override)
+    return overlay.deep_merge(base, override, partitions=parts_for(table(spark, sf_dir, "orders"), 7))
 
 
 @query("deep_merge_cut", MERGED_SQL)
@@ -57,7 +57,7 @@ def deep_merge_cut(spark, sf_dir):
     orders = spread_table(spark, sf_dir, "orders")
     base = orders.selectExpr("o_orderkey AS id", f"inline({BASE_LEAVES})")
     override = orders.selectExpr("o_orderkey AS id", f"inline({OVERRIDE_LEAVES})")
-    return overlay.deep_merge(base, override, steps=2)
+    return overlay.deep_merge(base, override, steps=2, partitions=parts_for(table(spark, sf_dir, "orders"), 7))
 
 
 @query("merge_leaves", MERGED_SQL)

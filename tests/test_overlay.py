@@ -335,3 +335,13 @@ def test_merge_json_gives_up_what_it_cannot_merge(spark):
     df = spark.createDataFrame([(i, b, o) for i, (b, o, _) in enumerate(cases)], "i int, b string, o string")
     got = {r.i: r.m and json.loads(r.m) for r in df.select("i", merge_json("b", "o").alias("m")).collect()}
     assert got == {i: want for i, (_, _, want) in enumerate(cases)}
+
+
+def test_deep_merge_dealt_over_parts(spark, rows):
+    schema = "id int, path string, value string"
+    base = spark.createDataFrame([(i, p, "1") for i in range(20) for p in ("a/b/c", "a/b/d", "e", "f/g")], schema)
+    over = spark.createDataFrame([(i, p, v) for i in range(0, 20, 2) for p, v in (("a/b", "2"), ("f", "{}"), ("e/x", "3"))], schema)
+    for steps in (1, 2):
+        dealt = overlay.deep_merge(base, over, steps=steps, partitions=7)
+        assert dealt.rdd.getNumPartitions() == 7
+        assert rows(dealt) == rows(overlay.deep_merge(base, over, steps=steps))
