@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import blank_to_null
 from fleetlens.functions.documents import resolve_namespace, spec_digest
 from fleetlens.functions.states import is_active
+from fleetlens.operators.skew import slice_hot_groups, with_repeated
 
 # Library defaults of a cluster request.
+# Requests of one profile that a task takes, about.
+HOT_REQUESTS = 1_000_000
 DEFAULT_WORKERS = 1
 DEFAULT_CPUS = 1.0
 DEFAULT_GPUS = 0
@@ -207,11 +210,17 @@ def apply_hardware_profiles(
     profiles: DataFrame,
     profile: str = "hardware_profile",
     namespace: str | None = None,
+    hot_rows: int = HOT_REQUESTS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Requests with the settings of the profile they name; an unknown profile gives an error.
 
     ``namespace`` is the column of the requests that says in which namespace the profile
     is. Without it ``profiles`` are documents of one namespace, one per profile name.
+
+    Requests of a profile, or of none, that more than ``hot_rows`` of them name are dealt over
+    several tasks, and its settings are repeated for each. ``partitions`` says over how many parts
+    both sides are dealt; without it, it is the session's shuffle partitions.
     """
     settings = hardware_profile_settings(profiles).withColumnRenamed("profile", profile)
     keys = [profile]
@@ -219,7 +228,10 @@ def apply_hardware_profiles(
         settings = settings.drop("profile_namespace")
     else:
         settings, keys = settings.withColumnRenamed("profile_namespace", namespace), [namespace, profile]
-    joined = requests.join(settings.withColumn("_found", F.lit(True)), keys, "left")
+    # A name that is missing finds nothing, so only named profiles have to be there.
+    named = settings.dropna(subset=keys).withColumn("_found", F.lit(True))
+    plain = [name for name, kind in requests.dtypes if "map<" not in kind and "variant" not in kind]
+    joined = with_repeated(slice_hot_groups(requests, keys, None, plain, hot_rows), named, partitions)
     missing = F.col("_found").isNull() & F.col(profile).isNotNull()
     return joined.withColumn(
         "profile_error", F.when(missing, F.concat(F.lit("hardware profile not found: "), F.col(profile)))

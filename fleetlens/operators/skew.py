@@ -33,17 +33,19 @@ class Sliced:
 
 
 def slice_hot_groups(
-    rows: DataFrame, keys: Sequence[str], ts: str, deal_by: Sequence[str], hot_rows: int = HOT_ROWS
+    rows: DataFrame, keys: Sequence[str], ts: str | None, deal_by: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> Sliced:
     """Cut every group of more than ``hot_rows`` rows into slices of about that many, in no order.
 
     Rows are dealt out by a hash of ``deal_by``. The statistics of a key are its row count
-    ``_n`` and its first time ``_from`` in microseconds. They are combined on the map side,
-    so one row per key and input task is shuffled.
+    ``_n`` and, where ``ts`` is given, its first time ``_from`` in microseconds. They are combined
+    on the map side, so one row per key and input task is shuffled.
     """
     keys = list(keys)
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_from"))
+    told = [F.count(F.lit(1)).alias("_n")]
+    if ts is not None:
+        told.append(F.min(F.unix_micros(F.col(ts).cast("timestamp"))).alias("_from"))
+    stats = rows.groupBy(*keys).agg(*told)
     shares = F.ceil(F.col("_n") / hot_rows).cast("int")
     stats = stats.withColumn(SLICES, F.when(F.col("_n") > hot_rows, shares).otherwise(F.lit(1)))
     hot = stats.where(F.col("_n") > hot_rows).select(*keys, SLICES)
@@ -73,3 +75,20 @@ def with_stats(sliced: Sliced, columns: Sequence[str]) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1)).alias(SLICE),
     )
     return join_null_safe(sliced.rows, spread, [*sliced.keys, SLICE], "left")
+
+
+def with_repeated(sliced: Sliced, right: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows next to the rows of another table that have their key, or to NULLs.
+
+    What the table has for a hot key is repeated once per slice. NULL keys meet nothing.
+    ``partitions`` says over how many parts both sides are dealt.
+    """
+    hot = sliced.stats.where(F.col(SLICES) > 1).select(*sliced.keys, SLICES)
+    spread = right.join(hot, sliced.keys, "left").withColumn(
+        SLICE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SLICES), F.lit(1)) - 1))
+    )
+    keys = [*sliced.keys, SLICE]
+    rows, spread = sliced.rows.drop(SLICES), spread.drop(SLICES)
+    if partitions:
+        rows, spread = (side.repartition(partitions, *keys) for side in (rows, spread))
+    return rows.join(spread, keys, "left").drop(SLICE)

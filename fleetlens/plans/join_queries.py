@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators import joins, overlay
 from fleetlens.operators.validation import validate
-from fleetlens.plans.bindings import as_documents, spread_table, table
+from fleetlens.plans.bindings import as_documents, parts_for, spread_table, table
 from fleetlens.plans.registry import query
 from fleetlens.sources.readers import ingresses_of, parse_resources, routes_of
 from fleetlens.sources.scratch import shared_folder
@@ -237,7 +237,8 @@ def hardware_profiles(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey",
         "if(l_returnflag = 'R', 'gone', CAST(l_partkey AS STRING)) AS hardware_profile",
     )
-    return joins.apply_hardware_profiles(requests, profiles).selectExpr(
+    parts = parts_for(table(spark, sf_dir, "lineitem"))
+    return joins.apply_hardware_profiles(requests, profiles, partitions=parts).selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "resources['cpu'] AS cpu", "resources['memory'] AS memory",
         "node_selector['brand'] AS brand", "to_json(tolerations) AS tolerations", "queue", "priority_class",
         "profile_error",
@@ -334,10 +335,10 @@ def deployment_outcomes(spark, sf_dir):
         "CAST(NULL AS STRING) AS ray_version",
         """if(c_nationkey % 2 = 0, '{"spec": {"suspend": true}}', NULL) AS raw_overrides""",
     )
-    requests = joins.apply_presets(customers, joins.builtin_presets(spark)).where("preset_error IS NULL")
     # The documents of few bytes take long to render and merge: dealt over all cores, however the table is cut.
     parts = 2 * spark.sparkContext.defaultParallelism
     customers = customers.repartition(parts)
+    requests = joins.apply_presets(customers, joins.builtin_presets(spark)).where("preset_error IS NULL")
     keys = ["namespace", "name"]
     valid = requests.join(validate(requests, "cluster").select(*keys).distinct(), keys, "left_anti").repartition(parts)
     present = valid.where("c_nationkey < 10").withColumn("workers", F.expr("workers + if(c_acctbal < 0, 1, 0)"))

@@ -223,3 +223,27 @@ def test_transient(one):
     assert not any(test(s, None) for s in (400, 401, 404, 409, 422, 501, None))
     assert test(None, "ReadTimeoutError") and test(400, "ConnectionError") and test(None, "BrokenPipe")
     assert not test(None, "ValueError")
+
+
+def test_requests_of_one_profile_are_dealt_over_tasks(spark, rows):
+    """Hot names, known, unknown and missing, give what they give undealt, from several tasks."""
+    docs = [{"metadata": {"name": n}, "spec": {"identifiers": [{"identifier": "cpu", "defaultCount": n}]}} for n in ("1", "2")]
+    docs.append({"metadata": {}, "spec": {"identifiers": [{"identifier": "cpu", "defaultCount": "9"}]}})
+    profiles = parse_resources(spark.createDataFrame([(json.dumps(d),) for d in docs], "value string"), "hardware_profile")
+    asked = [(i, name) for i, name in enumerate(["gone"] * 40 + ["1"] * 40 + [None] * 40 + ["2"])]
+    requests = spark.createDataFrame(asked, "i int, hardware_profile string")
+
+    def shown(**how):
+        joined = joins.apply_hardware_profiles(requests, profiles, **how)
+        return joined.selectExpr("i", "hardware_profile", "resources['cpu'] AS cpu", "profile_error", "spark_partition_id() AS part")
+
+    got = shown(hot_rows=5, partitions=6)
+    error = "hardware profile not found: gone"
+    expected = [(i, n, n if n in ("1", "2") else None, error if n == "gone" else None) for i, n in asked]
+    assert sorted(tuple(r)[:4] for r in got.collect()) == expected == sorted(tuple(r)[:4] for r in shown().collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tasks = {(r.hardware_profile, r.part) for r in shown(hot_rows=5, partitions=6).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all(len({p for n, p in tasks if n == name}) > 1 for name in ("gone", "1", None))
