@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.clock import AsOf, age_label, age_us, instant, job_duration_us, parse_instant
 from fleetlens.functions.columns import blank_to_null, col
 from fleetlens.functions.documents import service_ip_url
-from fleetlens.functions.serving import declared_replicas
+from fleetlens.functions.serving import declared_replicas, with_declared_replicas
 from fleetlens.functions.states import condition_true, is_terminal, map_state
 
 HEAD_READY_CONDITION = "HeadPodReady"
@@ -90,21 +90,42 @@ def service_replicas(applications: Column, serve_config: Column) -> tuple[Column
     return ready, desired
 
 
+def with_replicas(df: DataFrame, applications: str, serve_config: str) -> DataFrame:
+    """``service_replicas`` as columns ``replicas_ready`` and ``replicas_desired`` in place of their sources.
+
+    Step by step, so that no count is worked out more than once for a row.
+    """
+    deployments = F.flatten(
+        F.transform(F.map_values(applications), lambda app: F.coalesce(app["serveDeploymentStatuses"], F.array()))
+    )
+    counted = df.withColumn("_deployments", deployments).withColumns(
+        {
+            "replicas_ready": _replica_sum(F.col("_deployments"), "healthyReplicas"),
+            "_observed": _replica_sum(F.col("_deployments"), "desiredReplicas"),
+        }
+    )
+    told = with_declared_replicas(counted.withColumn("_config", F.when(F.col("_observed") == 0, F.col(serve_config))), "_config", "_declared")
+    desired = F.when(F.col("_observed") == 0, F.coalesce(F.col("_declared"), F.lit(0))).otherwise(F.col("_observed"))
+    return told.withColumn("replicas_desired", desired).drop(
+        applications, serve_config, "_deployments", "_observed", "_config", "_declared"
+    )
+
+
 def service_status(df: DataFrame, as_of: AsOf) -> DataFrame:
     """One status row per service document."""
-    ready, desired = service_replicas(
-        F.col("status.activeServiceStatus.applicationStatuses"), F.col("spec.serveConfigV2")
-    )
     dashboard = F.col("status.dashboardStatus")
-    return df.select(
+    rows = df.select(
         *_identity(),
         map_state("status.serviceStatus", "service").alias("state"),
         F.when(dashboard["isHealthy"], dashboard["dashboardUrl"]).alias("endpoint_url"),
         F.lit(None).cast("string").alias("route_url"),
-        ready.alias("replicas_ready"),
-        desired.alias("replicas_desired"),
+        F.col("status.activeServiceStatus.applicationStatuses").alias("_applications"),
+        F.col("spec.serveConfigV2").alias("_serve_config"),
         age_us("metadata.creationTimestamp", as_of).alias("age_us"),
     )
+    return with_replicas(rows, "_applications", "_serve_config").select(
+        "name", "namespace", "state", "endpoint_url", "route_url", "replicas_ready", "replicas_desired", "age_us"
+    )
 
 
 def list_view(status: DataFrame, kind: str, as_of: AsOf | None = None) -> DataFrame:

@@ -228,12 +228,13 @@ def list_view_services(spark, sf_dir):
 )
 def service_replicas(spark, sf_dir):
     docs = _service_documents(spark, sf_dir)
-    ready, desired = status.service_replicas(
-        F.col("status.activeServiceStatus.applicationStatuses"), F.col("spec.serveConfigV2")
+    rows = docs.select(
+        map_state("status.serviceStatus", "service").alias("state"),
+        F.col("status.activeServiceStatus.applicationStatuses").alias("applications"),
+        F.col("spec.serveConfigV2").alias("config"),
     )
-    state = map_state("status.serviceStatus", "service")
-    rows = docs.select(state.alias("state"), ready.alias("ready"), desired.alias("desired"))
-    return rows.groupBy("state").agg(F.sum("ready").alias("ready"), F.sum("desired").alias("desired"))
+    counted = status.with_replicas(rows, "applications", "config")
+    return counted.groupBy("state").agg(F.sum("replicas_ready").alias("ready"), F.sum("replicas_desired").alias("desired"))
 
 
 # Events as dashboard submissions.

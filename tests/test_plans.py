@@ -84,3 +84,32 @@ def test_fleet_summary_expands_after_the_first_aggregate(spark):
 def test_validation_needs_no_shuffle(spark):
     for name in ("validate_clusters", "validate_services", "merge_leaves", "cluster_status"):
         assert "hashpartitioning" not in plan(spark, name)
+
+
+def optimized(spark, name):
+    return entry_point.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_outcomes_are_worked_out_on_all_cores(spark):
+    """Customers in one small file are dealt out before the documents are rendered and merged."""
+    assert plan(spark, "deployment_outcomes").count("REPARTITION_BY_NUM") >= 2
+
+
+@pytest.mark.parametrize("name", ["service_status", "service_replicas"])
+def test_deployments_are_listed_once(spark, name):
+    assert optimized(spark, name).count("map_values(") == 1
+
+
+def test_desired_state_reads_shown_resources_only(spark):
+    text = optimized(spark, "desired_state")
+    assert "StructField(limits,StringType" in text
+    assert "StructField(limits,StringType,true),StructField(requests,StringType" not in text
+
+
+def test_parts_grow_with_the_rows(spark, monkeypatch):
+    from fleetlens.plans import bindings
+
+    rows = spark.range(1000)
+    assert bindings.parts_for(rows) is None
+    monkeypatch.setattr(bindings, "SORTED_ROWS", 100)
+    assert bindings.parts_for(rows) == 10 and bindings.parts_for(rows, 7) == 70
