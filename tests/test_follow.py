@@ -1,6 +1,8 @@
 """Heartbeats of silent resources, and logs followed until their job ends."""
 
 import datetime as dt
+import json
+import os
 import random
 from collections import defaultdict
 
@@ -8,7 +10,7 @@ import pytest
 
 from fleetlens.operators.series import Polls
 from fleetlens.sources.scratch import shared_folder
-from fleetlens.streaming import flows, stateful
+from fleetlens.streaming import flows, following, stateful
 from tests.test_streams import POLLS, SECOND, START, as_stream, drain, poll, random_polls
 
 START_US = int(START.replace(tzinfo=dt.UTC).timestamp()) * SECOND
@@ -75,3 +77,75 @@ def test_lines_after_the_end_are_left_out(spark):
     ends = {"a": second(80), None: second(100)}
     assert got == sorted(n for job, at, n, line in lines if line and not (job in ends and at > ends[job]))
     assert any(job == "a" and at > second(80) and line for job, at, _, line in lines)
+
+
+def in_batches(spark, rows, schema, batches):
+    """Rows of JSON texts as one file per micro-batch."""
+    folder = shared_folder(spark)
+    os.makedirs(folder)
+    size = -(-len(rows) // batches)
+    for number in range(batches):
+        path = f"{folder}/batch-{number}.json"
+        with open(path, "w") as f:
+            f.write("\n".join(json.dumps(row) for row in rows[number * size:(number + 1) * size]))
+        os.utime(path, (1_700_000_000 + number * 10,) * 2)
+    return flows.snapshot_stream(spark, folder, schema, max_files_per_trigger=1)
+
+
+FOLLOWED = Polls(keys=("job", "part"), ts="seen", seq="seq", state="state")
+LINE_ROWS = "job string, part int, logged_at timestamp, n bigint, share double, time string, line string"
+POLL_ROWS = "job string, part bigint, seen timestamp, seq int, state string"
+
+
+def text_of(second):
+    return (START + dt.timedelta(seconds=second)).isoformat() + ".000Z"
+
+
+@pytest.mark.parametrize("batches, page_rows", [(1, 10_000), (1, 3), (6, 3)])
+def test_ends_count_for_the_horizon_in_any_order_of_arrival(spark, monkeypatch, batches, page_rows):
+    monkeypatch.setattr(following, "PAGE_ROWS", page_rows)
+    rng = random.Random(11)
+    jobs = [(None, 1), ("a", 1), ("a", None), ("b", 2), ("c", 3)]
+    lines = [(*rng.choice(jobs), rng.randrange(600), k, rng.choice(["x", "", " "])) for k in range(300)]
+    ends = [(*rng.choice(jobs[:4]), rng.randrange(600), rng.choice(["SUCCEEDED", "FAILED", "RUNNING"])) for _ in range(24)]
+    ends += [(*jobs[3], at, "STOPPED") for at in range(200, 260)]
+    lines, ends = (sorted(rows, key=lambda r: r[2] + rng.randrange(200)) for rows in (lines, ends))
+    big = 2**53 + 1
+    rows = [{"job": j, "part": p, "logged_at": text_of(at), "n": big + k, "time": "t", "line": line} for j, p, at, k, line in lines]
+    rows.append({"job": "z", "logged_at": text_of(5000), "n": 0, "line": "x"})
+    rows.insert(0, {"job": "z", "logged_at": None, "n": 0, "line": "x"})
+    polls = [{"job": j, "part": p, "seen": text_of(at), "state": state} for j, p, at, state in ends]
+    polls.append({"job": "z", "seen": text_of(5000), "state": "FAILED"})
+    followed = flows.log_follow_until_end(
+        in_batches(spark, rows, LINE_ROWS, batches), in_batches(spark, polls, POLL_ROWS, batches),
+        ["job", "part"], polls=FOLLOWED, delay="10 minutes", horizon="40 seconds", groups=3,
+    )
+    assert followed.columns == [c.split()[0] for c in LINE_ROWS.split(", ")]
+    got = sorted(((r.job, r.part, int((r.logged_at - START).total_seconds()), r.n - big, r.line) for r in drain(followed).collect()), key=str)
+
+    def left_out(job, part, at):
+        return any((j, p) == (job, part) and end < at <= end + 40 for j, p, end, state in ends if state != "RUNNING")
+
+    assert got == sorted((r for r in lines if r[4] and not left_out(*r[:3])), key=str)
+    assert 50 < len(got) < len([r for r in lines if r[4]]) - 20
+
+
+def test_polls_after_the_end_hold_no_state_of_their_own(spark):
+    lines = [{"job": "a", "part": 1, "logged_at": text_of(at), "n": at, "line": "x"} for at in range(1000)]
+    polls = [{"job": "a", "part": 1, "seen": text_of(at), "state": "FAILED"} for at in range(500, 1500)]
+    followed = flows.log_follow_until_end(
+        in_batches(spark, lines, LINE_ROWS, 1), in_batches(spark, polls, POLL_ROWS, 1), ["job", "part"], polls=FOLLOWED
+    )
+    folder = shared_folder(spark)
+    query = flows.write_stream_view(followed, f"{folder}/rows", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(f"{folder}/rows").count() == 501
+    held = [state.numRowsTotal for p in query.recentProgress for state in p.stateOperators]
+    assert held and max(held) < 20
+
+
+def test_tables_are_followed_without_a_watermark(spark):
+    lines = spark.createDataFrame([("a", START + dt.timedelta(seconds=s), s, "x") for s in range(10)], LINES)
+    polls = spark.createDataFrame([("a", START + dt.timedelta(seconds=4), 0, "FAILED")], "job string, at timestamp, seq int, state string")
+    followed = flows.log_follow_until_end(lines, polls, ["job"], "at", polls=Polls(keys=("job",), ts="at", seq="seq", state="state"))
+    assert sorted(r.n for r in followed.collect()) == [0, 1, 2, 3, 4]
